@@ -12,7 +12,7 @@ EXTRA = ["chunk_id", "meta_subset_frequency", "comment", "submitter"]
 ROW_META = ["meta_study_id", "meta_cell_subset", "meta_subject_cohort", "meta_subject_id", "meta_replica_id", "meta_clone_id", "meta_tissue"]
 SIGNATURE = ["cdr3_alpha", "v_alpha", "j_alpha", "cdr3_beta", "v_beta", "j_beta", "species", "mhc_a", "mhc_b", "mhc_class", "antigen_epitope"]
 SLIM_KEY = ["gene", "cdr3", "species", "antigen_epitope", "antigen_gene", "antigen_species"]
-SLIM_SUMMARY = ["complex_id", "v_segm", "j_segm", "mhc_a", "mhc_b", "mhc_class", "reference_id", "vdjdb_score", "tcr_hash", "j_start", "v_end"]
+SLIM_SUMMARY = ["complex_id", "v_segm", "j_segm", "mhc_a", "mhc_b", "mhc_class", "reference_id", "confidence_score", "tcr_hash", "j_start", "v_end"]
 
 ALL = COMPLEX + METHOD + META
 ROW_SIGNATURE = COMPLEX + ROW_META
