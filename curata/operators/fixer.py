@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from curata.functions import seq
 from curata.operators.patch import converted_names
-from curata.session import lookup_join
+from curata.session import checkpointed, lookup_join
 
 
 def germline(segments: DataFrame) -> DataFrame:
@@ -72,9 +72,9 @@ def fixed_both(inputs: DataFrame, segments: DataFrame, conversions: DataFrame |
     j_id, j_fix_type, j_canonical. v and j may be comma lists; a null one is a bad segment.
     """
     keys = ["species", "cdr3", "v", "j"]
-    distinct = inputs.where("cdr3 is not null").select(*keys).distinct().withColumn("text", F.col("cdr3"))
+    distinct = checkpointed(inputs.where("cdr3 is not null").select(*keys).distinct()).withColumn("text", F.col("cdr3"))
     names = distinct.select("species", F.explode(F.split(F.concat_ws(",", "v", "j"), ",")).alias("segment_id")).where("segment_id <> ''")
-    closest = closest_segments(names, segments, conversions)
+    closest = checkpointed(closest_segments(names, segments, conversions))
     v = _one_side(distinct, "v", segments, closest, five_prime=True).select(*keys, F.col("best").alias("v_best"), F.col("best.fix.cdr3").alias("text"))
     both = _one_side(v, "j", segments, closest, five_prime=False).withColumnRenamed("best", "j_best")
     cdr3, vx, jx = F.reverse("j_best.fix.cdr3"), F.col("v_best.fix.x"), F.col("j_best.fix.x")
@@ -108,29 +108,28 @@ def fix_json(fix: str) -> F.Column:
 def repaired(rows: DataFrame, segments: DataFrame, parts: DataFrame, conversions: DataFrame | None = None) -> DataFrame:
     """Records with missing segments guessed, both chains repaired and cdr3fix_alpha, cdr3fix_beta added.
 
-    V and J become the closest listed names; chains without CDR3 lose theirs.
+    V and J become the closest listed names; chains without CDR3 lose theirs. Guesses and repairs
+    are made once per distinct (species, CDR3, V, J) and joined back once per chain.
     """
     result = rows
     for chain, gene in (("alpha", "TRA"), ("beta", "TRB")):
-        cdr3, v, j = f"cdr3_{chain}", f"v_{chain}", f"j_{chain}"
-        sequences = result.select("species", F.lit(gene).alias("gene"), F.col(cdr3).alias("cdr3"))
-        for column, five_prime in ((v, True), (j, False)):
-            guesses = guessed_segments(sequences, parts, five_prime).select("species", F.col("cdr3").alias(cdr3), F.col("segment_id").alias("__guess"))
-            result = result.join(guesses, ["species", cdr3], "left").withColumn(
-                column, F.when(F.col(cdr3).isNotNull(), F.coalesce(column, "__guess"))
-            ).drop("__guess")
-        inputs = result.select("species", F.col(cdr3).alias("cdr3"), F.col(v).alias("v"), F.col(j).alias("j"))
-        fixes = fixed_both(inputs, segments, conversions)
-        keys = [F.col(c).alias(f"__{c}") for c in ("species", "cdr3", "v", "j")]
-        renamed = fixes.select(*keys, F.col("fix").alias(f"cdr3fix_{chain}"))
-        same = [result["species"] == renamed["__species"], result[cdr3] == renamed["__cdr3"], result[v].eqNullSafe(renamed["__v"]), result[j].eqNullSafe(renamed["__j"])]
+        given = {"cdr3": f"cdr3_{chain}", "v": f"v_{chain}", "j": f"j_{chain}"}
+        inputs = checkpointed(rows.where(F.col(given["cdr3"]).isNotNull()).select("species", *[F.col(c).alias(n) for n, c in given.items()]).distinct())
+        filled = inputs.withColumns({"v_given": F.col("v"), "j_given": F.col("j")})
+        for end, five_prime in (("v", True), ("j", False)):
+            missing = inputs.where(F.col(end).isNull()).select("species", F.lit(gene).alias("gene"), "cdr3")
+            guesses = guessed_segments(missing, parts, five_prime).select("species", "cdr3", F.col("segment_id").alias("__guess"))
+            filled = filled.join(guesses, ["species", "cdr3"], "left").withColumn(end, F.coalesce(end, "__guess")).drop("__guess")
+        filled = checkpointed(filled)
+        fixes = fixed_both(filled, segments, conversions)
+        same = [fixes[c].eqNullSafe(filled[c]) for c in ("species", "cdr3", "v", "j")]
+        table = checkpointed(filled.join(fixes, same).select(filled["species"].alias("__species"), filled["cdr3"].alias("__cdr3"), "v_given", "j_given", F.col("fix").alias(f"cdr3fix_{chain}")))
+        back = [F.col("species").eqNullSafe(F.col("__species")), F.col(given["cdr3"]) == F.col("__cdr3"), F.col(given["v"]).eqNullSafe(F.col("v_given")), F.col(given["j"]).eqNullSafe(F.col("j_given"))]
         fix = f"cdr3fix_{chain}"
         result = (
-            result.join(renamed, same, "left")
-            .drop("__species", "__cdr3", "__v", "__j")
-            .withColumn(cdr3, F.col(f"{fix}.cdr3"))
-            .withColumn(v, F.col(f"{fix}.v_id"))
-            .withColumn(j, F.col(f"{fix}.j_id"))
+            result.join(table, back, "left")
+            .drop("__species", "__cdr3", "v_given", "j_given")
+            .withColumns({given["cdr3"]: F.col(f"{fix}.cdr3"), given["v"]: F.col(f"{fix}.v_id"), given["j"]: F.col(f"{fix}.j_id")})
         )
     return result
 
@@ -141,8 +140,6 @@ def in_order(rows: DataFrame, order: list[str], name: str) -> DataFrame:
     Rows are sorted by range; each partition is numbered by itself and shifted by the rows before it.
     """
     ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id())
-    from curata.session import checkpointed
-
     fixed = checkpointed(ranged)
     counts = fixed.groupBy("__part").agg(F.count("*").alias("__n"))
     before = counts.withColumn("__before", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))

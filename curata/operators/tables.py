@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from curata.functions import score
 from curata.operators.fixer import in_order
 from curata.schema import META, METHOD, SIGNATURE
-from curata.session import hot_split_join
+from curata.session import checkpointed, hot_split_join
 
 
 def row_key(columns: Sequence[str]) -> list[Column]:
@@ -26,13 +26,12 @@ def with_signature_score(rows: DataFrame, columns: Sequence[str] = SIGNATURE) ->
     Nulls are values of a signature. The statistics are algebraic aggregates joined back by key, so
     a signature that holds a third of all rows is no large task.
     """
-    own = score.record_score(*[F.col(c) for c in ("method_identification", "method_frequency", "method_singlecell", "method_sequencing", "method_verification", "meta_structure_id")])
-    keyed = rows.select("*", own.alias("record_score"), *row_key(columns))
+    keyed = score.with_record_score(rows).select("*", *row_key(columns))
     per_reference = keyed.groupBy("k1", "k2", "reference_id").agg(F.max("record_score").alias("best"), F.count("*").alias("n"))
     stats = per_reference.groupBy("k1", "k2").agg(
         F.max("best").alias("confidence_score"), F.sum("n").alias("samples_found"), F.count("reference_id").alias("studies_found")
     )
-    return hot_split_join(keyed, stats, ["k1", "k2"], "samples_found", rows.count()).drop("k1", "k2")
+    return hot_split_join(keyed, stats, ["k1", "k2"], "samples_found").drop("k1", "k2")
 
 
 def full_table(rows: DataFrame) -> DataFrame:
@@ -42,6 +41,7 @@ def full_table(rows: DataFrame) -> DataFrame:
 
 def with_complex_id(rows: DataFrame, order: Sequence[str]) -> DataFrame:
     """Rows with complex_id: 1..n over paired records in a total order, 0 for the others."""
+    rows = checkpointed(rows)  # read three times: to sample the order, to sort, and for unpaired records
     paired = F.col("cdr3_alpha").isNotNull() & F.col("cdr3_beta").isNotNull()
     numbered = in_order(rows.where(paired), list(order), "complex_id")
     return numbered.unionByName(rows.where(~paired).withColumn("complex_id", F.lit(0).cast("bigint")))

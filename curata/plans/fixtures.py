@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curata.session import load
+from curata.session import load, spread
 
 KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
@@ -61,7 +61,7 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_
 def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The submissions view: 31 record columns, the row key and o_orderdate."""
     joined = (
-        load(spark, sf_dir, "lineitem")
+        spread(load(spark, sf_dir, "lineitem").select(*KEY, "l_quantity", "l_discount", "l_returnflag", "l_linestatus"))
         .join(load(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(load(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(load(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))

@@ -33,22 +33,49 @@ def query(sql: str | None = None) -> Callable:
 
 # Checks ------------------------------------------------------------------------------------------
 
-_BAD = r"""concat_ws('; ',
-  CASE WHEN NOT (length(cdr3_alpha) > 3 AND regexp_matches(cdr3_alpha, '^[ARNDCQEGHILKMFPSTWYV]+$')) THEN 'bad cdr3.alpha' END,
-  CASE WHEN NOT starts_with(v_alpha, 'TRAV') THEN 'bad v.alpha' END, CASE WHEN NOT starts_with(j_alpha, 'TRAJ') THEN 'bad j.alpha' END,
-  CASE WHEN NOT (length(cdr3_beta) > 3 AND regexp_matches(cdr3_beta, '^[ARNDCQEGHILKMFPSTWYV]+$')) THEN 'bad cdr3.beta' END,
-  CASE WHEN NOT starts_with(v_beta, 'TRBV') THEN 'bad v.beta' END, CASE WHEN NOT starts_with(d_beta, 'TRBD') THEN 'bad d.beta' END, CASE WHEN NOT starts_with(j_beta, 'TRBJ') THEN 'bad j.beta' END,
-  CASE WHEN cdr3_alpha IS NULL AND cdr3_beta IS NULL THEN 'no.cdr3' END)"""
-
-
-@query(f"WITH {SRC} SELECT {K}, {_BAD} AS messages FROM src")
+def _seq_ok(c: str) -> str:
+    return f"({c} IS NULL OR (length({c}) > 3 AND regexp_matches({c}, '^[ARNDCQEGHILKMFPSTWYV]+$')))"
+
+
+def _mhc_ok(c: str) -> str:
+    return f"({c} IS NULL OR NOT starts_with({c}, 'HLA') OR regexp_matches({c}, '^HLA-[A-Z]+[0-9]?\\*[0-9]{{2}}(:[0-9]{{2,3}}){{0,3}}$'))"
+
+
+_RULES = {
+    "bad cdr3.alpha": _seq_ok("cdr3_alpha"),
+    "bad v.alpha": "coalesce(starts_with(v_alpha, 'TRAV'), true)",
+    "bad j.alpha": "coalesce(starts_with(j_alpha, 'TRAJ'), true)",
+    "bad cdr3.beta": _seq_ok("cdr3_beta"),
+    "bad v.beta": "coalesce(starts_with(v_beta, 'TRBV'), true)",
+    "bad d.beta": "coalesce(starts_with(d_beta, 'TRBD'), true)",
+    "bad j.beta": "coalesce(starts_with(j_beta, 'TRBJ'), true)",
+    "bad species": "coalesce(lower(species) IN ('homosapiens', 'musmusculus', 'rattusnorvegicus', 'macacamulatta'), false)",
+    "bad mhc.a": _mhc_ok("mhc_a"),
+    "bad mhc.b": _mhc_ok("mhc_b"),
+    "bad mhc.class": "coalesce(mhc_class IN ('MHCI', 'MHCII'), false)",
+    "bad antigen.epitope": _seq_ok("antigen_epitope"),
+    "bad antigen.gene": "antigen_gene IS NOT NULL",
+    "bad reference.id": "coalesce(starts_with(reference_id, 'PMID:') OR starts_with(reference_id, 'doi:') OR starts_with(reference_id, 'http://') OR starts_with(reference_id, 'https://') OR contains(lower(reference_id), 'unpublished'), true)",
+    "no.cdr3": "NOT (cdr3_alpha IS NULL AND cdr3_beta IS NULL)",
+    "no.antigen.seq": "antigen_epitope IS NOT NULL",
+    "no.mhc": "NOT (mhc_a IS NULL OR mhc_b IS NULL)",
+}
+_BAD = "concat_ws('; ', " + ", ".join(f"CASE WHEN NOT {ok} THEN '{m}' END" for m, ok in _RULES.items()) + ")"
+
+
+@query(f"SELECT record_id, {_BAD} AS messages FROM receptor_records")
 def qc_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.checked(submissions(spark, sf_dir)).select(*KEY, F.array_join("messages", "; ").alias("messages"))
+    return quality.checked(load(spark, sf_dir, "receptor_records")).select("record_id", F.array_join("messages", "; ").alias("messages"))
 
 
-@query(f"WITH {SRC} SELECT m AS message, count(*) AS n_rows FROM (SELECT unnest(string_split({_BAD}, '; ')) AS m FROM src) WHERE m <> '' GROUP BY 1")
+@query(f"SELECT m AS message, count(*) AS n_rows FROM (SELECT unnest(string_split({_BAD}, '; ')) AS m FROM receptor_records) WHERE m <> '' GROUP BY 1")
 def qc_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.checked(submissions(spark, sf_dir)).select(F.explode("messages").alias("message")).groupBy("message").agg(F.count("*").alias("n_rows"))
+    return quality.checked(load(spark, sf_dir, "receptor_records")).select(F.explode("messages").alias("message")).groupBy("message").agg(F.count("*").alias("n_rows"))
+
+
+@query(f"WITH {SRC} SELECT {K} FROM src WHERE {_BAD} = ''")
+def qc_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.checked(submissions(spark, sf_dir), policy="drop").select(*KEY)
 
 
 _MHC = "CASE l_linenumber WHEN 1 THEN replace(mhc_a, '*', '') WHEN 2 THEN mhc_a || ':01:01:01' WHEN 3 THEN substr(mhc_a, 5) WHEN 4 THEN lower(mhc_a) WHEN 5 THEN mhc_a || ':01' ELSE mhc_a END"
@@ -323,8 +350,7 @@ _SIG11 = ", ".join(SIGNATURE)
 
 @query(f"WITH {SRC}, {_SCORE_CTE} SELECT {K}, record_score FROM sc")
 def score_row(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns = ["method_identification", "method_frequency", "method_singlecell", "method_sequencing", "method_verification", "meta_structure_id"]
-    return submissions(spark, sf_dir).select(*KEY, score.record_score(*[F.col(c) for c in columns]).alias("record_score"))
+    return score.with_record_score(submissions(spark, sf_dir)).select(*KEY, "record_score")
 
 
 _FULL = f"""{_SCORE_CTE}, st AS (SELECT {_SIG11}, max(record_score) AS confidence_score, count(*) AS samples_found, count(DISTINCT reference_id) AS studies_found FROM sc GROUP BY ALL),
@@ -561,7 +587,7 @@ def rep_epitope_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.epitope_ranks(_slim(spark, sf_dir)).withColumn("rank", F.col("rank").cast("double"))
 
 
-@query(f"WITH {SRC}, {_SLIM}, {_RANK} SELECT gene, mhc_class, round(regr_slope(log10(rank), log10(cdr3_count)), 6) AS slope, round(regr_intercept(log10(rank), log10(cdr3_count)), 6) AS intercept FROM rk GROUP BY 1, 2")
+@query(f"WITH {SRC}, {_SLIM}, {_RANK} SELECT gene, mhc_class, CASE WHEN count(DISTINCT cdr3_count) > 1 THEN round(regr_slope(log10(rank), log10(cdr3_count)), 6) END AS slope, CASE WHEN count(DISTINCT cdr3_count) > 1 THEN round(regr_intercept(log10(rank), log10(cdr3_count)), 6) END AS intercept FROM rk GROUP BY 1, 2")
 def rep_loglog_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.loglog_fit(report.epitope_ranks(_slim(spark, sf_dir))).withColumns({"slope": F.round("slope", 6), "intercept": F.round("intercept", 6)})
 

@@ -19,6 +19,15 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores if its files give fewer partitions than there are cores.
+
+    A large table has splits enough and stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def checkpointed(df: DataFrame, eager: bool = True) -> DataFrame:
     """Cut the lineage of ``df`` with a reliable checkpoint.
 
@@ -59,17 +68,22 @@ def lookup_join(
     return salted.join(copies, [*on, "__salt"], how).drop("__salt")
 
 
-def hot_split_join(big: DataFrame, small: DataFrame, on: list[str], weight: str, total: int, parts: int = 2000) -> DataFrame:
+def hot_split_join(big: DataFrame, small: DataFrame, on: list[str], weight: str, parts: int = 2000) -> DataFrame:
     """Inner join of ``big`` to ``small``, which holds one row per key and, in ``weight``, how many
-    rows of ``big`` that key has at most; the weights add up to ``total`` or less.
+    rows of ``big`` that key has at most.
 
-    Keys of more than a ``parts``-th of all rows, of which there can be no more than ``parts``, are
-    broadcast; the others are shuffled, and none of them is large.
+    ``small`` is written once to the checkpoint folder. Keys of more than a ``parts``-th of the
+    total weight, of which there can be no more than ``parts``, are broadcast; the others are
+    shuffled, and none of them is large. Without such keys it is one plain join.
     """
-    least = total // parts + 1
-    hot = F.broadcast(small.where(F.col(weight) > least))
-    rest = small.where(F.col(weight) <= least)
-    return big.join(hot, on).unionByName(big.join(F.broadcast(small.where(F.col(weight) > least).select(*on)), on, "left_anti").join(rest, on))
+    kept = checkpointed(small)
+    total, most = kept.agg(F.sum(weight), F.max(weight)).first()
+    least = (total or 0) // parts + 1
+    if (most or 0) <= least:
+        return big.join(kept, on)
+    hot, rest = F.broadcast(kept.where(F.col(weight) > least)), kept.where(F.col(weight) <= least)
+    others = big.join(F.broadcast(kept.where(F.col(weight) > least).select(*on)), on, "left_anti")
+    return big.join(hot, on).unionByName(others.join(rest, on))
 
 
 def blank_to_null(c: Column) -> Column:
