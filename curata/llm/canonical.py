@@ -272,7 +272,10 @@ def canonical_names(
                 ["field_name", "typed", "name_id", "distance"],
             )
 
-    resolved = typed.groupBy("field_name", "typed").agg(F.count("*").alias("n")).select("field_name", "typed").mapInArrow(
+    distinct = typed.groupBy("field_name", "typed").agg(F.count("*").alias("n")).select("field_name", "typed")
+    # The values are few bytes but much work each, so they are spread by number, not by size.
+    spread = distinct.repartition(records.sparkSession.sparkContext.defaultParallelism, "typed")
+    resolved = spread.mapInArrow(
         resolve, "field_name string, typed string, name_id bigint, distance int"
     )
     return lookup_join(typed, checkpointed(resolved), ["field_name", "typed"], "inner")
