@@ -136,7 +136,7 @@ def copies(keys: DataFrame, ledger: DataFrame) -> DataFrame:
     that share the smallest id of their group none is reported.
     """
     repeated = ledger.where("n_copies > 1")
-    found = hot_split_join(keys.select("id", "k1", "k2"), repeated, ["k1", "k2"], "n_copies", keys.count())
+    found = hot_split_join(keys.select("id", "k1", "k2"), repeated, ["k1", "k2"], "n_copies")
     return found.where("id <> first_id").select("first_id", F.col("id").alias("copy_id"))
 
 
