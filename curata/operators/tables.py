@@ -16,7 +16,7 @@ from curata.session import checkpointed, hot_split_join
 def row_key(columns: Sequence[str]) -> list[Column]:
     """Two 64-bit hashes over columns in which null differs from every text."""
     text = F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0002")) for c in columns])
-    return [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit("second"), F.reverse(text)).alias("k2")]
+    return [F.xxhash64(text).alias("__k1"), F.xxhash64(F.lit("second"), F.reverse(text)).alias("__k2")]
 
 
 def with_signature_score(rows: DataFrame, columns: Sequence[str] = SIGNATURE) -> DataFrame:
@@ -24,14 +24,15 @@ def with_signature_score(rows: DataFrame, columns: Sequence[str] = SIGNATURE) ->
     of that signature) and studies_found (its distinct references).
 
     Nulls are values of a signature. The statistics are algebraic aggregates joined back by key, so
-    a signature that holds a third of all rows is no large task.
+    a signature that holds a third of all rows is no large task. Columns of these names are replaced.
     """
-    keyed = score.with_record_score(rows).select("*", *row_key(columns))
-    per_reference = keyed.groupBy("k1", "k2", "reference_id").agg(F.max("record_score").alias("best"), F.count("*").alias("n"))
-    stats = per_reference.groupBy("k1", "k2").agg(
+    given = rows.drop("record_score", "confidence_score", "samples_found", "studies_found")
+    keyed = score.with_record_score(given).select("*", *row_key(columns))
+    per_reference = keyed.groupBy("__k1", "__k2", "reference_id").agg(F.max("record_score").alias("best"), F.count("*").alias("n"))
+    stats = per_reference.groupBy("__k1", "__k2").agg(
         F.max("best").alias("confidence_score"), F.sum("n").alias("samples_found"), F.count("reference_id").alias("studies_found")
     )
-    return hot_split_join(keyed, stats, ["k1", "k2"], "samples_found").drop("k1", "k2")
+    return hot_split_join(keyed, stats, ["__k1", "__k2"], "samples_found").drop("__k1", "__k2")
 
 
 def full_table(rows: DataFrame) -> DataFrame:
