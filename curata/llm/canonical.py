@@ -58,13 +58,13 @@ class Symbol(NamedTuple):
 def path_of(spelling: str, strict_breaks: bool) -> list[Symbol]:
     """Symbols of a spelling; ``#`` stands for any number. Small letters after capitals are exact."""
     path: list[Symbol] = []
-    for part in re.findall(r"\d+|[^\W\d_]|#|[\W_]+", spelling):
+    for part in re.findall(r"\d+|[^\W\d_]|#|(?:[^\w#]|_)+", spelling):
         if part.isdigit():
             if path and path[-1].kind == "digit" and strict_breaks:
                 path.append(Symbol("break"))
             path += [Symbol("digit", c, k == 0, k == len(part) - 1) for k, c in enumerate(part)]
         elif part == "#":
-            path += [Symbol("break")] * bool(path and path[-1].kind == "number") + [Symbol("number")]
+            path += [Symbol("break")] * bool(path and path[-1].kind in ("number", "digit")) + [Symbol("number")]
         elif part.isalpha():
             path.append(Symbol("letter", part))
     capitals = False
@@ -112,6 +112,8 @@ class NameTrie:
     def __init__(self, entries: Sequence[tuple[int, str]]) -> None:
         self.root: dict = {}
         names = [n for _, n in entries]
+        # A field of one receptor chain speaks for that chain: another family must lead by more.
+        self.lead = 1 if any(RECEPTOR.fullmatch(n) for n in names) else 0
         for name_id, name in entries:
             tail = RECEPTOR_TAIL if RECEPTOR.fullmatch(name) else MHC_TAIL if name.startswith("HLA-") else PLAIN_TAIL
             for spelling in spellings(name):
@@ -226,7 +228,7 @@ class NameTrie:
             return 0, -1
         least = min(found.values())
         closest = [e for e, cost in found.items() if cost == least]
-        if other < least or len(closest) > 1:
+        if (other < least and (other == 0 or other + self.lead < least)) or len(closest) > 1:
             return 0, -1
         return closest[0], least
 

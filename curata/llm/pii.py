@@ -248,7 +248,7 @@ def _loose(pattern: str) -> str:
 
 
 FRAMED = {
-    cue: (re.compile(f"(?i:{_loose(left)})" + NAME_ANY + f"(?=(?i:{_loose(right)}))"), re.compile(f"(?i:{_loose(left)})" + NAME_CAPITAL))
+    cue: (re.compile(f"(?i:{_loose(left)})" + NAME_ANY + f"(?=(?i:{_loose(right)}))"), re.compile(f"(?i:{_loose(left)})" + NAME_CAPITAL + r"(?![\w:/@])"))
     for cue, left, right in FRAMES
 }
 #: After a greeting stands one name, or a full one that fills its line.
