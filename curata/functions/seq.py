@@ -121,3 +121,8 @@ def codon_score(amino: Column, nt: Column, backwards: bool = False) -> Column:
     start = F.struct(F.lit(0).alias("score"), F.lit(True).alias("go"))
     total = F.aggregate(F.sequence(F.lit(1), F.greatest(size, F.lit(1))), start, step)["score"]
     return F.when(size > 0, total).when(amino.isNotNull(), 0)
+
+
+def non_amino_to_x(c: Column) -> Column:
+    """Text with X for everything that is no amino acid."""
+    return F.regexp_replace(c, "[^ARNDCQEGHILKMFPSTWYV]", "X")

@@ -579,6 +579,32 @@ def rep_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.groupBy("city", "antigen_epitope").agg(F.sum("n").alias("n"), F.count_distinct("reference_id").alias("n_refs"))
 
 
+_CITIES = ["NLVPATV", "NLVIATV", "NLVTATV"]
+
+
+@query(
+    f"""WITH {SRC}, {_SLIM}, {_LAB}, {_PLACES} SELECT city, {', '.join(f"coalesce(sum(n) FILTER (antigen_epitope = '{e}'), 0)::BIGINT AS {e.lower()}" for e in _CITIES)}, round(ln(sum(n) + 1), 6) AS radius FROM lt JOIN pl USING (reference_id) GROUP BY 1"""
+)
+def rep_geo_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = rep_geo(spark, sf_dir)
+    wide = report.spread_by(counts, ["city"], "antigen_epitope", _CITIES, "n")
+    radius = counts.groupBy("city").agg(F.round(F.log1p(F.sum("n")), 6).alias("radius"))
+    return wide.select("city", *[F.col(e).alias(e.lower()) for e in _CITIES]).join(radius, "city")
+
+
+@query(
+    f"""WITH {SRC} SELECT {K}, regexp_replace(cdr3_beta || 'Z*', '[^ARNDCQEGHILKMFPSTWYV]', 'X', 'g') AS masked, replace(replace(mhc_a, '*', '.'), 'HLA-', '') AS short_mhc, length(cdr3_beta)::INT AS size, substr(antigen_epitope, 1, 3) AS head,
+  round(log2(l_linenumber + 1), 6) AS two, round(ln(l_partkey + 1), 6) AS one, least(l_linenumber, 3)::INT AS top, split_part(reference_id, ':', 2) AS ref_no, CASE WHEN cdr3_alpha IS NULL THEN 'TRB' ELSE 'TRA' END AS chain FROM src"""
+)
+def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = submissions(spark, sf_dir)
+    return rows.select(
+        *KEY, seq.non_amino_to_x(F.concat("cdr3_beta", F.lit("Z*"))).alias("masked"), F.replace(F.replace("mhc_a", F.lit("*"), F.lit(".")), F.lit("HLA-"), F.lit("")).alias("short_mhc"), F.length("cdr3_beta").alias("size"), F.substring("antigen_epitope", 1, 3).alias("head"),
+        F.round(F.log2(F.col("l_linenumber") + 1), 6).alias("two"), F.round(F.log1p("l_partkey"), 6).alias("one"), F.least("l_linenumber", F.lit(3)).cast("int").alias("top"), report.first_of("reference_id", ":").alias("ref_head"),
+        F.split_part("reference_id", F.lit(":"), F.lit(2)).alias("ref_no"), F.when(F.col("cdr3_alpha").isNull(), "TRB").otherwise("TRA").alias("chain"),
+    ).drop("ref_head")
+
+
 _RANK = "rk0 AS (SELECT gene, mhc_class, antigen_species, antigen_gene, antigen_epitope, count(DISTINCT cdr3) AS cdr3_count FROM slim WHERE species = 'HomoSapiens' GROUP BY 1, 2, 3, 4, 5), rk AS (SELECT *, rank() OVER (ORDER BY cdr3_count DESC) + (count(*) OVER (PARTITION BY cdr3_count) - 1) / 2.0 AS rank FROM rk0)"
 
 
