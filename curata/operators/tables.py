@@ -54,8 +54,8 @@ def json_of(columns: Sequence[str], prefix: str, extra: dict[str, Column] | None
     return F.to_json(F.struct(*fields, *[v.alias(n) for n, v in (extra or {}).items()]), {"ignoreNullFields": "false"})
 
 
-def default_table(rows: DataFrame, order: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """One row per chain of the full table, with method and meta as JSON.
+def default_table(rows: DataFrame, order: Sequence[str], keep: Sequence[str] = (), documents: bool = True) -> DataFrame:
+    """One row per chain of the full table, with method and meta as JSON (unless ``documents`` is False).
 
     Records in which a present CDR3 lacks its V or J are left out, with both chains. ``order`` is a
     total order that numbers the complexes; ``keep`` are further columns to carry along.
@@ -63,8 +63,12 @@ def default_table(rows: DataFrame, order: Sequence[str], keep: Sequence[str] = (
     complete = F.lit(True)
     for c in ("alpha", "beta"):
         complete = complete & (F.col(f"cdr3_{c}").isNull() | (F.col(f"v_{c}").isNotNull() & F.col(f"j_{c}").isNotNull()))
+    annotations = ["species", "mhc_a", "mhc_b", "mhc_class", "antigen_epitope", "antigen_gene", "antigen_species", "reference_id", "confidence_score", "tcr_hash"]
+    needed = dict.fromkeys([*order, *keep, *[f"{s}_{c}" for c in ("alpha", "beta") for s in ("cdr3", "v", "j")], *annotations])
+    if documents:
+        needed |= dict.fromkeys([*METHOD, *META, "samples_found", "studies_found"])
     meta_extra = {"samples.found": F.col("samples_found"), "studies.found": F.col("studies_found")}
-    ided = with_complex_id(rows.where(complete), order)
+    ided = with_complex_id(rows.where(complete).select(*needed), order)
     chains = F.array(
         *[
             F.when(
@@ -74,16 +78,15 @@ def default_table(rows: DataFrame, order: Sequence[str], keep: Sequence[str] = (
             for c, g in (("alpha", "TRA"), ("beta", "TRB"))
         ]
     )
-    return ided.select(
-        *keep,
-        "complex_id",
-        F.explode(F.array_compact(chains)).alias("chain"),
-        "species", "mhc_a", "mhc_b", "mhc_class", "antigen_epitope", "antigen_gene", "antigen_species", "reference_id", "confidence_score", "tcr_hash",
-        json_of(METHOD, "method_").alias("method"),
-        json_of(META, "meta_", meta_extra).alias("meta"),
-        score.web_method(F.col("method_identification")).alias("web_method"),
-        score.web_method_seq(F.col("method_singlecell"), F.col("method_sequencing")).alias("web_method_seq"),
-    ).select(*keep, "complex_id", "chain.*", *["species", "mhc_a", "mhc_b", "mhc_class", "antigen_epitope", "antigen_gene", "antigen_species", "reference_id", "confidence_score", "tcr_hash", "method", "meta", "web_method", "web_method_seq"])
+    texts = {
+        "method": json_of(METHOD, "method_"),
+        "meta": json_of(META, "meta_", meta_extra),
+        "web_method": score.web_method(F.col("method_identification")),
+        "web_method_seq": score.web_method_seq(F.col("method_singlecell"), F.col("method_sequencing")),
+    }
+    extra = [c.alias(n) for n, c in texts.items()] if documents else []
+    each = ided.select(*keep, "complex_id", F.explode(F.array_compact(chains)).alias("chain"), *annotations, *extra)
+    return each.select(*keep, "complex_id", "chain.*", *annotations, *(texts if documents else []))
 
 
 def web_fix_flags(fix: str) -> list[Column]:

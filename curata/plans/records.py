@@ -387,8 +387,8 @@ cx AS (SELECT *, CASE WHEN cdr3_alpha IS NOT NULL AND cdr3_beta IS NOT NULL THEN
 ch AS (SELECT *, 'TRA' AS gene, cdr3_alpha AS cdr3, v_alpha AS v_segm, j_alpha AS j_segm FROM cx WHERE cdr3_alpha IS NOT NULL UNION ALL SELECT *, 'TRB', cdr3_beta, v_beta, j_beta FROM cx WHERE cdr3_beta IS NOT NULL)"""
 
 
-def _default(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.default_table(tables.full_table(submissions(spark, sf_dir)), KEY, keep=KEY)
+def _default(spark: SparkSession, sf_dir: str, documents: bool = True) -> DataFrame:
+    return tables.default_table(tables.full_table(submissions(spark, sf_dir)), KEY, keep=KEY, documents=documents)
 
 
 @query(f"WITH {SRC}, {_FULL} SELECT {K}, cdr3_alpha, v_alpha, cdr3_beta, v_beta, antigen_epitope, reference_id, confidence_score, tcr_hash FROM full_t")
@@ -412,7 +412,7 @@ _SLIM = f"""{_DEFAULT}, slim AS (SELECT gene, cdr3, species, antigen_epitope, an
 
 
 def _slim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.slim_table(_default(spark, sf_dir))
+    return tables.slim_table(_default(spark, sf_dir, documents=False))
 
 
 @query(f"WITH {SRC}, {_SLIM} SELECT * FROM slim")
@@ -425,7 +425,7 @@ def slim_table(spark: SparkSession, sf_dir: str) -> DataFrame:
   {', '.join(f"string_agg(DISTINCT {c}::VARCHAR, ',' ORDER BY {c}::VARCHAR) AS {c}" for c in _LISTS[1:])}, max(confidence_score) AS confidence_score FROM ch GROUP BY 1, 2, 3, 4, 5, 6"""
 )
 def slim_table_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.slim_table_legacy(_default(spark, sf_dir))
+    return tables.slim_table_legacy(_default(spark, sf_dir, documents=False))
 
 
 @query("SELECT event_id, event_type, json_extract_string(props, '$.k')::INT AS k FROM events")

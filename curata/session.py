@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,18 +29,24 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def checkpointed(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Cut the lineage of ``df`` with a reliable checkpoint.
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written as a table to the shared checkpoint folder and read back.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only where that is
-    unset, as in tests, a local folder is used.
+    This cuts the lineage, survives lost executors, and lets later steps read only the columns
+    they need. The folder is the one the cluster names in ``spark.checkpoint.dir``; only where that
+    is unset, as in tests, a local folder is used. Tables are deleted when the application ends.
     """
     spark = df.sparkSession
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="curata-checkpoint-"))
-    return df.checkpoint(eager)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        folder = tempfile.mkdtemp(prefix="curata-checkpoint-")
+        context.setCheckpointDir(folder)
+    path = f"{folder.rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def at_most(df: DataFrame, rows: int) -> bool:
