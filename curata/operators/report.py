@@ -158,6 +158,19 @@ def spread_by(counts: DataFrame, keys: Sequence[str], column: str, values: Seque
     return counts.groupBy(*keys).pivot(column, list(values)).agg(F.sum(value)).na.fill(0, list(values))
 
 
+def spread_all(counts: DataFrame, keys: Sequence[str], column: str, value: str, most: int = 2000) -> DataFrame:
+    """A pivot over every value that the column has, in order, zero where there is none.
+
+    The values are collected; more than ``most`` are too many columns and raise. Null has the column ``null``.
+    """
+    found = [r[0] for r in counts.select(column).distinct().limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"{column} has more than {most} values")
+    values = sorted(found, key=lambda v: (v is None, v or ""))
+    sums = [F.sum(F.when(F.col(column).eqNullSafe(F.lit(v)), F.col(value)).otherwise(0)).alias("null" if v is None else v) for v in values]
+    return counts.groupBy(*keys).agg(*sums) if sums else counts.select(*keys)
+
+
 def epitope_ranks(slim: DataFrame, species: str = "HomoSapiens") -> DataFrame:
     """Distinct CDR3 by chain and epitope with their rank, largest first; ties share the mean rank."""
     keys = ["gene", "mhc_class", "antigen_species", "antigen_gene", "antigen_epitope"]

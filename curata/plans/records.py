@@ -12,7 +12,7 @@ from curata.operators import fixer, pairing, patch, quality, realign, report, ta
 from curata.plans import fixtures as fx
 from curata.plans.fixtures import KEY, SRC, submissions, values
 from curata.schema import ROW_SIGNATURE, SIGNATURE
-from curata.session import load
+from curata.session import checkpointed, load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -592,6 +592,16 @@ def rep_geo_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide.select("city", *[F.col(e).alias(e.lower()) for e in _CITIES]).join(radius, "city")
 
 
+@query(
+    f"""PIVOT (WITH {SRC}, {_SLIM}, {_LAB}, {_PLACES}, ge AS (SELECT city, antigen_epitope, sum(n)::BIGINT AS n FROM lt JOIN pl USING (reference_id) GROUP BY 1, 2)
+SELECT city, antigen_epitope, n, round(ln(sum(n) OVER (PARTITION BY city) + 1), 6) AS radius FROM ge) ON antigen_epitope USING coalesce(sum(n), 0)::BIGINT GROUP BY city, radius"""
+)
+def rep_geo_pivot_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = checkpointed(rep_geo(spark, sf_dir))  # read three times
+    radius = counts.groupBy("city").agg(F.round(F.log1p(F.sum("n")), 6).alias("radius"))
+    return report.spread_all(counts, ["city"], "antigen_epitope", "n").join(radius, "city")
+
+
 @query(
     f"""WITH {SRC} SELECT {K}, regexp_replace(cdr3_beta || 'Z*', '[^ARNDCQEGHILKMFPSTWYV]', 'X', 'g') AS masked, replace(replace(mhc_a, '*', '.'), 'HLA-', '') AS short_mhc, length(cdr3_beta)::INT AS size, substr(antigen_epitope, 1, 3) AS head,
   round(log2(l_linenumber + 1), 6) AS two, round(ln(l_partkey + 1), 6) AS one, least(l_linenumber, 3)::INT AS top, split_part(reference_id, ':', 2) AS ref_no, CASE WHEN cdr3_alpha IS NULL THEN 'TRB' ELSE 'TRA' END AS chain FROM src"""
