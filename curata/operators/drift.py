@@ -22,8 +22,10 @@ def branches(rows: DataFrame) -> DataFrame:
     """Every top-level member of every row: file_id, row_id, line_no, name, value (JSON text), kind.
 
     ``kind`` is string, number, boolean, array, object or null. Rows that are no JSON object give
-    nothing. Of a name that one object repeats, the JSON reader's last value holds.
+    nothing. Of a name that one object repeats, the JSON reader's last value holds; for this the
+    session's setting for repeated keys is turned on, else such a row would be no object.
     """
+    rows.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     members = F.try_parse_json("row_json")
     view = rows.select("file_id", "row_id", "line_no", members.alias("doc")).where("doc is not null and schema_of_variant(doc) like 'OBJECT%'")
     exploded = view.lateralJoin(view.sparkSession.tvf.variant_explode(F.col("doc").outer()))

@@ -5,7 +5,7 @@ from pathlib import Path
 import pytest
 from compare import difference, views
 
-from curata.operators import report
+from curata.operators import drift, packed, report
 from curata.plans import records
 
 SF = "/root/testdata/sf0.001"
@@ -25,3 +25,12 @@ def test_pivot_has_every_value(spark):
 def test_query_equals_sql(spark, name):
     rows, unlike = difference(spark, views(SF), records.QUERIES[name], records.SQL[name], SF)
     assert unlike == "" and rows > 0
+
+
+def test_repeated_names_keep_their_row(spark):
+    files = spark.createDataFrame([(1, "f", "2024-01-01"), (2, "f", "2024-02-01")], "file_id bigint, feed_name string, sent_at string")
+    bodies = [(1, '{"record.key":"a","a":1,"n":{"k":1,"k":2}}'), (2, '{"record.key":"a","a":1,"a":"x","b":2}')]
+    rows = spark.createDataFrame([(i, f, i, b) for i, (f, b) in enumerate(bodies)], "row_id bigint, file_id bigint, line_no int, row_json string")
+    got = {(r.column_name, r.change_kind) for r in drift.changes(files, rows).collect()}
+    assert got == {("a", "retyped"), ("b", "added"), ("n", "removed")}
+    assert {(r.record_key, r.others["a"]) for r in drift.unified(files, rows).collect()} == {("a", "1"), ("a", '"x"')}
