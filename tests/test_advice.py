@@ -34,3 +34,13 @@ def test_repeated_names_keep_their_row(spark):
     got = {(r.column_name, r.change_kind) for r in drift.changes(files, rows).collect()}
     assert got == {("a", "retyped"), ("b", "added"), ("n", "removed")}
     assert {(r.record_key, r.others["a"]) for r in drift.unified(files, rows).collect()} == {("a", "1"), ("a", '"x"')}
+
+
+@pytest.mark.parametrize("text", ["[A][B]", '"A""B"', "A\xa0B", "A\\nB", "<A>B", "A\u2003B", "A\x1fB", "(A)(B)", "‘A’“B”"])
+def test_any_delimiter_reaches_the_lattice(spark, text):
+    rows = spark.createDataFrame([(1, text), (2, "A"), (3, "B*01:02")], "record_id bigint, f string")
+    names = spark.createDataFrame([("f", "A"), ("f", "B")], "field_name string, canonical_name string")
+    want = [v for v, _ in packed.Segmenter(["A", "B"]).segment(text)]
+    got = sorted((r.record_id, r.value_pos, r.value_text) for r in packed.split_values(rows, names, ["f"]).collect())
+    assert got == ([(1, k + 1, v) for k, v in enumerate(want)] if len(want) > 1 else [])
+    assert len(want) == 2 or text == "‘A’“B”"
