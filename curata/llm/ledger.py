@@ -16,6 +16,8 @@ from curata.session import hot_split_join
 
 BUCKETS = 64
 
+_QUOTED = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+
 
 def letters_and_digits(c: Column) -> Column:
     """Letters and digits of a text in order, lower case; null as blank."""
@@ -26,17 +28,32 @@ def canonical_fields(c: Column) -> Column:
     """Named fields of a text in a canonical order, each as name=value of letters and digits.
 
     Fields stand as name=value or name:value between semicolons, bars or line ends, or as the
-    members of one flat JSON object. Fields without a value are left out (null equals blank).
+    members of one JSON object. A piece without a name goes on the value before it; at the start of
+    a text it has the empty name. Fields without a value are left out (null equals blank).
     """
     text = F.trim(F.coalesce(c, F.lit("")))
-    json = F.split(F.regexp_replace(text, r"^\{\s*|\s*\}$", ""), r",\s*(?=\")")
-    flat = F.split(text, r"[;|\n\r]+")
-    pieces = F.when(text.startswith("{"), json).otherwise(flat)
-    named = F.transform(pieces, lambda p: F.split(p, "[:=]", 2))
-    canonical = F.transform(named, lambda p: F.concat(letters_and_digits(F.get(p, F.lit(0))), F.lit("="), letters_and_digits(F.get(p, F.lit(1)))))
+    pieces = F.split(text, r"[;|\n\r]+(?=[^;|\n\r:=]*[:=])")
+    broken = F.split(F.regexp_replace(text, r"^\{\s*|\s*\}$", ""), rf",\s*(?={_QUOTED}\s*[:=])")  # braces, but no JSON
+
+    def named(piece: Column) -> Column:
+        parts = F.split(piece, "[:=]", 2)
+        return F.when(F.size(parts) > 1, _field(parts[0], parts[1])).otherwise(_field(F.lit(""), piece))
+
+    # Numbers are quoted, for the reader would round them. In a list, text behind the object is an
+    # error and not passed over.
+    marked = F.regexp_replace(F.translate(text, "\u0001", ""), rf"({_QUOTED})|(-?\d[\d.eE+\-]*+)", "$1\u0001$2\u0001")
+    quoted = F.translate(F.replace(marked, F.lit("\u0001\u0001"), F.lit("")), "\u0001", '"')
+    objects = F.from_json(F.concat(F.lit("["), quoted, F.lit("]")), "array<map<string,string>>")
+    members = F.transform(F.flatten(F.transform(objects, lambda m: F.map_entries(m))), lambda e: _field(e["key"], e["value"]))
+    flat = F.transform(F.when(text.startswith("{"), broken).otherwise(pieces), named)
+    canonical = F.coalesce(F.when(text.startswith("{"), members), flat)
     return F.array_join(F.array_sort(F.filter(canonical, lambda p: ~p.endswith("="))), ";")
 
 
+def _field(name: Column, value: Column) -> Column:
+    return F.concat(letters_and_digits(name), F.lit("="), letters_and_digits(value))
+
+
 def keyed(rows: DataFrame, plain: Sequence[str], named: Sequence[str], id_column: str, batch_column: str | None = None) -> DataFrame:
     """id, k1, k2, batch: the canonical key of each row over plain columns and columns of named fields."""
     parts = [letters_and_digits(F.col(c)) for c in plain] + [canonical_fields(F.col(c)) for c in named]

@@ -4,7 +4,9 @@ from pathlib import Path
 
 import pytest
 from compare import difference, views
+from pyspark.sql import functions as F
 
+from curata.llm import ledger
 from curata.operators import drift, packed, report
 from curata.plans import records
 
@@ -44,3 +46,14 @@ def test_any_delimiter_reaches_the_lattice(spark, text):
     got = sorted((r.record_id, r.value_pos, r.value_text) for r in packed.split_values(rows, names, ["f"]).collect())
     assert got == ([(1, k + 1, v) for k, v in enumerate(want)] if len(want) > 1 else [])
     assert len(want) == 2 or text == "‘A’“B”"
+
+
+def test_no_text_of_a_field_is_lost(spark):
+    texts = [
+        ("note: A; B", "note=ab"), ("note: A; C", "note=ac"), ("note: A|B\nC;x=1;", "note=abc;x=1"), ("A; note: B; y=", "=a;note=b"), (";;note:;B", "note=b"), ("B", "=b"), ("", ""), (None, ""),
+        ('{"n": ["a", "b"], "m": "x, \\"y\\": 1", "z": null, "e": ""}', "m=xy1;n=ab"), ('{"n": ["a", "c"]}', "n=ac"), ('{"n": 1.50, "o": {"p": true}}', "n=150;o=ptrue"), ('{"n": 1, "n": 2}', "n=1;n=2"), ("{}", ""),
+        ('{"n": "a", "b"', "n=ab"), ('{"n": "a"} rest', "n=arest"), ('{"n": [1.50, -2], "m": 0.12345678901234567891, "s": "a, 5, \\u0041"}', "m=012345678901234567891;n=1502;s=a5a"),
+        ('{"n": "' + "ab " * 20000 + '"}', "n=" + "ab" * 20000),
+    ]
+    rows = spark.createDataFrame([(t, w) for t, w in texts], "t string, want string").select("t", "want", ledger.canonical_fields(F.col("t")).alias("got"))
+    assert [(r.t, r.got) for r in rows.collect()] == texts
