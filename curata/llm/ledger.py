@@ -127,18 +127,23 @@ class Ledger:
         self.spark.createDataFrame(marks or [], "bucket int, version int, folder string").coalesce(1).write.mode("append").parquet(f"{self.path}/versions")
 
 
-def batches_of(keys: DataFrame, most: int = 100) -> list[str | None]:
-    """Batches of the keyed rows, of which there may be at most ``most``."""
+def batches_of(keys: DataFrame, most: int = 100) -> list[str | None] | None:
+    """Batches of the keyed rows; none if there are more than ``most``."""
     found = [r[0] for r in keys.select("batch").distinct().limit(most + 1).collect()]
-    if len(found) > most:
-        raise ValueError(f"more than {most} batches")
-    return sorted(found, key=lambda b: (b is None, str(b)))
+    return sorted(found, key=lambda b: (b is None, str(b))) if len(found) <= most else None
 
 
-def ledger_of(keys: DataFrame) -> DataFrame:
-    """Ledger of all keyed rows, built batch by batch."""
+def ledger_of(keys: DataFrame, most: int = 100, groups: int = 8) -> DataFrame:
+    """Ledger of all keyed rows, built batch by batch.
+
+    More than ``most`` batches are added in groups by a hash of the batch: counts and minima are the
+    same in any grouping.
+    """
+    batches: list | None = batches_of(keys, most)
+    if batches is None:
+        keys, batches = keys.withColumn("batch", F.pmod(F.xxhash64("batch"), F.lit(groups))), list(range(groups))
     ledger: DataFrame | None = None
-    for b in batches_of(keys):
+    for b in batches:
         part = counted(keys.where(F.col("batch").eqNullSafe(F.lit(b))))
         ledger = part if ledger is None else merged(ledger, part)
     return ledger if ledger is not None else counted(keys)

@@ -57,3 +57,11 @@ def test_no_text_of_a_field_is_lost(spark):
     ]
     rows = spark.createDataFrame([(t, w) for t, w in texts], "t string, want string").select("t", "want", ledger.canonical_fields(F.col("t")).alias("got"))
     assert [(r.t, r.got) for r in rows.collect()] == texts
+
+
+def test_any_number_of_registries_is_counted(spark):
+    rows = spark.range(600).selectExpr("id AS line_id", "CASE WHEN id % 7 > 0 THEN concat('r', id % 150) END AS registry", "concat('k', id % 200) AS a")
+    keys = ledger.keyed(rows, ["a"], [], "line_id", "registry").localCheckpoint()
+    want = {(r.k1, r.k2): (r.n_copies, r.first_id) for r in ledger.counted(keys).collect()}
+    assert {(r.k1, r.k2): (r.n_copies, r.first_id) for r in ledger.ledger_of(keys).collect()} == want
+    assert ledger.copies(keys, ledger.ledger_of(keys)).count() == 400
