@@ -10,7 +10,7 @@ are free. Names of other gene families are in the trie too and claim what is clo
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -45,6 +45,12 @@ PLAIN_TAIL = re.compile(r"[\W_]*")
 
 INF = 99
 
+#: Largest limit of an entry.
+LIVE = 3
+
+#: Long runs of one separator; three of them read as any more do.
+RUNS = re.compile(r"([^\w|]|_)\1{3,}")
+
 
 class Symbol(NamedTuple):
     """One step of a trie path: letter, exact letter, digit, break between numbers, or any number."""
@@ -134,7 +140,7 @@ class NameTrie:
     def matches(self, typed: str) -> dict[int, int]:
         """Entries within their distance of ``typed`` and the distance; 0 stands for other families."""
         text = self.decoration.sub(" ", typed.lower().translate(GREEK_LETTERS).replace("–", "-").replace("\xa0", " "))
-        text = text.strip().lstrip("'\"([{<").strip()
+        text = RUNS.sub(r"\1\1\1", text.strip().lstrip("'\"([{<").strip())
         found: dict[int, int] = {}
         for prefix in ["", *SPECIES_PREFIXES]:
             if text.startswith(prefix):
@@ -142,25 +148,44 @@ class NameTrie:
         return found
 
     def _search(self, text: str, found: dict[int, int]) -> None:
+        """Rows hold the costs up to the last live one (3 at most, as is every limit); beyond it none is live."""
         n = len(text)
-        if n > 200:
-            return
         letter = [c.isalpha() for c in text]
         free = [not c.isalnum() for c in text]
         number = [LOOKALIKES.get(c, c) for c in text]
         tails: dict[tuple[int, int], bool] = {}
 
         def spread(row: list[int], insert: bool) -> list[int]:
-            for j in range(n):
+            j = 0
+            while j < n and j < len(row):
                 step = row[j] + (0 if free[j] else 1 if insert and letter[j] else INF)
-                if step < row[j + 1]:
+                if j + 1 == len(row):
+                    if step > LIVE:
+                        break
+                    row.append(step)
+                elif step < row[j + 1]:
                     row[j + 1] = step
+                j += 1
+            return live(row)
+
+        def live(row: list[int]) -> list[int]:
+            while row and row[-1] > LIVE:
+                row.pop()
             return row
 
+        def run(new: list[int], row: list[int], within: Callable[[int], bool]) -> None:
+            """One or more characters of a kind at no cost."""
+            for j in range(n):
+                if j + 1 == len(new):
+                    if new[j] > LIVE:
+                        break
+                    new.append(INF)
+                if within(j):
+                    new[j + 1] = min(row[j] if j < len(row) else INF, new[j])
+
         def visit(node: dict, row: list[int], before: list[int] | None, last: Symbol | None) -> None:
             for name_id, limit, tail in node.get("ends", ()):
-                for j in range(n + 1):
-                    cost = row[j]
+                for j, cost in enumerate(row):
                     if cost <= limit and cost < found.get(name_id, INF):
                         key = (id(tail), j)
                         if key not in tails:
@@ -173,57 +198,66 @@ class NameTrie:
                 kind, char = symbol.kind, symbol.char
                 lone = last is not None and last.kind == "digit" and last.first and last.last
                 swaps = before is not None and last is not None and (last.kind == "letter" or lone)
-                new = [INF] * (n + 1)
+                # A step takes one character more, a swap two more than the row before; the rest is run through below.
+                top = min(n, max(len(row), len(before) + 1 if swaps else 0))
+                padded = row + [INF] * (top + 1 - len(row))
+                new = [INF] * (top + 1)
                 if kind == "letter":
-                    new[0] = row[0] + 1
-                    for j in range(1, n + 1):
+                    new[0] = padded[0] + 1
+                    for j in range(1, top + 1):
                         c = text[j - 1]
-                        best = row[j] + 1
+                        best = padded[j] + 1
                         if c == char or (char in "ilo" and number[j - 1] == LOOKALIKES[char]):
-                            best = min(best, row[j - 1])
+                            best = min(best, padded[j - 1])
                         elif letter[j - 1]:
-                            best = min(best, row[j - 1] + 1)
-                        if swaps and j > 1 and c == last.char and text[j - 2] == char:
+                            best = min(best, padded[j - 1] + 1)
+                        if swaps and 1 < j < len(before) + 2 and c == last.char and text[j - 2] == char:
                             best = min(best, before[j - 2] + 1)
                         new[j] = best
                     spread(new, insert=True)
                 elif kind == "exact":
-                    for j in range(1, n + 1):
+                    for j in range(1, top + 1):
                         if text[j - 1] == char:
-                            new[j] = row[j - 1]
+                            new[j] = padded[j - 1]
                     spread(new, insert=False)
                 elif kind == "digit":
-                    source = row
+                    source = padded
                     if symbol.first and char != "0":
-                        source = row[:]
+                        source = padded[:]
                         for j in range(n):
+                            if j + 1 == len(source):
+                                if number[j] != "0" or source[j] > LIVE:
+                                    break
+                                source.append(INF)
                             if number[j] == "0" and source[j] < source[j + 1]:
                                 source[j + 1] = source[j]
-                    for j in range(1, n + 1):
+                        top = min(n, max(top, len(source)))
+                        source += [INF] * (top + 1 - len(source))
+                        new += [INF] * (top + 1 - len(new))
+                    for j in range(1, top + 1):
                         if number[j - 1] == char:
                             new[j] = source[j - 1]
-                        if swaps and not lone and symbol.first and symbol.last and j > 1 and text[j - 1] == last.char and number[j - 2] == char:
+                        if swaps and not lone and symbol.first and symbol.last and 1 < j < len(before) + 2 and text[j - 1] == last.char and number[j - 2] == char:
                             new[j] = min(new[j], before[j - 2] + 1)
                     if symbol.last:
                         spread(new, insert=False)
                 elif kind == "break":
-                    for j in range(1, n + 1):
-                        if free[j - 1] or text[j - 1] == "s":
-                            new[j] = min(row[j - 1], new[j - 1])
+                    run(new, padded, lambda j: free[j] or text[j] == "s")
                 else:
-                    for j in range(1, n + 1):
-                        if text[j - 1].isdigit():
-                            new[j] = min(row[j - 1], new[j - 1])
+                    run(new, padded, lambda j: text[j].isdigit())
                     spread(new, insert=False)
-                if min(new) <= 3:
+                if live(new):
                     visit(child, new, row, symbol)
 
-        visit(self.root, spread([0] + [INF] * n, insert=True), None, None)
+        visit(self.root, spread([0], insert=True), None, None)
 
     def resolve(self, typed: str) -> tuple[int, int]:
         """The entry that ``typed`` means and its distance; (0, -1) if none or several are closest."""
-        found = self.matches(typed)
-        other = found.pop(0, INF)
+        return self.chosen(self.matches(typed))
+
+    def chosen(self, found: dict[int, int]) -> tuple[int, int]:
+        """The one entry of ``matches`` that is meant."""
+        other, found = found.get(0, INF), {e: cost for e, cost in found.items() if e}
         if not found:
             return 0, -1
         least = min(found.values())
@@ -241,11 +275,12 @@ def canonical_names(
 ) -> DataFrame:
     """The listed entry of every typed value that is not itself, character for character, listed.
 
-    Result: ``id_column``, field_name, typed, name_id, distance. name_id is 0 and distance -1 for
+    Result: ``id_column``, field_name, typed, name_id, distance, within. name_id is 0 and distance -1 for
     values that mean no entry or are equally close to several (unmatched values). A listed name in
     finer detail means its entry; a gene or allele that is not listed means none. Null values give
-    no row; empty ones are unmatched, as are texts of more than 200 characters. Each distinct
-    value is resolved once and joined back, so repeated rows cost nothing.
+    no row; empty ones are unmatched. ``within`` lists all entries within their distance, the
+    closest first. Each distinct value is resolved once and joined back, so repeated rows cost
+    nothing.
     """
     found = names.where(F.col("field_name").isin(list(fields)) & F.col("canonical_name").isNotNull()).select("field_name", "name_id", "canonical_name")
     rows = found.limit(MAX_ENTRIES + 1).collect()
@@ -264,20 +299,24 @@ def canonical_names(
         .join(F.broadcast(listed), ["field_name", "typed"], "left_anti")
     )
 
+    within = pa.list_(pa.struct([("name_id", pa.int64()), ("distance", pa.int32())]))
+
     def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tries = {f: NameTrie(e) for f, e in entries.items()}
         for batch in batches:
             field, text = batch.column("field_name").to_pylist(), batch.column("typed").to_pylist()
-            best = [tries[f].resolve(t) for f, t in zip(field, text)]
+            found = [tries[f].matches(t) for f, t in zip(field, text)]
+            best = [tries[f].chosen(m) for f, m in zip(field, found)]
+            every = [[{"name_id": e, "distance": c} for c, e in sorted((c, e) for e, c in m.items() if e)] for m in found]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("field_name"), batch.column("typed"), pa.array([e for e, _ in best], pa.int64()), pa.array([c for _, c in best], pa.int32())],
-                ["field_name", "typed", "name_id", "distance"],
+                [batch.column("field_name"), batch.column("typed"), pa.array([e for e, _ in best], pa.int64()), pa.array([c for _, c in best], pa.int32()), pa.array(every, within)],
+                ["field_name", "typed", "name_id", "distance", "within"],
             )
 
     distinct = typed.groupBy("field_name", "typed").agg(F.count("*").alias("n")).select("field_name", "typed")
     # The values are few bytes but much work each, so they are spread by number, not by size.
     spread = distinct.repartition(records.sparkSession.sparkContext.defaultParallelism, "typed")
     resolved = spread.mapInArrow(
-        resolve, "field_name string, typed string, name_id bigint, distance int"
+        resolve, "field_name string, typed string, name_id bigint, distance int, within array<struct<name_id: bigint, distance: int>>"
     )
     return lookup_join(typed, checkpointed(resolved), ["field_name", "typed"], "inner")

@@ -6,7 +6,7 @@ import pytest
 from compare import difference, views
 from pyspark.sql import functions as F
 
-from curata.llm import ledger
+from curata.llm import canonical, ledger
 from curata.operators import drift, packed, report
 from curata.plans import records
 
@@ -65,3 +65,21 @@ def test_any_number_of_registries_is_counted(spark):
     want = {(r.k1, r.k2): (r.n_copies, r.first_id) for r in ledger.counted(keys).collect()}
     assert {(r.k1, r.k2): (r.n_copies, r.first_id) for r in ledger.ledger_of(keys).collect()} == want
     assert ledger.copies(keys, ledger.ledger_of(keys)).count() == 400
+
+
+GENES = [(1, "TRAV1"), (2, "TRAV10-1"), (3, "TRAV10-2"), (4, "TRAV5-2"), (5, "TRAV35/DV2")]
+
+
+@pytest.mark.parametrize(
+    ("typed", "want"),
+    [("TRAV1" + " " * 5000 + "*01", 1), ("-" * 300 + "TRAV10_2", 3), ("TRAV" + "0" * 300 + "1", 1), ("TRAV1*02" + ":03" * 100, 1), ("TRAV10" + " " * 900 + "-1", 2), ("TRAV1 " + "x" * 300, 0), ("1" * 20_000, 0)],
+)
+def test_long_names_are_searched(typed, want):
+    assert canonical.NameTrie(GENES).resolve(typed)[0] == want
+
+
+def test_all_entries_within_distance_are_listed(spark):
+    rows = spark.createDataFrame([(1, "TRAVV1"), (2, "mixed"), (3, "DRB1*2313")], "record_id bigint, v_alpha string")
+    names = spark.createDataFrame([("v_alpha", i, n) for i, n in [*GENES, (6, "TRBV1"), (7, "TRDV1")]], "field_name string, name_id bigint, canonical_name string")
+    got = {r.record_id: ([tuple(x) for x in r.within], r.name_id) for r in canonical.canonical_names(rows, names, ["v_alpha"]).collect()}
+    assert got[1][1] == 1 and got[1][0][0] == (1, 1) and {e for e, _ in got[1][0]} == {1, 6, 7} and got[2] == ([], 0)
