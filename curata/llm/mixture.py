@@ -8,6 +8,7 @@ run through again up to its cap of repeats; the blocks are consecutive stretches
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from curata.session import checkpointed
 
-#: Slots of a schedule; shares are met to within one slot in so many.
+#: Least slots of a schedule; shares are met to within one slot in so many.
 SLOTS = 4096
 
 #: Parts into which each source's stream is cut to sum its tokens; each part is summed by one task.
@@ -31,6 +32,12 @@ PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 #: Longer texts are encoded in pieces cut at white space, which no token of the pattern crosses.
 PIECE = 50_000
 
+# Before a white space between two other characters.
+CUT = re.compile(r"\S(?=\s\S)")
+
+#: Most slots of a schedule.
+MOST_SLOTS = 1 << 16
+
 
 def _encoding(path: str):  # noqa: ANN202
     import base64
@@ -46,6 +53,22 @@ def _encoding(path: str):  # noqa: ANN202
     return kept[path]
 
 
+def pieces(text: str, size: int = PIECE) -> Iterator[str]:
+    """The text in pieces of about ``size`` characters, each cut before a single white space.
+
+    There the pattern starts anew, so the pieces have the tokens of the whole. Where no such place
+    is within reach the piece runs on to the next.
+    """
+    at = 0
+    while len(text) - at > size:
+        cut = CUT.search(text, at + size)
+        if cut is None:
+            break
+        yield text[at : cut.end()]
+        at = cut.end()
+    yield text[at:]
+
+
 def token_counts(documents: DataFrame, tokenizer: str = TOKENIZER, keep: tuple[str, ...] = ("doc_id", "source")) -> DataFrame:
     """``keep`` columns, a 128-bit hash of each text, and its tokens of a public tokenizer.
 
@@ -58,12 +81,7 @@ def token_counts(documents: DataFrame, tokenizer: str = TOKENIZER, keep: tuple[s
         for batch in batches:
             counts = []
             for text in batch.column("text").to_pylist():
-                total, at = 0, 0
-                while at < len(text):
-                    stop = len(text) if len(text) - at <= PIECE else max(text.rfind(" ", at, at + PIECE), at + 1)
-                    total += len(encoding.encode_ordinary(text[at:stop]))
-                    at = stop
-                counts.append(total)
+                counts.append(sum(len(encoding.encode_ordinary(piece)) for piece in pieces(text)))
             kept = [batch.column(c) for c in keep]
             yield pa.RecordBatch.from_arrays([*kept, batch.column("h1"), batch.column("h2"), pa.array(counts, pa.int64())], [*keep, "h1", "h2", "n_tokens"])
 
@@ -103,10 +121,28 @@ def van_der_corput(n: int) -> np.ndarray:
     return points
 
 
+def enough_slots(shares: list[float], slots: int = SLOTS) -> int:
+    """``slots``, doubled up to ``MOST_SLOTS`` until the smallest share amounts to one."""
+    while slots < MOST_SLOTS and slots * min(shares) < sum(shares):
+        slots *= 2
+    return slots
+
+
 def schedule(shares: list[float], slots: int = SLOTS) -> np.ndarray:
-    """Source of each slot: the points of the sequence mapped through the cumulative shares."""
+    """Source of each slot: the points of the sequence mapped through the cumulative shares.
+
+    A share too small for any point gets one slot of the largest.
+    """
     bounds = np.cumsum(np.array(shares) / sum(shares))
-    return np.minimum(np.searchsorted(bounds, van_der_corput(slots), side="right"), len(shares) - 1)
+    drawn = np.minimum(np.searchsorted(bounds, van_der_corput(slots), side="right"), len(shares) - 1)
+    counts = np.bincount(drawn, minlength=len(shares))
+    for k in np.flatnonzero(counts == 0):
+        largest = int(counts.argmax())
+        if counts[largest] < 2:
+            break  # more sources than slots
+        drawn[np.flatnonzero(drawn == largest)[-1]] = k
+        counts[[largest, k]] += [-1, 1]
+    return drawn
 
 
 def mixtures(lengths: dict[str, int], targets: list[tuple[str, str, float, int]], slots: int = SLOTS) -> list[tuple]:
@@ -120,7 +156,8 @@ def mixtures(lengths: dict[str, int], targets: list[tuple[str, str, float, int]]
     for mix in sorted({t[0] for t in targets}):
         own = sorted(t[1:] for t in targets if t[0] == mix)
         usable = [(s, share, cap) for s, share, cap in own if lengths.get(s, 0) > 0 and share > 0 and cap > 0]
-        counts = np.bincount(schedule([u[1] for u in usable], slots), minlength=len(usable)) if usable else []
+        weights = [u[1] for u in usable]
+        counts = np.bincount(schedule(weights, max(enough_slots(weights, slots), len(usable))), minlength=len(usable)) if usable else []
         block = min((lengths[s] * cap / n for (s, _, cap), n in zip(usable, counts) if n), default=0.0)
         total = sum(u[1] for u in usable)
         of = {s: (share / total, int(n)) for (s, share, _), n in zip(usable, counts)}
@@ -164,9 +201,10 @@ def mixed(documents: DataFrame, targets: DataFrame, tokenizer: str = TOKENIZER,
     plan = _plan(streams, targets, slots)
     slot_of: list[tuple] = []
     for mix in {r["mix_name"] for r in plan.select("mix_name").collect()}:
-        usable = [(r["source"], r["share_among_present"]) for r in plan.where(F.col("mix_name") == mix).orderBy("source").collect() if r["n_slots"]]
+        rows = [r for r in plan.where(F.col("mix_name") == mix).orderBy("source").collect() if r["n_slots"]]
+        usable = [(r["source"], r["share_among_present"]) for r in rows]
         nth = dict.fromkeys([s for s, _ in usable], 0)
-        for slot, k in enumerate(schedule([w for _, w in usable], slots) if usable else []):
+        for slot, k in enumerate(schedule([w for _, w in usable], sum(r["n_slots"] for r in rows)) if usable else []):
             slot_of.append((mix, usable[k][0], nth[usable[k][0]], slot))
             nth[usable[k][0]] += 1
     table = streams.sparkSession.createDataFrame(slot_of, "mix_name string, source string, nth int, slot int")  # slots rows a mix

@@ -6,7 +6,7 @@ import pytest
 from compare import difference, views
 from pyspark.sql import functions as F
 
-from curata.llm import canonical, ledger
+from curata.llm import canonical, ledger, mixture
 from curata.operators import drift, packed, report
 from curata.plans import records
 
@@ -83,3 +83,21 @@ def test_all_entries_within_distance_are_listed(spark):
     names = spark.createDataFrame([("v_alpha", i, n) for i, n in [*GENES, (6, "TRBV1"), (7, "TRDV1")]], "field_name string, name_id bigint, canonical_name string")
     got = {r.record_id: ([tuple(x) for x in r.within], r.name_id) for r in canonical.canonical_names(rows, names, ["v_alpha"]).collect()}
     assert got[1][1] == 1 and got[1][0][0] == (1, 1) and {e for e, _ in got[1][0]} == {1, 6, 7} and got[2] == ([], 0)
+
+
+def test_every_usable_source_gets_a_slot(spark):
+    given = [0.5, 0.49998, 0.00002]
+    slots = mixture.schedule(given, mixture.enough_slots(given))
+    assert (slots == 2).any() and abs((slots == 2).mean() - 0.00002) < 0.00002
+    assert set(mixture.schedule([1.0, 1e-9, 1e-9])) == {0, 1, 2}
+    docs = spark.createDataFrame([(i, f"cell beta {i}", "big") for i in range(3000)] + [(9000 + i, f"gamma {i}", "tiny") for i in range(40)], "doc_id bigint, text string, source string")
+    targets = spark.createDataFrame([("m", "big", 0.9999, 5), ("m", "tiny", 0.0001, 5)], "mix_name string, source_name string, target_share double, max_repeats int")
+    reached = {r.source: r.n_texts for r in mixture.shares(docs, targets).collect()}
+    assert reached["tiny"] > 0 and {r.source for r in mixture.mixed(docs, targets).collect()} == {"big", "tiny"}
+
+
+@pytest.mark.parametrize("text", ["ab" * 60_000, "a" * 70_000 + " b", "ab\n" * 30_000, "ab   \n  c" * 9000, "x" * 49_999 + "    y" + " z" * 5])
+def test_long_texts_have_the_tokens_of_the_whole(text):
+    encoding = mixture._encoding(mixture.TOKENIZER)
+    assert "".join(mixture.pieces(text)) == text
+    assert sum(len(encoding.encode_ordinary(p)) for p in mixture.pieces(text)) == len(encoding.encode_ordinary(text))
