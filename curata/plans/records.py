@@ -573,12 +573,24 @@ _PLACES = "pl AS (SELECT DISTINCT 'PMID:' || c_custkey AS reference_id, n_name A
 
 @query(f"WITH {SRC}, {_SLIM}, {_LAB}, {_PLACES} SELECT city, antigen_epitope, sum(n)::BIGINT AS n, count(DISTINCT reference_id) AS n_refs FROM lt JOIN pl USING (reference_id) GROUP BY 1, 2")
 def rep_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    places = load(spark, sf_dir, "customer").where("c_custkey % 2 = 0").join(F.broadcast(load(spark, sf_dir, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
+    return _geo(spark, sf_dir, load(spark, sf_dir, "customer").where("c_custkey % 2 = 0"))
+
+
+def _geo(spark: SparkSession, sf_dir: str, customers: DataFrame) -> DataFrame:
+    places = customers.join(F.broadcast(load(spark, sf_dir, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
     named = places.select(F.concat(F.lit("PMID:"), F.col("c_custkey").cast("string")).alias("reference_id"), F.col("n_name").alias("city"))
     totals = report.placed(report.totals_by_reference(_slim(spark, sf_dir), "SARS-CoV-2"), named)
     return totals.groupBy("city", "antigen_epitope").agg(F.sum("n").alias("n"), F.count_distinct("reference_id").alias("n_refs"))
 
 
+_ALL_PLACES = "pl AS (SELECT DISTINCT 'PMID:' || c_custkey AS reference_id, n_name AS city FROM customer JOIN nation ON c_nationkey = n_nationkey)"
+
+
+@query(f"WITH {SRC}, {_SLIM}, {_LAB}, {_ALL_PLACES} SELECT city, antigen_epitope, sum(n)::BIGINT AS n, count(DISTINCT reference_id) AS n_refs FROM lt JOIN pl USING (reference_id) GROUP BY 1, 2")
+def rep_geo_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _geo(spark, sf_dir, load(spark, sf_dir, "customer"))
+
+
 _CITIES = ["NLVPATV", "NLVIATV", "NLVTATV"]
 
 
@@ -593,11 +605,11 @@ def rep_geo_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""PIVOT (WITH {SRC}, {_SLIM}, {_LAB}, {_PLACES}, ge AS (SELECT city, antigen_epitope, sum(n)::BIGINT AS n FROM lt JOIN pl USING (reference_id) GROUP BY 1, 2)
+    f"""PIVOT (WITH {SRC}, {_SLIM}, {_LAB}, {_ALL_PLACES}, ge AS (SELECT city, antigen_epitope, sum(n)::BIGINT AS n FROM lt JOIN pl USING (reference_id) GROUP BY 1, 2)
 SELECT city, antigen_epitope, n, round(ln(sum(n) OVER (PARTITION BY city) + 1), 6) AS radius FROM ge) ON antigen_epitope USING coalesce(sum(n), 0)::BIGINT GROUP BY city, radius"""
 )
 def rep_geo_pivot_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = checkpointed(rep_geo(spark, sf_dir))  # read three times
+    counts = checkpointed(rep_geo_all(spark, sf_dir))  # read three times
     radius = counts.groupBy("city").agg(F.round(F.log1p(F.sum("n")), 6).alias("radius"))
     return report.spread_all(counts, ["city"], "antigen_epitope", "n").join(radius, "city")
 

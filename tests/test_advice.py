@@ -23,7 +23,7 @@ def test_pivot_has_every_value(spark):
 
 
 @pytest.mark.skipif(not Path(SF).exists(), reason="no test tables")
-@pytest.mark.parametrize("name", ["rep_geo_pivot_all"])
+@pytest.mark.parametrize("name", ["rep_geo_all", "rep_geo_pivot_all"])
 def test_query_equals_sql(spark, name):
     rows, unlike = difference(spark, views(SF), records.QUERIES[name], records.SQL[name], SF)
     assert unlike == "" and rows > 0
@@ -101,3 +101,15 @@ def test_long_texts_have_the_tokens_of_the_whole(text):
     encoding = mixture._encoding(mixture.TOKENIZER)
     assert "".join(mixture.pieces(text)) == text
     assert sum(len(encoding.encode_ordinary(p)) for p in mixture.pieces(text)) == len(encoding.encode_ordinary(text))
+
+
+@pytest.mark.skipif(not Path(SF).exists(), reason="no test tables")
+def test_every_reference_with_a_place_is_counted(spark):
+    whole = report.totals_by_reference(records._slim(spark, SF), "SARS-CoV-2").agg(F.sum("n")).first()[0]
+    assert records.rep_geo_all(spark, SF).agg(F.sum("n")).first()[0] == whole
+
+
+def test_references_without_a_place_are_left_out(spark):
+    counts = spark.createDataFrame([("r1", 2), ("r2", 3)], "reference_id string, n bigint")
+    places = spark.createDataFrame([("r1", "x"), ("r1", "x")], "reference_id string, city string")
+    assert [(r.reference_id, r.city, r.n) for r in report.placed(counts, places).collect()] == [("r1", "x", 2)]
