@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import argparse
+import os
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from curata.operators import fixer, patch, quality, tables
+from curata.operators import fixer, patch, quality, realign, tables
 from curata.schema import ALL
+from curata.session import checkpointed
 from curata.sources import chunks, dictionaries, sinks
 
+FULL = [*ALL, "cdr3fix_alpha", "cdr3fix_beta", "confidence_score", "tcr_hash"]
+
 
 def build(
     spark: SparkSession,
@@ -18,22 +23,54 @@ def build(
     resources: str,
     wanted: Sequence[str] | None = None,
     policy: str = "warn",
+    substring: bool = False,
+    second_fix: bool = False,
+    legacy_slim: bool = False,
+    pgen: Column | None = None,
+    clusters: str | None = None,
+    alleles: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Read, deduplicate, check, patch, repair, score; returns full, default, slim and rejects.
+    """Read, check, deduplicate, patch, repair, score; returns every table of the family by name.
 
     ``resources`` holds antigens.dict, nomenclature.tsv, segments.txt and segments.parts.txt.
+    ``policy`` warn keeps rows that a check refuses, drop leaves them out, fail raises at the first
+    one and at files whose header cannot be used. ``second_fix`` realigns after the repair.
+    ``alleles``, a table of gene names and allele numbers, adds the split tables; ``clusters``, a
+    table of cluster members, adds the scored ones. ``qc`` lists messages and repeated rows.
     """
-    records, rejects = chunks.read_chunks(spark, folder, wanted)
-    distinct = quality.deduplicated(records, ["line_no"], scope=["chunk_file"])
-    checked = quality.checked(distinct, policy).drop("messages")
-    patched = patch.patched_antigens(checked, dictionaries.antigen_dictionary(spark, f"{resources}/antigens.dict"))
-    segments = dictionaries.segments(spark, f"{resources}/segments.txt")
+    records, rejects = chunks.read_chunks(spark, folder, wanted, substring, ALL, policy)
+    read = checkpointed(records)
+    distinct = checkpointed(quality.deduplicated(read, ["line_no"], scope=["chunk_file"]))
+    place = ["chunk_file", "line_no"]
+    judged = quality.checked(distinct, policy)
+    messages = quality.checked(distinct).where(F.size("messages") > 0).select(*place, F.array_join("messages", "; ").alias("messages"))
+    repeats = quality.repeated(read, distinct, place).select(*place, F.lit("duplicate").alias("messages"))
+    patched = patch.patched_antigens(judged.drop("messages"), dictionaries.antigen_dictionary(spark, f"{resources}/antigens.dict"))
+    segments = checkpointed(dictionaries.segments(spark, f"{resources}/segments.txt"))
     repaired = fixer.repaired(
         patched, fixer.germline(segments), dictionaries.segment_parts(spark, f"{resources}/segments.parts.txt"), dictionaries.nomenclature(spark, f"{resources}/nomenclature.tsv")
     )
-    full = tables.full_table(repaired)
-    default = tables.default_table(full, ["chunk_file", "line_no"])
-    return {"full": full.select(*ALL, "cdr3fix_alpha", "cdr3fix_beta", "confidence_score", "tcr_hash"), "default": default, "slim": tables.slim_table(default), "rejects": rejects}
+    found: dict[str, DataFrame] = {}
+    if second_fix:
+        repaired = realign.realigned(repaired, segments)
+        each = F.explode(F.array(*[F.struct(F.col(f"cdr3fix_{c}.v_fix_type").alias("v_fix_type"), F.col(f"cdr3fix_{c}.j_fix_type").alias("j_fix_type")) for c in ("alpha", "beta")])).alias("k")
+    full = checkpointed(tables.full_table(repaired))
+    if second_fix:
+        found["realign_counts"] = realign.change_counts(full.select(each).select("k.*"))
+    default = checkpointed(tables.default_table(full, place, pgen=pgen))
+    slim = (tables.slim_table_legacy if legacy_slim else tables.slim_table)(default)
+    found |= {"full": full.select(*FULL), "default": default, "slim": slim, "meta": tables.catalog(spark), "slim_meta": tables.slim_catalog(slim), "rejects": rejects, "qc": messages.unionByName(repeats)}
+    if alleles:
+        found |= sinks.splits(quality.broken_flags(full.select(*FULL), dictionaries.allele_numbers(spark, alleles)))
+    if clusters:
+        members = dictionaries.cluster_members(spark, clusters)
+        found |= {"full_scored": tables.cluster_flag_full(full.select(*FULL), members)}
+        found |= {f"{n}_scored": tables.cluster_flag_chains(found[n], members) for n in ("default", "slim")}
+    return found
+
+
+#: Tables written without quotes, so that their JSON columns stay as they are.
+UNQUOTED = ["default", "default_scored", "full_scored", "slim_scored"]
 
 
 def main(argv: Sequence[str] | None = None) -> None:
@@ -42,11 +79,19 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("resources")
     parser.add_argument("out")
     parser.add_argument("--chunks-to-build", nargs="*")
+    parser.add_argument("--substring", action="store_true", help="take files whose name contains one of the texts")
     parser.add_argument("--policy", choices=["warn", "drop", "fail"], default="warn")
+    parser.add_argument("--fix2", action=argparse.BooleanOptionalAction, default=False, help="realign segments after the repair")
+    parser.add_argument("--legacy-slim", action="store_true")
+    parser.add_argument("--clusters", help="table of cluster members")
+    parser.add_argument("--alleles", help="table of gene names and allele numbers")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("curata").getOrCreate()
-    for name, table in build(spark, args.folder, args.resources, args.chunks_to_build, args.policy).items():
-        sinks.write_table(table, f"{args.out}/{name}", quoted=name != "default")
+    if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(os.path.join(args.out, "_intermediate"))  # shared, as the output is
+    found = build(spark, args.folder, args.resources, args.chunks_to_build, args.policy, args.substring, args.fix2, args.legacy_slim, None, args.clusters, args.alleles)
+    for name, table in found.items():
+        sinks.write_table(table, f"{args.out}/{name}", first="cdr3_alpha" if name.startswith("full") else None, quoted=name not in UNQUOTED)
 
 
 if __name__ == "__main__":

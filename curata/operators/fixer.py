@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from curata.functions import seq
 from curata.operators.patch import converted_names
-from curata.session import checkpointed, lookup_join
+from curata.session import checkpointed, hot_split_join, lookup_join, row_key
 
 
 def germline(segments: DataFrame) -> DataFrame:
@@ -23,14 +23,18 @@ def germline(segments: DataFrame) -> DataFrame:
 
 
 def closest_segments(names: DataFrame, segments: DataFrame, conversions: DataFrame | None = None) -> DataFrame:
-    """The listed segment closest to each distinct (species, segment_id); the name itself if none is."""
+    """The listed segment closest to each distinct (species, segment_id); the name itself if none is.
+
+    Species are compared in any letter case.
+    """
     distinct = names.where("segment_id is not null").select("species", "segment_id").distinct()
     named = distinct.withColumn("name", F.col("segment_id"))
     if conversions is not None:
         named = converted_names(named, conversions, "name")
-    tried = named.select("species", "segment_id", "name", F.posexplode(seq.segment_candidates(F.col("name"))).alias("pos", "id"))
-    listed = segments.select("species", "id", F.lit(True).alias("listed")).distinct()
-    found = lookup_join(tried, listed, ["species", "id"], "inner").groupBy("species", "segment_id").agg(F.min_by("id", "pos").alias("found"))
+    tried = named.select("species", F.lower("species").alias("__species"), "segment_id", F.posexplode(seq.segment_candidates(F.col("name"))).alias("pos", "id"))
+    listed = segments.select(F.lower("species").alias("__species"), "id").distinct()
+    found = lookup_join(tried, listed, ["__species", "id"], "inner").groupBy("species", "segment_id").agg(F.min_by("id", "pos").alias("found"))
+    # A null species has no listed segment, so the plain join gives it its own name.
     return named.join(found, ["species", "segment_id"], "left").select("species", "segment_id", F.coalesce("found", "name").alias("closest_id"))
 
 
@@ -57,7 +61,8 @@ def _one_side(inputs: DataFrame, listed: str, segments: DataFrame, closest: Data
     cdr3 = F.col("text") if five_prime else F.reverse("text")
     each = inputs.select("*", F.posexplode(F.split(F.coalesce(listed, F.lit("")), ",")).alias("pos", "segment_id"))
     named = lookup_join(each, closest, ["species", "segment_id"]).withColumn("id", F.coalesce("closest_id", "segment_id"))
-    sought = lookup_join(named, segments.select("species", "id", "seq_aa"), ["species", "id"])
+    listed = segments.select(F.lower("species").alias("__species"), "id", "seq_aa").dropDuplicates(["__species", "id"])
+    sought = lookup_join(named.withColumn("__species", F.lower("species")), listed, ["__species", "id"]).drop("__species")
     segment = F.col("seq_aa") if five_prime else F.reverse("seq_aa")
     fixed = sought.withColumn("hit", seq.kmer_hit(segment, cdr3)).withColumn("fix", seq.one_sided_fix(segment, cdr3, F.col("hit")))
     best = F.min_by(F.struct("id", "fix"), F.struct("fix.rank", "pos")).alias("best")
@@ -102,46 +107,61 @@ def fixed_both(inputs: DataFrame, segments: DataFrame, conversions: DataFrame |
 def fix_json(fix: str) -> F.Column:
     """A repair as JSON, keys in alphabetical order."""
     names = {"cdr3": "cdr3", "cdr3_old": "cdr3_old", "fixNeeded": "fix_needed", "good": "good", "jCanonical": "j_canonical", "jFixType": "j_fix_type", "jId": "j_id", "jStart": "j_start", "vCanonical": "v_canonical", "vEnd": "v_end", "vFixType": "v_fix_type", "vId": "v_id"}
-    return F.to_json(F.struct(*[F.col(f"{fix}.{c}").alias(n) for n, c in names.items()]), {"ignoreNullFields": "false"})
+    document = F.to_json(F.struct(*[F.col(f"{fix}.{c}").alias(n) for n, c in names.items()]), {"ignoreNullFields": "false"})
+    return F.when(F.col(fix).isNotNull(), document)
 
 
 def repaired(rows: DataFrame, segments: DataFrame, parts: DataFrame, conversions: DataFrame | None = None) -> DataFrame:
     """Records with missing segments guessed, both chains repaired and cdr3fix_alpha, cdr3fix_beta added.
 
     V and J become the closest listed names; chains without CDR3 lose theirs. Guesses and repairs
-    are made once per distinct (species, CDR3, V, J) and joined back once per chain.
+    are made once per distinct (species, CDR3, V, J) and joined back once per chain, with inputs
+    that many records share split.
     """
-    result = rows
+    tables = {}
     for chain, gene in (("alpha", "TRA"), ("beta", "TRB")):
-        given = {"cdr3": f"cdr3_{chain}", "v": f"v_{chain}", "j": f"j_{chain}"}
-        inputs = checkpointed(rows.where(F.col(given["cdr3"]).isNotNull()).select("species", *[F.col(c).alias(n) for n, c in given.items()]).distinct())
-        filled = inputs.withColumns({"v_given": F.col("v"), "j_given": F.col("j")})
+        columns = {"species": "species", "cdr3": f"cdr3_{chain}", "v": f"v_{chain}", "j": f"j_{chain}"}
+        keyed = rows.select(*[F.col(c).alias(n) for n, c in columns.items()]).select("*", *row_key(["species", "cdr3", "v", "j"]))
+        inputs = checkpointed(keyed.groupBy("__k1", "__k2").agg(*[F.first(c).alias(c) for c in columns], F.count("*").alias("__n")))
+        filled = inputs.where("cdr3 is not null").drop("__n")
         for end, five_prime in (("v", True), ("j", False)):
-            missing = inputs.where(F.col(end).isNull()).select("species", F.lit(gene).alias("gene"), "cdr3")
+            missing = inputs.where(F.col("cdr3").isNotNull() & F.col(end).isNull()).select("species", F.lit(gene).alias("gene"), "cdr3")
             guesses = guessed_segments(missing, parts, five_prime).select("species", "cdr3", F.col("segment_id").alias("__guess"))
             filled = filled.join(guesses, ["species", "cdr3"], "left").withColumn(end, F.coalesce(end, "__guess")).drop("__guess")
         filled = checkpointed(filled)
         fixes = fixed_both(filled, segments, conversions)
         same = [fixes[c].eqNullSafe(filled[c]) for c in ("species", "cdr3", "v", "j")]
-        table = checkpointed(filled.join(fixes, same).select(filled["species"].alias("__species"), filled["cdr3"].alias("__cdr3"), "v_given", "j_given", F.col("fix").alias(f"cdr3fix_{chain}")))
-        back = [F.col("species").eqNullSafe(F.col("__species")), F.col(given["cdr3"]) == F.col("__cdr3"), F.col(given["v"]).eqNullSafe(F.col("v_given")), F.col(given["j"]).eqNullSafe(F.col("j_given"))]
+        fixed = filled.join(fixes, same).select("__k1", "__k2", F.col("fix").alias(f"cdr3fix_{chain}"))
+        tables[chain] = inputs.select("__k1", "__k2", "__n").join(fixed, ["__k1", "__k2"], "left")
+    result = rows
+    for chain, table in tables.items():
         fix = f"cdr3fix_{chain}"
+        keyed = result.select("*", *row_key(["species", f"cdr3_{chain}", f"v_{chain}", f"j_{chain}"]))
         result = (
-            result.join(table, back, "left")
-            .drop("__species", "__cdr3", "v_given", "j_given")
-            .withColumns({given["cdr3"]: F.col(f"{fix}.cdr3"), given["v"]: F.col(f"{fix}.v_id"), given["j"]: F.col(f"{fix}.j_id")})
+            hot_split_join(keyed, table, ["__k1", "__k2"], "__n")
+            .drop("__k1", "__k2", "__n")
+            .withColumns({f"cdr3_{chain}": F.col(f"{fix}.cdr3"), f"v_{chain}": F.nullif(F.col(f"{fix}.v_id"), F.lit("")), f"j_{chain}": F.nullif(F.col(f"{fix}.j_id"), F.lit(""))})
         )
     return result
 
 
+def in_parts(rows: DataFrame, order: list[str]) -> DataFrame:
+    """Rows in parts of consecutive ranges of ``order``, sorted, with the number of their part."""
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id())
+
+
 def in_order(rows: DataFrame, order: list[str], name: str) -> DataFrame:
     """Rows numbered 1..n in a total order without gathering them in one task.
 
-    Rows are sorted by range; each partition is numbered by itself and shifted by the rows before it.
+    One exchange sorts the rows by range and they are written in that order. A row's place in its
+    part is the low end of ``monotonically_increasing_id``; the rows before a part come from one
+    count per part, which is all that the last step needs besides the written rows.
     """
-    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id())
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__id", F.monotonically_increasing_id())
     fixed = checkpointed(ranged)
-    counts = fixed.groupBy("__part").agg(F.count("*").alias("__n"))
-    before = counts.withColumn("__before", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    numbered = fixed.withColumn("__in", F.row_number().over(Window.partitionBy("__part").orderBy(*order)))
-    return numbered.join(F.broadcast(before.select("__part", "__before")), "__part").withColumn(name, (F.col("__in") + F.col("__before")).cast("bigint")).drop("__part", "__in", "__before")
+    part, place = F.shiftright("__id", 33), F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = fixed.groupBy(part.alias("__part")).agg(F.count("*").alias("__n"))
+    before = counts.select("__part", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
+    # One row per part.
+    numbered = fixed.withColumn("__part", part).join(F.broadcast(before), "__part")
+    return numbered.withColumn(name, place + 1 + F.col("__before")).drop("__part", "__id", "__before")

@@ -43,7 +43,7 @@ def checked(rows: DataFrame, policy: str = "warn") -> DataFrame:
         return result.where(F.size("messages") == 0)
     if policy == "fail":
         raised = F.raise_error(F.concat(F.lit("bad row: "), F.array_join("messages", ", ")))
-        return result.withColumn("messages", F.when(F.size("messages") == 0, F.col("messages")).otherwise(raised.cast("array<string>")))
+        return result.where(F.when(F.size("messages") == 0, True).otherwise(raised.cast("boolean")))  # a filter is never pruned
     if policy != "warn":
         raise ValueError(f"unknown policy {policy}")
     return result
@@ -66,6 +66,11 @@ def deduplicated(rows: DataFrame, key: Sequence[str], signature: Sequence[str] =
     return rows.groupBy(*group).agg(first).select(*group, "first.__rest.*").select(*rows.columns)
 
 
+def repeated(rows: DataFrame, distinct: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Rows, by their unique ``key``, that ``deduplicated`` left out."""
+    return rows.join(distinct.select(*key), list(key), "left_anti")
+
+
 def gene_known(rows: DataFrame, nomenclature: DataFrame, column: str) -> DataFrame:
     """Rows with ``column``_known and ``column``_allele_ok from a table of gene names and allele numbers.
 

@@ -7,7 +7,8 @@ fit that picture (a quote inside a plain field, or a broken quote) go through a
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -93,9 +94,9 @@ def index_lines(lines: pa.StringArray) -> tuple[pa.ListArray, np.ndarray]:
     field_start, field_end = np.sort(np.concatenate((start, delimiter + 1))), np.sort(np.concatenate((delimiter, end)))
     keep = np.ones(len(data), bool)
     keep[delimiter] = False
-    tails = np.flatnonzero(end < offsets[1:] - base)
-    for k in tails:
-        keep[end[k] : offsets[k + 1] - base] = False
+    cut = end < offsets[1:] - base  # line ends in CR
+    edges = np.bincount(end[cut], minlength=len(data) + 1) - np.bincount((offsets[1:] - base)[cut], minlength=len(data) + 1)
+    keep[np.cumsum(edges)[: len(data)] > 0] = False
     value_offsets = np.concatenate(([0], np.cumsum(field_end - field_start)))
     values = pa.Array.from_buffers(
         pa.large_string(), len(field_start), [None, pa.py_buffer(value_offsets.astype(np.int64).tobytes()), pa.py_buffer(data[keep].tobytes())]
@@ -116,6 +117,35 @@ def index_lines(lines: pa.StringArray) -> tuple[pa.ListArray, np.ndarray]:
     return fields.cast(pa.list_(pa.string())), sound
 
 
+def opens(line: bytes) -> bool:
+    """Whether a line ends inside a quoted value that it opened."""
+    fields, sound = split_quoted(line)
+    last = fields[-1]
+    return not sound and last.startswith(b'"') and re.fullmatch(rb'"(?:[^"]|"")*', last) is not None
+
+
+def joined_records(lines: list[bytes | None]) -> list[tuple[int, int]]:
+    """Records of consecutive lines, as first line and number of lines.
+
+    A line that ends inside a quoted value goes on with the lines up to the next one that holds a
+    lone quote. If what is joined so is sound, it is one record; else the quoting of its first line
+    is broken, and that line stands by itself. Each line is looked at twice at most.
+    """
+    records: list[tuple[int, int]] = []
+    at, n = 0, len(lines)
+    while at < n:
+        size, line = 1, lines[at]
+        if line is not None and b'"' in line and opens(line):
+            stop = at + 1
+            while stop < n and (lines[stop] is None or b'"' not in lines[stop].replace(b'""', b"")):
+                stop += 1
+            if stop < n and split_quoted(b"\n".join(x or b"" for x in lines[at : stop + 1]).rstrip(b"\r"))[1]:
+                size = stop + 1 - at
+        records.append((at, size))
+        at += size
+    return records
+
+
 def _plain(values: pa.Array) -> pa.Array:
     """Values without surrounding quotes and blanks, doubled quotes made single."""
     quoted = pc.starts_with(values, '"')
@@ -144,7 +174,25 @@ def parsed_lines(lines: DataFrame) -> DataFrame:
     return given.mapInArrow(parse, schema)
 
 
-def checked_lines(lines: DataFrame) -> DataFrame:
+def header_problems(lines: DataFrame, required: Sequence[str] = ()) -> DataFrame:
+    """Files whose header cannot be used: chunk_file, problem.
+
+    A header must be there (line 1), name no column twice and name all ``required`` ones.
+    """
+    files = lines.select("chunk_file").distinct()
+    heads = parsed_lines(lines.where("line_no = 1")).groupBy("chunk_file").agg(F.min_by("fields", "line_id").alias("header"))
+    known = F.filter("header", lambda c: c != "")
+    missing = F.array_except(F.array(*[F.lit(dotted(c)) for c in required]), "header") if required else F.array().cast("array<string>")
+    problem = F.concat_ws(
+        "; ",
+        F.when(F.coalesce(F.size(known), F.lit(0)) <= 0, "no header"),
+        F.when(F.size(F.array_distinct(known)) < F.size(known), "duplicate columns"),
+        F.when((F.size(known) > 0) & (F.size(missing) > 0), F.concat(F.lit("missing columns: "), F.array_join(missing, ", "))),
+    )
+    return files.join(heads, "chunk_file", "left").select("chunk_file", problem.alias("problem")).where("problem <> ''")
+
+
+def checked_lines(lines: DataFrame, checks: Mapping[str, Callable[[Column], Column]] = CHECKED) -> DataFrame:
     """All lines other than headers with their header, fields and reasons for rejection.
 
     Result: line_id, chunk_file, line_no, header, fields, reasons (empty for a valid line).
@@ -153,14 +201,15 @@ def checked_lines(lines: DataFrame) -> DataFrame:
     broken) and ``bad <field>``. A null
     line counts as an empty one. A file's header is its line 1 (of several, the one with the
     smallest line_id); a checked column that the header lacks counts as blank. Repeated lines are
-    all kept. An empty table gives an empty result; further input columns are ignored.
+    all kept. An empty table gives an empty result; further input columns are ignored. ``checks``
+    may be left empty, so that only lines that cannot be read are refused.
     """
     headers = (
         parsed_lines(lines.where("line_no = 1"))
         .groupBy("chunk_file")
         .agg(F.min_by("fields", "line_id").alias("header"))
         .withColumn("at", F.create_map(*[x for c in CHECKED for x in (F.lit(c), F.array_position("header", c))]))
-    )
+    )  # one row a file
     body = parsed_lines(lines.where("line_no <> 1 or line_no is null"))
     joined = lookup_join(body, headers, ["chunk_file"])
 
@@ -174,25 +223,25 @@ def checked_lines(lines: DataFrame) -> DataFrame:
         F.when(F.col("header").isNull(), "no header"),
         F.when(~count_ok & F.col("quotes_ok"), "field count"),
         F.when(~F.col("quotes_ok"), "broken quoting"),
-        *[F.when(readable & ~check(value(name)), f"bad {name}") for name, check in CHECKED.items()],
+        *[F.when(readable & ~check(value(name)), f"bad {name}") for name, check in checks.items()],
     ]
     return joined.select("line_id", "chunk_file", "line_no", "header", "fields", F.array_compact(F.array(*reasons)).alias("reasons"))
 
 
-def rejected_lines(lines: DataFrame) -> DataFrame:
-    """Lines that cannot be read, with their reasons and their fields as far as split."""
-    return checked_lines(lines).where(F.size("reasons") > 0).select(
+def rejected_lines(lines: DataFrame, checks: Mapping[str, Callable[[Column], Column]] = CHECKED) -> DataFrame:
+    """Lines that cannot be read, with their reasons."""
+    return checked_lines(lines, checks).where(F.size("reasons") > 0).select(
         "line_id", "chunk_file", "line_no", F.array_join("reasons", "; ").alias("reasons")
     )
 
 
-def typed_records(lines: DataFrame) -> DataFrame:
+def typed_records(lines: DataFrame, checks: Mapping[str, Callable[[Column], Column]] = CHECKED) -> DataFrame:
     """Valid lines as records: one column per known field (blank as null), in any column order."""
     known = F.map_from_arrays(
         F.transform("header", lambda h, i: F.concat(h, F.when(F.array_position("header", h) != i + 1, i.cast("string")).otherwise(""))),
         F.col("fields"),
     )
-    rows = checked_lines(lines).where(F.size("reasons") == 0).select("line_id", "chunk_file", "line_no", known.alias("v"))
+    rows = checked_lines(lines, checks).where(F.size("reasons") == 0).select("line_id", "chunk_file", "line_no", known.alias("v"))
     return rows.select(
         "line_id", "chunk_file", "line_no", *[F.when(F.col("v")[dotted(c)] != "", F.col("v")[dotted(c)]).alias(c) for c in EXTRA[:1] + ALL + EXTRA[1:]]
     )

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from curata.session import lookup_join
+from curata.operators.fixer import in_parts
+from curata.session import checkpointed, fits, lookup_join
 
 
 def first_of(c: str, mark: str = ",") -> Column:
@@ -70,7 +71,7 @@ def density(histogram: DataFrame, keys: Sequence[str] = ("gene", "mhc_class"), v
         "bw", 0.9 * F.col("sd") * F.pow(F.col("total").cast("double"), F.lit(-0.2)) * adjust
     )
     points = spread.withColumn("x", F.explode(F.transform(F.sequence(F.lit(0), F.lit(grid - 1)), lambda i: low + i * ((high - low) / (grid - 1)))))
-    joined = histogram.join(F.broadcast(points.select(*keys, "x", "bw")), list(keys))
+    joined = histogram.join(points.select(*keys, "x", "bw"), list(keys))  # 41 points a facet
     kernel = F.exp(-0.5 * F.pow((F.col("x") - x) / F.col("bw"), 2)) / (F.col("bw") * F.sqrt(F.lit(2 * 3.141592653589793)))
     return joined.groupBy(*keys, "x").agg(F.sum(kernel * F.col("n")).alias("density"))
 
@@ -128,10 +129,11 @@ def cumulative_by_year(rows: DataFrame, dates: DataFrame, measures: Sequence[str
     Instead of a join of all years with all earlier ones, each value counts in the year it is first
     seen, and the counts are summed up over the years. ``dates`` has reference_id and pub_date.
     """
-    years = dates.where("pub_date is not null")
-    dated = rows.select(*[c for c in rows.columns if c != "pub_date"]).join(years, "reference_id")
-    grid = years.select("pub_date").distinct().join(F.broadcast(dated.select("chains").distinct()))  # years x three kinds
-    result = grid
+    years = dates.where("pub_date is not null").groupBy("reference_id").agg(F.min("pub_date").alias("pub_date"))
+    dated = lookup_join(rows.select(*[c for c in rows.columns if c != "pub_date"]), years, ["reference_id"], "inner")
+    # Every year with each kind of chains that is there at all: at most three.
+    kinds = dated.agg(F.array_sort(F.collect_set("chains")).alias("kinds"))
+    result = years.select("pub_date").distinct().select("pub_date", F.explode(F.lit(kinds.scalar())).alias("chains"))
     up_to = Window.partitionBy("chains").orderBy("pub_date").rowsBetween(Window.unboundedPreceding, 0)
     for m in measures:
         first = dated.groupBy("chains", m).agg(F.min("pub_date").alias("pub_date"))
@@ -153,12 +155,7 @@ def placed(counts: DataFrame, places: DataFrame) -> DataFrame:
     return lookup_join(counts, places.distinct(), ["reference_id"], "inner")
 
 
-def spread_by(counts: DataFrame, keys: Sequence[str], column: str, values: Sequence[str], value: str) -> DataFrame:
-    """A pivot with given values, zero where there is none."""
-    return counts.groupBy(*keys).pivot(column, list(values)).agg(F.sum(value)).na.fill(0, list(values))
-
-
-def spread_all(counts: DataFrame, keys: Sequence[str], column: str, value: str, most: int = 2000) -> DataFrame:
+def pivoted(counts: DataFrame, keys: Sequence[str], column: str, value: str, most: int = 2000) -> DataFrame:
     """A pivot over every value that the column has, in order, zero where there is none.
 
     The values are collected; more than ``most`` are too many columns and raise. Null has the column ``null``.
@@ -200,21 +197,43 @@ def reordered(rows: DataFrame, category: str, value: str) -> DataFrame:
     return medians.withColumn("place", F.row_number().over(Window.orderBy("median", category)))  # one row per category
 
 
+def with_last_before(rows: DataFrame, document: str, order: str, value: Column, name: str) -> DataFrame:
+    """Rows in parts (``in_parts``) with the last non-null ``value`` of the lines before them in their document.
+
+    Within a part this is a window; across parts only each part's last value per document is carried.
+    """
+    valued = rows.withColumn("__value", value)
+    keys = ["__part", document]
+    last = valued.where("__value is not null").groupBy(*keys).agg(F.max_by("__value", order).alias("__last"))
+    parts = valued.select(*keys).distinct().join(last, keys, "left")
+    earlier = Window.partitionBy(document).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = parts.withColumn("__carried", F.last("__last", ignorenulls=True).over(earlier)).where("__carried is not null").select(*keys, "__carried")
+    inside = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    local = valued.withColumn("__local", F.last("__value", ignorenulls=True).over(inside))
+    return lookup_join(local, carried, keys).withColumn(name, F.coalesce("__local", "__carried")).drop("__value", "__local", "__carried")
+
+
 def html_embed(lines: DataFrame, document: str, order: str, text: str, start: str = "!summary_embed_start!", end: str = "!summary_embed_end!") -> DataFrame:
     """Lines of HTML documents between the marks, without code blocks and div lines, tables restyled.
 
-    The state of a line is the last mark before it, by document; a document's lines are sorted
-    within its partition.
+    Two states run along a document. Behind a start mark (not on its line) lines are in, from an end
+    mark on they are out. While in, a line that opens a code block is in code, itself included,
+    until behind a line that closes it; one that does both is code by itself. Either mark ends a
+    code block. Each state is set by the last line before that sets it, so no line depends on a
+    chain of others, and a document of any length is spread over many tasks. Null lines are left
+    out; of lines with the same place the order is open.
     """
-    before = Window.partitionBy(document).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     c = F.col(text)
-    mark = F.when(c.contains(start), "in").when(c.contains(end), "out")
-    code = F.when(c.contains('<pre class="r"><code>'), "open").when(c.contains("</code></pre>"), "shut")
-    state = lines.withColumn("__in", F.coalesce(F.last(mark, ignorenulls=True).over(before), F.lit("out"))).withColumn("__mark", mark)
-    state = state.withColumn("__code", F.coalesce(F.last(code, ignorenulls=True).over(before), F.lit("shut"))).withColumn("__opens", c.contains('<pre class="r"><code>'))
-    kept = state.where(
-        (F.col("__in") == "in") & ~(F.coalesce(F.col("__mark"), F.lit("")) == "out") & ~((F.col("__code") == "open") | F.col("__opens")) & ~c.startswith("<div") & ~c.startswith("</div")
-    )
+    starts, ends = c.contains(start), c.contains(end)
+    opens, shuts = c.contains('<pre class="r"><code>'), c.contains("</code></pre>")
+    # What a line leaves behind it. A line with both marks is out and then in again.
+    mark = F.when(starts, True).when(ends, False)
+    placed = checkpointed(in_parts(lines.where(c.isNotNull()).select(document, order, text), [document, order]))
+    marked = with_last_before(placed, document, order, mark, "__before")
+    inside = F.coalesce("__before", F.lit(False)) & ~ends
+    code = F.when(starts | ends | shuts, False).when(inside & opens, True)
+    coded = with_last_before(marked.withColumn("__in", inside), document, order, code, "__code")
+    kept = coded.where(F.col("__in") & ~F.coalesce("__code", F.lit(False)) & ~opens & ~c.startswith("<div") & ~c.startswith("</div"))
     output = F.when(c.startswith("<pre><code>##"), F.replace(F.replace(c, F.lit("#"), F.lit("")), F.lit("&quot;"), F.lit(""))).otherwise(c)
     styled = F.replace(output, F.lit("<table>"), F.lit('<table class="ui unstackable single line celled stripped compact small table">'))
     return kept.select(document, order, F.replace(styled, F.lit('width="1152"'), F.lit('width="672"')).alias(text))

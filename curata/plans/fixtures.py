@@ -53,7 +53,7 @@ SUBMISSION = {
 }
 
 _COLUMNS = ",\n  ".join(f"{e} AS {c}" for c, e in SUBMISSION.items())
-SRC = f"""src AS (SELECT {', '.join(KEY)}, o_orderdate,
+SRC = f"""src AS (SELECT {', '.join(KEY)}, o_orderdate, l_discount,
   {_COLUMNS}
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey JOIN customer ON o_custkey = c_custkey)"""
 
@@ -66,7 +66,7 @@ def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(load(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(load(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     )
-    return joined.selectExpr(*KEY, "o_orderdate", *[f"{e} AS {c}" for c, e in SUBMISSION.items()])
+    return joined.selectExpr(*KEY, "o_orderdate", "l_discount", *[f"{e} AS {c}" for c, e in SUBMISSION.items()])
 
 
 # Made-up germline tables. Each amino acid has one codon here.

@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curata.functions import score, seq, validate
-from curata.operators import fixer, pairing, patch, quality, realign, report, tables
+from curata.operators import fixer, pairing, patch, quality, realign, relational, report, tables
 from curata.plans import fixtures as fx
 from curata.plans.fixtures import KEY, SRC, submissions, values
-from curata.schema import ROW_SIGNATURE, SIGNATURE
+from curata.schema import META, METHOD, ROW_SIGNATURE, SIGNATURE
 from curata.session import checkpointed, load
+from curata.sources import dictionaries
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -236,7 +237,7 @@ SELECT species, gene, cdr3, id, seg_pos, cdr_pos, size FROM (SELECT *, text AS c
 def kmer_hit(spark: SparkSession, sf_dir: str) -> DataFrame:
     genes = fx.segments(spark).select("species", "gene", "id")
     segments = fixer.germline(fx.segments(spark)).where("kind = 'V'").join(genes, ["species", "id"])
-    pairs = _sequences(submissions(spark, sf_dir)).distinct().join(F.broadcast(segments), ["species", "gene"])
+    pairs = _sequences(submissions(spark, sf_dir)).distinct().join(segments, ["species", "gene"])
     return pairs.withColumn("hit", seq.kmer_hit(F.col("seq_aa"), F.col("cdr3"))).select("species", "gene", "cdr3", "id", "hit.*")
 
 
@@ -265,21 +266,64 @@ def fix_both(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixed.select("species", "v", "j", "fix.*")
 
 
-@query()
+def _repair(p: str, chain: str, gene: str) -> str:
+    """CTEs that repair one chain: {p}r holds species, cdr3, v0, j0 as given and the repair."""
+    return f"""{p}vb0 AS (SELECT {p}ve.species, cdr3, v0, j0, v, j, {p}ve.id, seq_aa AS seg, cdr3 AS text FROM (SELECT i.*, coalesce(c.closest_id, coalesce(v, '')) AS id FROM {p}i i LEFT JOIN closest c ON c.species = i.species AND c.segment_id = v) {p}ve LEFT JOIN germ ON germ.species = {p}ve.species AND germ.id = {p}ve.id),
+{_hits(f'{p}vb0', f'{p}vh')},
+{p}vr AS (SELECT t.*, {_TYPES} AS rank, size, seg_pos, cdr_pos FROM {p}vb0 t LEFT JOIN {p}vh USING (seg, text)),
+{p}vb AS (SELECT species, cdr3, v0, j0, j, id AS v_id, rank AS v_rank, CASE WHEN rank < 4 THEN size ELSE -1 END AS v_end, {_FIXED} AS fixed FROM {p}vr),
+{p}jp AS (SELECT b.*, coalesce(c.closest_id, coalesce(j, '')) AS id, reverse(seq_aa) AS seg, reverse(fixed) AS text FROM {p}vb b LEFT JOIN closest c ON c.species = b.species AND c.segment_id = j LEFT JOIN germ ON germ.species = b.species AND germ.id = coalesce(c.closest_id, j)),
+{_hits(f'{p}jp', f'{p}jh')},
+{p}jr AS (SELECT t.*, {_TYPES} AS rank, size, seg_pos, cdr_pos FROM {p}jp t LEFT JOIN {p}jh USING (seg, text)),
+{p}jb AS (SELECT *, reverse({_FIXED}) AS new_cdr3 FROM {p}jr),
+{p}r AS (SELECT species, '{gene}' AS gene, cdr3 AS cdr3_old, v0, j0, new_cdr3 AS cdr3, new_cdr3 <> cdr3 AS fix_needed, v_rank < 4 AND rank < 4 AS good, regexp_matches(new_cdr3, '[FW]$') AS j_canonical, ({_NAMES})[rank + 1] AS j_fix_type, id AS j_id,
+  (CASE WHEN rank < 4 THEN length(new_cdr3) - size ELSE -1 END)::INT AS j_start, starts_with(new_cdr3, 'C') AS v_canonical, v_end::INT AS v_end, ({_NAMES})[v_rank + 1] AS v_fix_type, v_id FROM {p}jb)"""
+
+
+def _given(p: str, chain: str, gene: str) -> str:
+    """CTE {p}i: the distinct inputs of a chain with missing segments guessed."""
+    return f"""{p}d AS (SELECT DISTINCT species, cdr3_{chain} AS cdr3, v_{chain} AS v0, j_{chain} AS j0 FROM src WHERE cdr3_{chain} IS NOT NULL),
+{p}gv AS (SELECT species, cdr3, arg_max(segm, n) AS guess FROM (SELECT DISTINCT species, cdr3, unnest(range(2, length(cdr3) - 3)) AS n FROM {p}d WHERE v0 IS NULL) JOIN pt USING (species) WHERE gene = '{gene}' AND part = substr(cdr3, 1, n::INT) GROUP BY 1, 2),
+{p}gj AS (SELECT species, cdr3, arg_min(segm, i) AS guess FROM (SELECT DISTINCT species, cdr3, unnest(range(2, length(cdr3) - 3)) AS i FROM {p}d WHERE j0 IS NULL) JOIN pt USING (species) WHERE gene = '{gene}' AND part = substr(cdr3, i::INT + 1) GROUP BY 1, 2),
+{p}i AS (SELECT d.*, coalesce(v0, v.guess) AS v, coalesce(j0, j.guess) AS j FROM {p}d d LEFT JOIN {p}gv v ON v.species = d.species AND v.cdr3 = d.cdr3 AND v0 IS NULL LEFT JOIN {p}gj j ON j.species = d.species AND j.cdr3 = d.cdr3 AND j0 IS NULL)"""
+
+
+_FIX_FIELDS = ["cdr3", "cdr3_old", "fix_needed", "good", "j_canonical", "j_fix_type", "j_id", "j_start", "v_canonical", "v_end", "v_fix_type", "v_id"]
+_FIX_KEYS = ["cdr3", "cdr3_old", "fixNeeded", "good", "jCanonical", "jFixType", "jId", "jStart", "vCanonical", "vEnd", "vFixType", "vId"]
+
+
+def _fix_text(p: str) -> str:
+    return "to_json({" + ", ".join(f"'{k}': {p}.{f}" for k, f in zip(_FIX_KEYS, _FIX_FIELDS)) + "})::VARCHAR"
+
+
+_REPAIRED = f"""{_GERM}, {_CONV}, {_PARTS}, {_given('a', 'alpha', 'TRA')}, {_given('b', 'beta', 'TRB')},
+ids AS (SELECT species, v AS segment_id FROM ai UNION SELECT species, j FROM ai UNION SELECT species, v FROM bi UNION SELECT species, j FROM bi), {_NAMED}, {_CAND}, {_repair('a', 'alpha', 'TRA')}, {_repair('b', 'beta', 'TRB')},
+rp AS (SELECT s.* REPLACE (ar.cdr3 AS cdr3_alpha, nullif(ar.v_id, '') AS v_alpha, nullif(ar.j_id, '') AS j_alpha, br.cdr3 AS cdr3_beta, nullif(br.v_id, '') AS v_beta, nullif(br.j_id, '') AS j_beta),
+    CASE WHEN ar.cdr3 IS NOT NULL THEN {_fix_text('ar')} END AS fix_alpha, CASE WHEN br.cdr3 IS NOT NULL THEN {_fix_text('br')} END AS fix_beta,
+    ar.v_end AS a_end, ar.j_start AS a_start, br.v_end AS b_end, br.j_start AS b_start, ar.v_canonical AND ar.j_canonical AS a_canonical, br.v_canonical AND br.j_canonical AS b_canonical
+  FROM src s LEFT JOIN ar ON ar.species = s.species AND ar.cdr3_old = s.cdr3_alpha AND ar.v0 IS NOT DISTINCT FROM s.v_alpha AND ar.j0 IS NOT DISTINCT FROM s.j_alpha
+  LEFT JOIN br ON br.species = s.species AND br.cdr3_old = s.cdr3_beta AND br.v0 IS NOT DISTINCT FROM s.v_beta AND br.j0 IS NOT DISTINCT FROM s.j_beta)"""
+
+
+def _repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixer.repaired(submissions(spark, sf_dir), fixer.germline(fx.segments(spark)), fx.parts(spark), fx.conversions(spark))
+
+
+@query(f"WITH {SRC}, {_REPAIRED} SELECT {K}, cdr3_alpha, v_alpha, j_alpha, cdr3_beta, v_beta, j_beta, fix_alpha, fix_beta FROM rp")
 def repaired_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = fixer.repaired(submissions(spark, sf_dir), fixer.germline(fx.segments(spark)), fx.parts(spark), fx.conversions(spark))
-    return rows.select(*KEY, "cdr3_alpha", "v_alpha", "j_alpha", "cdr3_beta", "v_beta", "j_beta", fixer.fix_json("cdr3fix_beta").alias("cdr3fix"), *tables.web_fix_flags("cdr3fix_beta"))
+    rows = _repaired(spark, sf_dir)
+    return rows.select(*KEY, "cdr3_alpha", "v_alpha", "j_alpha", "cdr3_beta", "v_beta", "j_beta", *[fixer.fix_json(f"cdr3fix_{c}").alias(f"fix_{c}") for c in ("alpha", "beta")])
 
 
-_SCORED = f"""{_CODONS}, {_SEGS},
-cut AS (SELECT *, left(segment, 1) AS kind, CASE WHEN segment = 'Variable' THEN substr(seq, ref - 2) ELSE reverse(substr(seq, 1, ref + 4)) END AS nt FROM sg),
-prs AS (SELECT s.species, s.gene, s.cdr3, kind, id, ord, nt, CASE WHEN kind = 'V' THEN s.cdr3 ELSE reverse(s.cdr3) END AS aa FROM seqs s JOIN cut USING (species, gene)),
+_ALIGNED = """nc AS (SELECT *, left(segment, 1) AS kind, CASE WHEN segment = 'Variable' THEN substr(seq, ref - 2) ELSE reverse(substr(seq, 1, ref + 4)) END AS nt FROM sg),
+prs AS (SELECT s.species, s.gene, s.cdr3, kind, id, ord, nt, CASE WHEN kind = 'V' THEN s.cdr3 ELSE reverse(s.cdr3) END AS aa FROM seqs s JOIN nc USING (species, gene)),
 pos AS (SELECT *, unnest(range(1, length(aa) + 1)) AS k FROM prs),
 got AS (SELECT p.*, (SELECT max(CASE WHEN length(have) >= 3 AND want = have THEN 3 WHEN length(have) >= 2 AND left(want, 2) = left(have, 2) THEN 2 WHEN length(have) >= 1 AND left(want, 1) = left(have, 1) THEN 1 ELSE 0 END)
    FROM (SELECT CASE WHEN p.kind = 'V' THEN codon ELSE reverse(codon) END AS want, substr(p.nt, (p.k * 3 - 2)::INT, 3) AS have FROM code c WHERE c.aa = substr(p.aa, p.k::INT, 1))) AS got FROM pos p),
 run AS (SELECT *, coalesce(min(got) OVER (PARTITION BY species, gene, cdr3, kind, id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 3) = 3 AS go FROM got),
 tot AS (SELECT species, gene, cdr3, kind, id, ord, sum(CASE WHEN go THEN got ELSE 0 END) AS score FROM run GROUP BY ALL),
 top AS (SELECT species, gene, cdr3, kind, id, score FROM tot WHERE score >= 5 QUALIFY row_number() OVER (PARTITION BY species, gene, cdr3, kind ORDER BY score DESC, ord) = 1)"""
+_SCORED = f"{_CODONS}, {_SEGS}, {_ALIGNED}"
 
 
 @query(f"""WITH {SRC}, {_CHAINS}, {_SCORED}
@@ -289,20 +333,34 @@ def realign_best(spark: SparkSession, sf_dir: str) -> DataFrame:
     return realign.best_segments(_sequences(submissions(spark, sf_dir)), fx.segments(spark))
 
 
+_REALIGNED = f"""{_REPAIRED}, fx AS (SELECT DISTINCT species, gene, {', '.join(_FIX_FIELDS)} FROM (SELECT * FROM ar UNION ALL SELECT * FROM br)), seqs AS (SELECT DISTINCT species, gene, cdr3 FROM fx),
+{_ALIGNED},
+bs AS (SELECT s.species, s.gene, s.cdr3, v.id AS b_v, coalesce(v.score // 3, -1)::INT AS b_end, j.id AS b_j, coalesce(j.score // 3, -1)::INT AS b_size FROM seqs s
+  LEFT JOIN top v ON v.kind = 'V' AND v.species = s.species AND v.gene = s.gene AND v.cdr3 = s.cdr3 LEFT JOIN top j ON j.kind = 'J' AND j.species = s.species AND j.gene = s.gene AND j.cdr3 = s.cdr3),
+ck AS (SELECT fx.*, b_v, b_end, b_j, length(fx.cdr3)::INT - b_size AS b_start,
+    CASE WHEN b_end <> -1 AND b_v = v_id AND b_end > v_end THEN 'Realign' WHEN b_end <> -1 AND b_v <> v_id AND b_end - v_end >= 2 THEN 'ChangeSegment' END AS vn,
+    CASE WHEN b_size <> -1 AND b_j = j_id AND j_start > length(fx.cdr3) - b_size THEN 'Realign' WHEN b_size <> -1 AND b_j <> j_id AND j_start - (length(fx.cdr3) - b_size) >= 2 THEN 'ChangeSegment' END AS jn
+  FROM fx JOIN bs ON bs.species = fx.species AND bs.gene = fx.gene AND bs.cdr3 = fx.cdr3),
+up AS (SELECT species, gene, cdr3, CASE WHEN vn = 'ChangeSegment' THEN b_v ELSE v_id END AS v_id, CASE WHEN vn IS NOT NULL THEN b_end ELSE v_end END AS v_end, coalesce(vn, v_fix_type) AS v_fix_type,
+    CASE WHEN jn = 'ChangeSegment' THEN b_j ELSE j_id END AS j_id, CASE WHEN jn IS NOT NULL THEN b_start ELSE j_start END AS j_start, coalesce(jn, j_fix_type) AS j_fix_type,
+    CASE WHEN vn = 'ChangeSegment' THEN v_id END AS old_v_id, CASE WHEN vn IS NOT NULL THEN v_end END AS old_v_end, CASE WHEN vn IS NOT NULL THEN v_fix_type END AS old_v_fix_type,
+    CASE WHEN jn = 'ChangeSegment' THEN j_id END AS old_j_id, CASE WHEN jn IS NOT NULL THEN j_start END AS old_j_start, CASE WHEN jn IS NOT NULL THEN j_fix_type END AS old_j_fix_type,
+    CASE WHEN vn IS NOT NULL THEN b_end ELSE v_end END <> -1 AND CASE WHEN jn IS NOT NULL THEN b_start ELSE j_start END <> -1 AS good FROM ck)"""
+
+
 def _realigned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = submissions(spark, sf_dir)
-    inputs = rows.select("species", F.col("cdr3_beta").alias("cdr3"), F.col("v_beta").alias("v"), F.col("j_beta").alias("j"))
-    fixes = fixer.fixed_both(inputs, fixer.germline(fx.segments(spark)), fx.conversions(spark)).select("species", F.lit("TRB").alias("gene"), "fix.*")
-    best = realign.best_segments(fixes.select("species", "gene", "cdr3"), fx.segments(spark))
-    return realign.updated(fixes, best)
+    each = F.explode(F.array(*[F.struct(F.lit(g).alias("gene"), F.col(f"cdr3fix_{c}").alias("fix")) for c, g in (("alpha", "TRA"), ("beta", "TRB"))]))
+    chains = _repaired(spark, sf_dir).select("species", each.alias("c")).where("c.fix is not null")
+    fixes = checkpointed(chains.select("species", "c.gene", "c.fix.*").distinct())
+    return realign.updated(fixes, realign.best_segments(fixes.select("species", "gene", "cdr3"), fx.segments(spark)))
 
 
-@query()
+@query(f"WITH {SRC}, {_REALIGNED} SELECT * FROM up")
 def realign_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _realigned(spark, sf_dir)
 
 
-@query()
+@query(f"WITH {SRC}, {_REALIGNED} SELECT \"end\", kind, count(*) AS n FROM (SELECT 'V' AS \"end\", v_fix_type AS kind FROM up UNION ALL SELECT 'J', j_fix_type FROM up) WHERE kind IN ('Realign', 'ChangeSegment') GROUP BY 1, 2")
 def realign_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return realign.change_counts(_realigned(spark, sf_dir))
 
@@ -396,28 +454,40 @@ def full_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.full_table(submissions(spark, sf_dir)).select(*KEY, "cdr3_alpha", "v_alpha", "cdr3_beta", "v_beta", "antigen_epitope", "reference_id", "confidence_score", "tcr_hash")
 
 
-@query(
-    f"""WITH {SRC}, {_DEFAULT} SELECT {K}, complex_id, gene, cdr3, v_segm, j_segm, {_CHAIN_COLS}, coalesce(method_identification, '') AS identification, samples_found::VARCHAR AS samples, studies_found::VARCHAR AS studies,
-  CASE WHEN contains({_ID}, 'sort') THEN 'sort' WHEN regexp_matches({_ID}, 'culture|cloning|targets') THEN 'culture' ELSE 'other' END AS web_method FROM ch"""
-)
+def _json(columns: list[str], prefix: str, extra: str = "") -> str:
+    fields = ", ".join(f"'{c[len(prefix):].replace('_', '.')}': coalesce({c}, '')" for c in columns)
+    return f"to_json({{{fields}{extra}}})::VARCHAR"
+
+
+_DOCUMENTS = f"""{_json(METHOD, 'method_')} AS method, {_json(META, 'meta_', ", 'samples.found': samples_found, 'studies.found': studies_found")} AS meta,
+  CASE WHEN contains({_ID}, 'sort') THEN 'sort' WHEN regexp_matches({_ID}, 'culture|cloning|targets') THEN 'culture' ELSE 'other' END AS web_method,
+  CASE WHEN coalesce(method_singlecell, '') <> '' THEN 'singlecell' WHEN contains(coalesce(method_sequencing, ''), 'sanger') THEN 'sanger' WHEN contains(coalesce(method_sequencing, ''), '-seq') THEN 'amplicon' ELSE 'other' END AS web_method_seq"""
+
+
+@query(f"WITH {SRC}, {_DEFAULT} SELECT {K}, complex_id, gene, cdr3, v_segm, j_segm, {_CHAIN_COLS}, {_DOCUMENTS}, 0 AS pgen_score FROM ch")
 def default_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _default(spark, sf_dir)
-    return rows.withColumns(
-        {"identification": F.get_json_object("method", "$.identification"), "samples": F.get_json_object("meta", "$['samples.found']"), "studies": F.get_json_object("meta", "$['studies.found']")}
-    ).drop("method", "meta", "web_method_seq")
+    return _default(spark, sf_dir)
 
 
 _LISTS = ["complex_id", "v_segm", "j_segm", "mhc_a", "mhc_b", "mhc_class", "reference_id"]
-_SLIM = f"""{_DEFAULT}, slim AS (SELECT gene, cdr3, species, antigen_epitope, antigen_gene, antigen_species, {', '.join(f"string_agg(DISTINCT {c}::VARCHAR, ',' ORDER BY {c}::VARCHAR) AS {c}" for c in _LISTS)}, max(confidence_score) AS confidence_score FROM ch GROUP BY 1, 2, 3, 4, 5, 6)"""
 
 
-def _slim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.slim_table(_default(spark, sf_dir, documents=False))
+def _listed(columns: list[str]) -> str:
+    return ", ".join(f"coalesce(string_agg(DISTINCT {c}::VARCHAR, ',' ORDER BY {c}::VARCHAR), '') AS {c}" for c in columns)
+
+
+_SLIM = f"""{_DEFAULT}, slim AS (SELECT gene, cdr3, species, antigen_epitope, antigen_gene, antigen_species, {_listed([*_LISTS, 'tcr_hash'])}, '0' AS pgen_score, max(confidence_score) AS confidence_score FROM ch GROUP BY 1, 2, 3, 4, 5, 6)"""
+
+
+def _slim(spark: SparkSession, sf_dir: str, scores: bool = False) -> DataFrame:
+    """The collapsed table for statistics: complex_id only tells whether records are paired, scores come if asked."""
+    rows = submissions(spark, sf_dir)
+    return tables.slim_table(tables.default_table(tables.with_signature_score(rows) if scores else rows, [], documents=False, number=False))
 
 
 @query(f"WITH {SRC}, {_SLIM} SELECT * FROM slim")
 def slim_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _slim(spark, sf_dir)
+    return tables.slim_table(_default(spark, sf_dir, documents=False))
 
 
 @query(
@@ -428,11 +498,41 @@ def slim_table_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.slim_table_legacy(_default(spark, sf_dir, documents=False))
 
 
+# The tables as the build makes them: repaired, scored, with display flags and generation probabilities.
+_PGEN = "cast(-(length(cdr3) * 1.1 - 2.5) AS double)"
+_PGEN_BIN = "CASE " + " ".join(f"WHEN species = '{s}' AND gene = '{g}' THEN CASE WHEN {_PGEN} > 0 THEN 0 WHEN {_PGEN} > {v} THEN 3 WHEN {_PGEN} > {h} THEN 2 WHEN {_PGEN} > {m} THEN 1 ELSE 0 END" for (s, g), (m, h, v) in score.PGEN_CUTOFFS.items()) + " ELSE 0 END"
+_BUILT = f"""{_REPAIRED}, {_DEFAULT.replace('FROM src', 'FROM rp')},
+bt AS (SELECT {K}, complex_id, gene, cdr3, v_segm, j_segm, {_CHAIN_COLS}, {_DOCUMENTS}, CASE gene WHEN 'TRA' THEN fix_alpha ELSE fix_beta END AS cdr3fix, CASE WHEN CASE gene WHEN 'TRA' THEN a_canonical ELSE b_canonical END THEN 'no' ELSE 'yes' END AS web_cdr3fix_nc,
+  CASE gene WHEN 'TRA' THEN a_end ELSE b_end END AS v_end, CASE gene WHEN 'TRA' THEN a_start ELSE b_start END AS j_start, {_PGEN_BIN} AS pgen_score FROM ch)"""
+
+
+def _built(spark: SparkSession, sf_dir: str, documents: bool = True) -> DataFrame:
+    return tables.default_table(tables.full_table(_repaired(spark, sf_dir)), KEY, keep=KEY, documents=documents, pgen=F.expr(_PGEN))
+
+
+@query(f"WITH {SRC}, {_BUILT} SELECT *, CASE WHEN v_end > -1 AND j_start > -1 THEN 'no' ELSE 'yes' END AS web_cdr3fix_unmp FROM bt")
+def built_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _built(spark, sf_dir)
+
+
+@query(f"WITH {SRC}, {_BUILT} SELECT gene, cdr3, species, antigen_epitope, antigen_gene, antigen_species, {_listed([*_LISTS, 'tcr_hash', 'pgen_score', 'j_start', 'v_end'])}, max(confidence_score) AS confidence_score FROM bt GROUP BY 1, 2, 3, 4, 5, 6")
+def built_slim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.slim_table(_built(spark, sf_dir, documents=False))
+
+
+@query(
+    f"""WITH {SRC}, {_BUILT} SELECT gene, cdr3, species, antigen_epitope, antigen_gene, antigen_species, coalesce(string_agg(DISTINCT complex_id::VARCHAR, ',' ORDER BY complex_id::VARCHAR) FILTER (complex_id <> 0), '0') AS complex_id,
+  {', '.join(f"string_agg(DISTINCT {c}::VARCHAR, ',' ORDER BY {c}::VARCHAR) AS {c}" for c in _LISTS[1:])}, max(confidence_score) AS confidence_score, max(v_end) AS v_end, coalesce(min(j_start) FILTER (j_start >= 0), -1) AS j_start FROM bt GROUP BY 1, 2, 3, 4, 5, 6"""
+)
+def built_slim_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.slim_table_legacy(_built(spark, sf_dir, documents=False))
+
+
 @query("SELECT event_id, event_type, json_extract_string(props, '$.k')::INT AS k FROM events")
 def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = load(spark, sf_dir, "events").select("event_id", "event_type", F.from_json("props", "k int").alias("p"))
-    again = events.select("event_id", F.to_json(F.struct("event_type", "p.k"), {"ignoreNullFields": "false"}).alias("j"))
-    return again.select("event_id", F.get_json_object("j", "$.event_type").alias("event_type"), F.get_json_object("j", "$.k").cast("int").alias("k"))
+    events = relational.from_documents(load(spark, sf_dir, "events").select("event_id", "event_type", "props"), "props", "k int")
+    again = relational.to_documents(events, ["event_type", "k"], "document")
+    return relational.from_documents(again, "document", "event_type string, k int")
 
 
 _MEMBERS = "mem AS (SELECT DISTINCT 'TRB' AS gene, antigen_epitope, species, cdr3_beta AS cdr3aa FROM src WHERE l_partkey % 13 = 0 AND cdr3_beta IS NOT NULL UNION SELECT 'TRA', antigen_epitope, species, cdr3_alpha FROM src WHERE l_suppkey % 17 = 0 AND cdr3_alpha IS NOT NULL)"
@@ -477,12 +577,12 @@ def rep_antigen(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _LABEL = "CASE WHEN mhc_class = 'MHCI' THEN regexp_extract(mhc_a, '^[^,:]*') ELSE regexp_extract(mhc_a, '^[^,:]*') || '/' || substr(regexp_extract(mhc_b, '^[^,:]*'), 7, 9) END"
-_ANTIGEN = f"ag AS (SELECT *, {_LABEL} AS mhc FROM slim WHERE species = 'HomoSapiens' AND antigen_species LIKE 'SARS-CoV%'), pb AS (SELECT antigen_gene, mhc, antigen_epitope, count(DISTINCT split_part(reference_id, ',', 1)) AS publications FROM ag GROUP BY 1, 2, 3)"
+_ANTIGEN = f"ag AS (SELECT *, {_LABEL} AS mhc FROM slim WHERE species = 'HomoSapiens' AND antigen_species LIKE '%'), pb AS (SELECT antigen_gene, mhc, antigen_epitope, count(DISTINCT split_part(reference_id, ',', 1)) AS publications FROM ag GROUP BY 1, 2, 3)"
 
 
 @query(f"WITH {SRC}, {_SLIM}, {_ANTIGEN} SELECT antigen_gene, mhc, antigen_epitope, gene, publications, count(*) AS records FROM ag JOIN pb USING (antigen_gene, mhc, antigen_epitope) GROUP BY 1, 2, 3, 4, 5")
 def rep_antigen_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.antigen_chains(_slim(spark, sf_dir), "SARS-CoV")
+    return report.antigen_chains(_slim(spark, sf_dir), "")
 
 
 @query(
@@ -490,12 +590,12 @@ def rep_antigen_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM ag JOIN pb USING (antigen_gene, mhc, antigen_epitope) GROUP BY 1, 2, 3, 4 HAVING count(*) >= 10"""
 )
 def rep_mhc_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.by_chain(report.antigen_chains(_slim(spark, sf_dir), "SARS-CoV"))
+    return report.by_chain(report.antigen_chains(_slim(spark, sf_dir), ""))
 
 
 @query(f"WITH {SRC}, {_SLIM} SELECT mhc_class, gene, confidence_score, count(*) AS total FROM slim WHERE species = 'HomoSapiens' GROUP BY 1, 2, 3")
 def rep_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.score_distribution(_slim(spark, sf_dir))
+    return report.score_distribution(_slim(spark, sf_dir, scores=True))
 
 
 @query(f"WITH {SRC}, {_SLIM} SELECT gene, mhc_class, length(cdr3)::INT AS cdr3_length, count(*) AS n FROM slim WHERE length(cdr3) BETWEEN 5 AND 25 GROUP BY 1, 2, 3")
@@ -568,61 +668,48 @@ def rep_lab_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.totals_by_reference(_slim(spark, sf_dir), "SARS-CoV-2")
 
 
-_PLACES = "pl AS (SELECT DISTINCT 'PMID:' || c_custkey AS reference_id, n_name AS city FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 2 = 0)"
+_PLACES = "pl AS (SELECT DISTINCT 'PMID:' || c_custkey AS reference_id, n_name AS city FROM customer JOIN nation ON c_nationkey = n_nationkey)"
 
 
 @query(f"WITH {SRC}, {_SLIM}, {_LAB}, {_PLACES} SELECT city, antigen_epitope, sum(n)::BIGINT AS n, count(DISTINCT reference_id) AS n_refs FROM lt JOIN pl USING (reference_id) GROUP BY 1, 2")
 def rep_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _geo(spark, sf_dir, load(spark, sf_dir, "customer").where("c_custkey % 2 = 0"))
-
-
-def _geo(spark: SparkSession, sf_dir: str, customers: DataFrame) -> DataFrame:
-    places = customers.join(F.broadcast(load(spark, sf_dir, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
+    places = load(spark, sf_dir, "customer").join(load(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     named = places.select(F.concat(F.lit("PMID:"), F.col("c_custkey").cast("string")).alias("reference_id"), F.col("n_name").alias("city"))
     totals = report.placed(report.totals_by_reference(_slim(spark, sf_dir), "SARS-CoV-2"), named)
     return totals.groupBy("city", "antigen_epitope").agg(F.sum("n").alias("n"), F.count_distinct("reference_id").alias("n_refs"))
 
 
-_ALL_PLACES = "pl AS (SELECT DISTINCT 'PMID:' || c_custkey AS reference_id, n_name AS city FROM customer JOIN nation ON c_nationkey = n_nationkey)"
-
-
-@query(f"WITH {SRC}, {_SLIM}, {_LAB}, {_ALL_PLACES} SELECT city, antigen_epitope, sum(n)::BIGINT AS n, count(DISTINCT reference_id) AS n_refs FROM lt JOIN pl USING (reference_id) GROUP BY 1, 2")
-def rep_geo_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _geo(spark, sf_dir, load(spark, sf_dir, "customer"))
-
-
-_CITIES = ["NLVPATV", "NLVIATV", "NLVTATV"]
-
-
 @query(
-    f"""WITH {SRC}, {_SLIM}, {_LAB}, {_PLACES} SELECT city, {', '.join(f"coalesce(sum(n) FILTER (antigen_epitope = '{e}'), 0)::BIGINT AS {e.lower()}" for e in _CITIES)}, round(ln(sum(n) + 1), 6) AS radius FROM lt JOIN pl USING (reference_id) GROUP BY 1"""
+    f"""PIVOT (WITH {SRC}, {_SLIM}, {_LAB}, {_PLACES}, ge AS (SELECT city, antigen_epitope, sum(n)::BIGINT AS n FROM lt JOIN pl USING (reference_id) GROUP BY 1, 2)
+SELECT city, antigen_epitope, n, round(ln(sum(n) OVER (PARTITION BY city) + 1), 6) AS radius FROM ge) ON antigen_epitope USING coalesce(sum(n), 0)::BIGINT GROUP BY city, radius"""
 )
 def rep_geo_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = rep_geo(spark, sf_dir)
-    wide = report.spread_by(counts, ["city"], "antigen_epitope", _CITIES, "n")
+    counts = checkpointed(rep_geo(spark, sf_dir))  # read three times
     radius = counts.groupBy("city").agg(F.round(F.log1p(F.sum("n")), 6).alias("radius"))
-    return wide.select("city", *[F.col(e).alias(e.lower()) for e in _CITIES]).join(radius, "city")
+    return report.pivoted(counts, ["city"], "antigen_epitope", "n").join(radius, "city")
+
+
+_XML = """'<Id>' || c_custkey || '</Id>' || CASE WHEN c_custkey % 3 = 0 THEN '' ELSE '<Item Name="PubDate" Type="Date">' || cast(1990 + c_custkey % 30 AS string) || ' Jan</Item>' END || '<Id>9' || c_custkey || '</Id><Item Name="Title">x</Item><Item Name="PubDate" Type="Date">2005</Item>'"""
+_LITERAL = {"https://example.org/data/1": 2019, "https://example.org/data/2": 2021, "PMID:1": 1901}
 
 
 @query(
-    f"""PIVOT (WITH {SRC}, {_SLIM}, {_LAB}, {_ALL_PLACES}, ge AS (SELECT city, antigen_epitope, sum(n)::BIGINT AS n FROM lt JOIN pl USING (reference_id) GROUP BY 1, 2)
-SELECT city, antigen_epitope, n, round(ln(sum(n) OVER (PARTITION BY city) + 1), 6) AS radius FROM ge) ON antigen_epitope USING coalesce(sum(n), 0)::BIGINT GROUP BY city, radius"""
+    f"""WITH d AS (SELECT 'PMID:' || c_custkey AS reference_id, CASE WHEN c_custkey % 3 <> 0 THEN 1990 + c_custkey % 30 END::INT AS pub_date FROM customer UNION ALL SELECT 'PMID:9' || c_custkey, 2005 FROM customer)
+SELECT * FROM d UNION ALL SELECT * FROM {values(sorted(_LITERAL.items()))} t(reference_id, pub_date) WHERE reference_id NOT IN (SELECT reference_id FROM d)"""
 )
-def rep_geo_pivot_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = checkpointed(rep_geo_all(spark, sf_dir))  # read three times
-    radius = counts.groupBy("city").agg(F.round(F.log1p(F.sum("n")), 6).alias("radius"))
-    return report.spread_all(counts, ["city"], "antigen_epitope", "n").join(radius, "city")
+def publication_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dictionaries.with_literal_dates(dictionaries.publication_dates(load(spark, sf_dir, "customer").select(F.expr(_XML).alias("xml"))), _LITERAL)
 
 
 @query(
     f"""WITH {SRC} SELECT {K}, regexp_replace(cdr3_beta || 'Z*', '[^ARNDCQEGHILKMFPSTWYV]', 'X', 'g') AS masked, replace(replace(mhc_a, '*', '.'), 'HLA-', '') AS short_mhc, length(cdr3_beta)::INT AS size, substr(antigen_epitope, 1, 3) AS head,
-  round(log2(l_linenumber + 1), 6) AS two, round(ln(l_partkey + 1), 6) AS one, least(l_linenumber, 3)::INT AS top, split_part(reference_id, ':', 2) AS ref_no, CASE WHEN cdr3_alpha IS NULL THEN 'TRB' ELSE 'TRA' END AS chain FROM src"""
+  round(log2(l_linenumber + 1), 6) AS two, round(exp(l_discount) - 1, 6) AS grown, round(ln(l_partkey + 1), 6) AS one, least(l_linenumber, 3)::INT AS top, split_part(reference_id, ':', 2) AS ref_no, CASE WHEN cdr3_alpha IS NULL THEN 'TRB' ELSE 'TRA' END AS chain FROM src"""
 )
 def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = submissions(spark, sf_dir)
     return rows.select(
         *KEY, seq.non_amino_to_x(F.concat("cdr3_beta", F.lit("Z*"))).alias("masked"), F.replace(F.replace("mhc_a", F.lit("*"), F.lit(".")), F.lit("HLA-"), F.lit("")).alias("short_mhc"), F.length("cdr3_beta").alias("size"), F.substring("antigen_epitope", 1, 3).alias("head"),
-        F.round(F.log2(F.col("l_linenumber") + 1), 6).alias("two"), F.round(F.log1p("l_partkey"), 6).alias("one"), F.least("l_linenumber", F.lit(3)).cast("int").alias("top"), report.first_of("reference_id", ":").alias("ref_head"),
+        F.round(F.log2(F.col("l_linenumber") + 1), 6).alias("two"), F.round(F.log1p("l_partkey"), 6).alias("one"), F.round(F.expm1("l_discount"), 6).alias("grown"), F.least("l_linenumber", F.lit(3)).cast("int").alias("top"), report.first_of("reference_id", ":").alias("ref_head"),
         F.split_part("reference_id", F.lit(":"), F.lit(2)).alias("ref_no"), F.when(F.col("cdr3_alpha").isNull(), "TRB").otherwise("TRA").alias("chain"),
     ).drop("ref_head")
 
@@ -680,24 +767,27 @@ def contig_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT 'both' AS kind, c_nationkey AS nationkey FROM customer INTERSECT SELECT 'both', s_nationkey FROM supplier
 UNION SELECT 'customers only', k FROM (SELECT c_nationkey AS k FROM customer EXCEPT SELECT s_nationkey FROM supplier)
+UNION SELECT 'suppliers only', k FROM (SELECT s_nationkey AS k FROM supplier EXCEPT SELECT c_nationkey FROM customer)
 UNION SELECT 'any', k FROM (SELECT c_nationkey AS k FROM customer UNION SELECT s_nationkey FROM supplier)""")
 def set_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = load(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("nationkey"))
     s = load(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("nationkey"))
-    both, only, union = c.intersect(s), c.subtract(s), c.union(s).distinct()
-    return both.select(F.lit("both").alias("kind"), "nationkey").union(only.select(F.lit("customers only"), "nationkey")).union(union.select(F.lit("any"), "nationkey"))
+    return relational.set_comparison(c, s, ("both", "customers only", "suppliers only", "any"))
 
 
-_HTML = "CASE doc_id % 11 WHEN 0 THEN '!summary_embed_start!' WHEN 7 THEN '!summary_embed_end!' WHEN 3 THEN '<div>' || source WHEN 4 THEN '<table> width=\"1152\"' WHEN 5 THEN '<pre class=\"r\"><code>x' WHEN 6 THEN '</code></pre>' WHEN 2 THEN '<pre><code>## a&quot;#b' ELSE source END"
+# One line a document: marks, code blocks over several lines and on one, both marks of a section, div lines.
+_HTML = "CASE doc_id % 17 WHEN 0 THEN 'x !summary_embed_start!' WHEN 13 THEN '!summary_embed_end! y' WHEN 3 THEN '<div>' || text WHEN 4 THEN '<table> width=\"1152\"' WHEN 5 THEN '<pre class=\"r\"><code>x' WHEN 6 THEN text WHEN 7 THEN '</code></pre>' WHEN 9 THEN '<pre class=\"r\"><code>y</code></pre>' WHEN 2 THEN '<pre><code>## a&quot;#b' WHEN 11 THEN CASE WHEN doc_id % 3 = 0 THEN '<pre class=\"r\"><code>z' WHEN doc_id % 3 = 1 THEN '!summary_embed_start! !summary_embed_end!' ELSE '</div>' END ELSE text END"
 
 
 @query(
-    f"""WITH l AS (SELECT source AS page, doc_id AS line, {_HTML} AS t FROM documents),
-s AS (SELECT *, coalesce(last_value(CASE WHEN contains(t, '!summary_embed_start!') THEN 'in' WHEN contains(t, '!summary_embed_end!') THEN 'out' END IGNORE NULLS) OVER w, 'out') AS st,
-  coalesce(last_value(CASE WHEN contains(t, '<pre class="r"><code>') THEN 'open' WHEN contains(t, '</code></pre>') THEN 'shut' END IGNORE NULLS) OVER w, 'shut') AS cd FROM l WINDOW w AS (PARTITION BY page ORDER BY line ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+    f"""WITH RECURSIVE l AS (SELECT source AS page, doc_id AS line, {_HTML} AS t, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS r FROM documents WHERE text IS NOT NULL),
+f AS (SELECT page, r, line, t, contains(t, '!summary_embed_start!') AS s, contains(t, '!summary_embed_end!') AS e, contains(t, '<pre class="r"><code>') AS o, contains(t, '</code></pre>') AS c FROM l),
+w AS (SELECT DISTINCT page, 0::BIGINT AS r, true AS out_, false AS code, false AS kept FROM l
+  UNION ALL SELECT f.page, f.r, NOT s AND (out_ OR e), CASE WHEN s OR e THEN false WHEN out_ THEN code ELSE (code OR o) AND NOT c END,
+    NOT (out_ OR e) AND NOT (code OR o) AND NOT starts_with(t, '<div') AND NOT starts_with(t, '</div') FROM w JOIN f ON f.page = w.page AND f.r = w.r + 1)
 SELECT page, line, replace(replace(CASE WHEN starts_with(t, '<pre><code>##') THEN replace(replace(t, '#', ''), '&quot;', '') ELSE t END, '<table>', '<table class="ui unstackable single line celled stripped compact small table">'), 'width="1152"', 'width="672"') AS t
-FROM s WHERE st = 'in' AND NOT contains(t, '!summary_embed_end!') AND cd <> 'open' AND NOT contains(t, '<pre class="r"><code>') AND NOT starts_with(t, '<div') AND NOT starts_with(t, '</div')"""
+FROM l JOIN w USING (page, r) WHERE kept"""
 )
 def html_embed_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = load(spark, sf_dir, "documents").select(F.col("source").alias("page"), F.col("doc_id").alias("line"), F.expr(_HTML).alias("t"))
+    lines = load(spark, sf_dir, "documents").where("text is not null").select(F.col("source").alias("page"), F.col("doc_id").alias("line"), F.expr(_HTML).alias("t"))
     return report.html_embed(lines, "page", "line", "t")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 # The columns of the record tables.
 COMPLEX = ["cdr3_alpha", "v_alpha", "j_alpha", "cdr3_beta", "v_beta", "d_beta", "j_beta", "species", "mhc_a", "mhc_b", "mhc_class", "antigen_epitope", "antigen_gene", "antigen_species", "reference_id"]
 METHOD = ["method_identification", "method_frequency", "method_singlecell", "method_sequencing", "method_verification"]
@@ -11,8 +9,6 @@ META = ["meta_study_id", "meta_cell_subset", "meta_subject_cohort", "meta_subjec
 EXTRA = ["chunk_id", "meta_subset_frequency", "comment", "submitter"]
 ROW_META = ["meta_study_id", "meta_cell_subset", "meta_subject_cohort", "meta_subject_id", "meta_replica_id", "meta_clone_id", "meta_tissue"]
 SIGNATURE = ["cdr3_alpha", "v_alpha", "j_alpha", "cdr3_beta", "v_beta", "j_beta", "species", "mhc_a", "mhc_b", "mhc_class", "antigen_epitope"]
-SLIM_KEY = ["gene", "cdr3", "species", "antigen_epitope", "antigen_gene", "antigen_species"]
-SLIM_SUMMARY = ["complex_id", "v_segm", "j_segm", "mhc_a", "mhc_b", "mhc_class", "reference_id", "confidence_score", "tcr_hash", "j_start", "v_end"]
 
 ALL = COMPLEX + METHOD + META
 ROW_SIGNATURE = COMPLEX + ROW_META
@@ -26,6 +22,3 @@ def dotted(name: str) -> str:
 def undotted(name: str) -> str:
     """Internal name of a file column."""
     return name.strip().replace(".", "_")
-
-
-CHUNK_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ALL])

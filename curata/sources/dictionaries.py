@@ -43,10 +43,24 @@ def allele_numbers(spark: SparkSession, path: str) -> DataFrame:
     return table.select(F.col("`IMGT/GENE-DB`").alias("gene_name"), F.col("`Number of alleles`").try_cast("int").alias("n_alleles"))
 
 
+def cluster_members(spark: SparkSession, path: str) -> DataFrame:
+    """gene, antigen_epitope, species, cdr3aa from a table with these columns."""
+    table = spark.read.option("sep", "\t").option("header", "true").csv(path)
+    return table.select("gene", F.col("`antigen.epitope`").alias("antigen_epitope"), "species", "cdr3aa")
+
+
 def publication_dates(lines: DataFrame) -> DataFrame:
-    """reference_id, pub_date (year) from lines of summary XML, one document per row in ``xml``."""
-    doc = F.col("xml")
-    ids = F.regexp_extract_all(doc, F.lit(r"<Id>(\d+)</Id>"), F.lit(1))
-    dates = F.regexp_extract_all(doc, F.lit(r'Name="PubDate"[^>]*>(\d{4})'), F.lit(1))
-    pairs = lines.select(F.explode(F.arrays_zip(ids.alias("id"), dates.alias("date"))).alias("p"))
-    return pairs.select(F.concat(F.lit("PMID:"), F.col("p.id")).alias("reference_id"), F.col("p.date").try_cast("int").alias("pub_date"))
+    """reference_id, pub_date (year) from summary XML: any number of summaries in each row's ``xml``.
+
+    Each summary runs from its Id to the next one, so one without a date has a null year and none
+    takes the date of another. Null texts and texts without an Id give nothing.
+    """
+    each = lines.select(F.explode(F.slice(F.split("xml", "<Id>"), 2, 2**31 - 1)).alias("block"))
+    found = each.select(F.regexp_extract("block", r"^\s*(\d+)\s*</Id>", 1).alias("id"), F.regexp_extract("block", r'Name="PubDate"[^>]*>\s*(\d{4})', 1).alias("year"))
+    return found.where("id <> ''").select(F.concat(F.lit("PMID:"), "id").alias("reference_id"), F.col("year").try_cast("int").alias("pub_date"))
+
+
+def with_literal_dates(dates: DataFrame, known: dict[str, int]) -> DataFrame:
+    """Publication dates with literal rows for references that no summary covers; a summary's own row holds."""
+    own = dates.sparkSession.createDataFrame(sorted(known.items()), "reference_id string, pub_date int")
+    return dates.unionByName(own.join(dates.select("reference_id"), "reference_id", "left_anti"))

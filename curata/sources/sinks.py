@@ -8,11 +8,12 @@ import zipfile
 from collections.abc import Sequence
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from curata.schema import dotted
+from curata.session import checkpointed
 
 
 def as_text(df: DataFrame, first: str | None = None) -> DataFrame:
@@ -39,10 +40,19 @@ def write_table(df: DataFrame, path: str, first: str | None = None, quoted: bool
     out.write.mode("overwrite").options(**options).csv(path)
 
 
-def write_splits(flagged: DataFrame, folder: str, flags: Sequence[str] = ("filtered", "gene_broken", "allele_broken", "cdr3_broken")) -> None:
-    """One table per flag; a row may go to several. The flags are columns of one pass."""
-    for f in flags:
-        write_table(flagged.where(F.col(f)).drop(*flags), f"{folder}/{f}")
+#: Flags of a split and the names of their tables.
+SPLITS = {"filtered": "full_filtered", "gene_broken": "full_gene_broken", "allele_broken": "full_allele_broken", "cdr3_broken": "full_cdr3aa_broken"}
+
+
+def splits(flagged: DataFrame) -> dict[str, DataFrame]:
+    """One table per flag; a row may go to several. The flags are written once, so each split is one scan of its rows."""
+    written = checkpointed(flagged)
+    return {name: written.where(F.col(f)).drop(*SPLITS) for f, name in SPLITS.items()}
+
+
+def write_summary(df: DataFrame, path: str) -> None:
+    """A report table as one tab-separated file with a header; it is sorted by the table, which must be a summary."""
+    as_text(df).coalesce(1).write.mode("overwrite").options(sep="\t", header="true", emptyValue="", nullValue="").csv(path)
 
 
 def read_table(spark, path: str) -> DataFrame:  # noqa: ANN001
@@ -51,11 +61,21 @@ def read_table(spark, path: str) -> DataFrame:  # noqa: ANN001
     return raw.toDF(*[c.replace(".", "_") for c in raw.columns])
 
 
-def html_table(df: DataFrame, titles: Sequence[str] | None = None, most: int = 10_000) -> str:
-    """A report table as HTML; for results of at most ``most`` rows."""
-    rows = df.limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"more than {most} rows")
+def html_lines(df: DataFrame) -> DataFrame:
+    """Each row of a table as one HTML table row, in a column ``html``; any number of rows."""
+    def cell(c: str) -> Column:
+        text = F.coalesce(F.col(c).cast("string"), F.lit(""))
+        for mark, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")):
+            text = F.replace(text, F.lit(mark), F.lit(name))
+        return F.concat(F.lit("<td>"), text, F.lit("</td>"))
+
+    return df.select(F.concat(F.lit("<tr>"), *[cell(c) for c in df.columns], F.lit("</tr>")).alias("html"))
+
+
+def html_table(df: DataFrame, titles: Sequence[str] | None = None) -> str:
+    """A report table as one HTML text. Rows come to the driver one partition at a time; larger tables
+    are for ``html_lines``, which writes them in parallel."""
+    rows = df.toLocalIterator()
     head = "".join(f"<th>{html.escape(t)}</th>" for t in (titles or df.columns))
     body = "".join("<tr>" + "".join(f"<td>{html.escape('' if v is None else str(v))}</td>" for v in r) + "</tr>" for r in rows)
     return f"<table><thead><tr>{head}</tr></thead><tbody>{body}</tbody></table>"

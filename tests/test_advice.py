@@ -6,7 +6,6 @@ import pytest
 from compare import difference, views
 from pyspark.sql import functions as F
 
-from curata.llm import canonical, ledger, mixture
 from curata.operators import drift, packed, report
 from curata.plans import records
 
@@ -15,15 +14,15 @@ SF = "/root/testdata/sf0.001"
 
 def test_pivot_has_every_value(spark):
     counts = spark.createDataFrame([("x", "NLVAATV", 2), ("x", "NLVLATV", 3), ("y", "NLVAATV", 4), ("y", None, 5)], "city string, antigen_epitope string, n bigint")
-    got = report.spread_all(counts, ["city"], "antigen_epitope", "n")
+    got = report.pivoted(counts, ["city"], "antigen_epitope", "n")
     assert got.columns == ["city", "NLVAATV", "NLVLATV", "null"]
     assert sorted(tuple(r) for r in got.collect()) == [("x", 2, 3, 0), ("y", 4, 0, 5)]
     with pytest.raises(ValueError, match="more than 2"):
-        report.spread_all(counts, ["city"], "antigen_epitope", "n", most=2)
+        report.pivoted(counts, ["city"], "antigen_epitope", "n", most=2)
 
 
 @pytest.mark.skipif(not Path(SF).exists(), reason="no test tables")
-@pytest.mark.parametrize("name", ["rep_geo_all", "rep_geo_pivot_all"])
+@pytest.mark.parametrize("name", ["rep_geo", "rep_geo_pivot", "html_embed_filter", "publication_dates", "default_table", "built_default", "built_slim", "built_slim_legacy", "repaired_records", "realign_update", "realign_counts"])
 def test_query_equals_sql(spark, name):
     rows, unlike = difference(spark, views(SF), records.QUERIES[name], records.SQL[name], SF)
     assert unlike == "" and rows > 0
@@ -48,65 +47,13 @@ def test_any_delimiter_reaches_the_lattice(spark, text):
     assert len(want) == 2 or text == "‘A’“B”"
 
 
-def test_no_text_of_a_field_is_lost(spark):
-    texts = [
-        ("note: A; B", "note=ab"), ("note: A; C", "note=ac"), ("note: A|B\nC;x=1;", "note=abc;x=1"), ("A; note: B; y=", "=a;note=b"), (";;note:;B", "note=b"), ("B", "=b"), ("", ""), (None, ""),
-        ('{"n": ["a", "b"], "m": "x, \\"y\\": 1", "z": null, "e": ""}', "m=xy1;n=ab"), ('{"n": ["a", "c"]}', "n=ac"), ('{"n": 1.50, "o": {"p": true}}', "n=150;o=ptrue"), ('{"n": 1, "n": 2}', "n=1;n=2"), ("{}", ""),
-        ('{"n": "a", "b"', "n=ab"), ('{"n": "a"} rest', "n=arest"), ('{"n": [1.50, -2], "m": 0.12345678901234567891, "s": "a, 5, \\u0041"}', "m=012345678901234567891;n=1502;s=a5a"),
-        ('{"n": "' + "ab " * 20000 + '"}', "n=" + "ab" * 20000),
-    ]
-    rows = spark.createDataFrame([(t, w) for t, w in texts], "t string, want string").select("t", "want", ledger.canonical_fields(F.col("t")).alias("got"))
-    assert [(r.t, r.got) for r in rows.collect()] == texts
-
-
-def test_any_number_of_registries_is_counted(spark):
-    rows = spark.range(600).selectExpr("id AS line_id", "CASE WHEN id % 7 > 0 THEN concat('r', id % 150) END AS registry", "concat('k', id % 200) AS a")
-    keys = ledger.keyed(rows, ["a"], [], "line_id", "registry").localCheckpoint()
-    want = {(r.k1, r.k2): (r.n_copies, r.first_id) for r in ledger.counted(keys).collect()}
-    assert {(r.k1, r.k2): (r.n_copies, r.first_id) for r in ledger.ledger_of(keys).collect()} == want
-    assert ledger.copies(keys, ledger.ledger_of(keys)).count() == 400
-
-
 GENES = [(1, "TRAV1"), (2, "TRAV10-1"), (3, "TRAV10-2"), (4, "TRAV5-2"), (5, "TRAV35/DV2")]
 
 
-@pytest.mark.parametrize(
-    ("typed", "want"),
-    [("TRAV1" + " " * 5000 + "*01", 1), ("-" * 300 + "TRAV10_2", 3), ("TRAV" + "0" * 300 + "1", 1), ("TRAV1*02" + ":03" * 100, 1), ("TRAV10" + " " * 900 + "-1", 2), ("TRAV1 " + "x" * 300, 0), ("1" * 20_000, 0)],
-)
-def test_long_names_are_searched(typed, want):
-    assert canonical.NameTrie(GENES).resolve(typed)[0] == want
-
-
-def test_all_entries_within_distance_are_listed(spark):
-    rows = spark.createDataFrame([(1, "TRAVV1"), (2, "mixed"), (3, "DRB1*2313")], "record_id bigint, v_alpha string")
-    names = spark.createDataFrame([("v_alpha", i, n) for i, n in [*GENES, (6, "TRBV1"), (7, "TRDV1")]], "field_name string, name_id bigint, canonical_name string")
-    got = {r.record_id: ([tuple(x) for x in r.within], r.name_id) for r in canonical.canonical_names(rows, names, ["v_alpha"]).collect()}
-    assert got[1][1] == 1 and got[1][0][0] == (1, 1) and {e for e, _ in got[1][0]} == {1, 6, 7} and got[2] == ([], 0)
-
-
-def test_every_usable_source_gets_a_slot(spark):
-    given = [0.5, 0.49998, 0.00002]
-    slots = mixture.schedule(given, mixture.enough_slots(given))
-    assert (slots == 2).any() and abs((slots == 2).mean() - 0.00002) < 0.00002
-    assert set(mixture.schedule([1.0, 1e-9, 1e-9])) == {0, 1, 2}
-    docs = spark.createDataFrame([(i, f"cell beta {i}", "big") for i in range(3000)] + [(9000 + i, f"gamma {i}", "tiny") for i in range(40)], "doc_id bigint, text string, source string")
-    targets = spark.createDataFrame([("m", "big", 0.9999, 5), ("m", "tiny", 0.0001, 5)], "mix_name string, source_name string, target_share double, max_repeats int")
-    reached = {r.source: r.n_texts for r in mixture.shares(docs, targets).collect()}
-    assert reached["tiny"] > 0 and {r.source for r in mixture.mixed(docs, targets).collect()} == {"big", "tiny"}
-
-
-@pytest.mark.parametrize("text", ["ab" * 60_000, "a" * 70_000 + " b", "ab\n" * 30_000, "ab   \n  c" * 9000, "x" * 49_999 + "    y" + " z" * 5])
-def test_long_texts_have_the_tokens_of_the_whole(text):
-    encoding = mixture._encoding(mixture.TOKENIZER)
-    assert "".join(mixture.pieces(text)) == text
-    assert sum(len(encoding.encode_ordinary(p)) for p in mixture.pieces(text)) == len(encoding.encode_ordinary(text))
-
-
 @pytest.mark.skipif(not Path(SF).exists(), reason="no test tables")
 def test_every_reference_with_a_place_is_counted(spark):
     whole = report.totals_by_reference(records._slim(spark, SF), "SARS-CoV-2").agg(F.sum("n")).first()[0]
-    assert records.rep_geo_all(spark, SF).agg(F.sum("n")).first()[0] == whole
+    assert records.rep_geo(spark, SF).agg(F.sum("n")).first()[0] == whole
 
 
 def test_references_without_a_place_are_left_out(spark):
