@@ -8,15 +8,21 @@ Conflicting alternatives are split into typed branches with one canonical conver
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# How names of one meaning are recognised in the unified table.
-FREQUENCY_NAMES = ["metasubsetfrequency", "metasubsetfreq", "subsetfrequency", "subsetfreq", "metafrequencyinsubset", "cloneshare"]
-COMMENT_NAMES = ["comment", "comments", "metacomment", "remark", "remarks", "note", "notes", "freetext", "curatornote"]
+from curata.session import checkpointed, lookup_join
 
 RECORD_KEY = "record.key"
 
+# The two fields of the unified table that drift, as letters and digits.
+FREQUENCY, COMMENT = "metasubsetfrequency", "comment"
+
+#: Most names that are linked to one another on the driver.
+MAX_LINKS = 100_000
+
 
 def branches(rows: DataFrame) -> DataFrame:
     """Every top-level member of every row: file_id, row_id, line_no, name, value (JSON text), kind.
@@ -26,11 +32,20 @@ def branches(rows: DataFrame) -> DataFrame:
     session's setting for repeated keys is turned on, else such a row would be no object.
     """
     rows.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    members = F.try_parse_json("row_json")
-    view = rows.select("file_id", "row_id", "line_no", members.alias("doc")).where("doc is not null and schema_of_variant(doc) like 'OBJECT%'")
-    exploded = view.lateralJoin(view.sparkSession.tvf.variant_explode(F.col("doc").outer()))
-    shape = F.regexp_extract(F.schema_of_variant("value"), "^[A-Z]+", 0)
-    kind = (
+    return members(documents(rows).select("file_id", "row_id", "line_no", "doc"))
+
+
+def documents(rows: DataFrame) -> DataFrame:
+    """Rows with their parsed ``doc`` in place of row_json; null where that is no JSON."""
+    rows.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    kept = [c for c in rows.columns if c != "row_json"]
+    return rows.select(*kept, F.try_parse_json("row_json").alias("doc"))
+
+
+def kind_of(value: Column) -> Column:
+    """JSON type of a variant."""
+    shape = F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
+    return (
         F.when(shape == "VOID", "null")
         .when(shape == "STRING", "string")
         .when(shape == "BOOLEAN", "boolean")
@@ -38,9 +53,19 @@ def branches(rows: DataFrame) -> DataFrame:
         .when(shape == "OBJECT", "object")
         .otherwise("number")
     )
-    return exploded.select(
-        "file_id", "row_id", "line_no", F.col("key").alias("name"), F.when(kind != "null", F.to_json("value")).alias("value"), kind.alias("kind")
-    )
+
+
+def exploded(parsed: DataFrame) -> DataFrame:
+    """Every member of every ``doc``: the other columns, key and value (a variant)."""
+    kept = [c for c in parsed.columns if c != "doc"]
+    return parsed.lateralJoin(parsed.sparkSession.tvf.variant_explode(F.col("doc").outer())).where("key is not null").select(*kept, "key", "value")  # no object, no key
+
+
+def members(parsed: DataFrame) -> DataFrame:
+    """Members as name, value (JSON text, null for null) and kind."""
+    kept = [c for c in parsed.columns if c != "doc"]
+    kind = kind_of(F.col("value"))
+    return exploded(parsed).select(*kept, F.col("key").alias("name"), F.when(kind != "null", F.to_json("value")).alias("value"), kind.alias("kind"))
 
 
 def with_previous(files: DataFrame) -> DataFrame:
@@ -48,9 +73,26 @@ def with_previous(files: DataFrame) -> DataFrame:
     return files.withColumn("previous_id", F.lag("file_id").over(Window.partitionBy("feed_name").orderBy("sent_at", "file_id")))
 
 
-def file_schemas(members: DataFrame) -> DataFrame:
-    """Fused schema of each file: file_id, name, kinds (sorted non-null alternatives)."""
-    return members.groupBy("file_id", "name").agg(F.sort_array(F.collect_set(F.when(F.col("kind") != "null", F.col("kind")))).alias("kinds"))
+def file_schemas(rows: DataFrame) -> DataFrame:
+    """Fused schema of each file: file_id, name, kinds (sorted non-null alternatives).
+
+    Partial unions of at most six alternatives a name are all that is shuffled.
+    """
+    kind = kind_of(F.col("value"))
+    each = exploded(documents(rows).select("file_id", "doc")).select("file_id", F.col("key").alias("name"), F.when(kind != "null", kind).alias("kind"))
+    return each.groupBy("file_id", "name").agg(F.sort_array(F.collect_set("kind")).alias("kinds"))
+
+
+def compared(order: DataFrame, schemas: DataFrame) -> DataFrame:
+    """Names that differ between a file and the one before: file_id, name, old_kinds, new_kinds, change."""
+    new = order.join(schemas, "file_id").select("file_id", "name", F.col("kinds").alias("new_kinds"))
+    old = order.join(schemas.withColumnRenamed("file_id", "previous_id"), "previous_id").select("file_id", "name", F.col("kinds").alias("old_kinds"))
+    change = (
+        F.when(F.col("old_kinds").isNull(), "added")
+        .when(F.col("new_kinds").isNull(), "removed")
+        .when((F.size("old_kinds") > 0) & (F.size("new_kinds") > 0) & (F.col("old_kinds") != F.col("new_kinds")), "retyped")
+    )
+    return new.join(old, ["file_id", "name"], "full").select("file_id", "name", "old_kinds", "new_kinds", change.alias("change")).where("change is not null")
 
 
 def changes(files: DataFrame, rows: DataFrame) -> DataFrame:
@@ -59,33 +101,18 @@ def changes(files: DataFrame, rows: DataFrame) -> DataFrame:
     Result: file_id, column_name, change_kind (added, removed, renamed, retyped), old_name, old
     and new type alternatives. A name is there if any row has it, even with null; a name without
     non-null values in either file is not retyped. A rename joins a name that is gone to a new one
-    if the records sent in both files have the same values under them and at least one of these is
-    not null; if several fit, the pair that shares most records holds, then the alphabetically
-    first. A name may take part in one rename only. A file without rows has no names. Repeated
+    if the records sent in both files have the same values under them (a name that a record lacks
+    is null there) and at least one of these is not null; if several fit, the alphabetically first
+    hold. A name may take part in one rename only. A file without rows has no names. Repeated
     rows count once. The first file of a feed has no changes.
     """
-    members = branches(rows)
-    order = with_previous(files).select("file_id", "previous_id").where("previous_id is not null")
-    schemas = file_schemas(members)
-    new = order.join(schemas, "file_id").select("file_id", "name", F.col("kinds").alias("new_kinds"))
-    old = order.join(schemas.withColumnRenamed("file_id", "previous_id"), "previous_id").select("file_id", "name", F.col("kinds").alias("old_kinds"))
-    both = new.join(old, ["file_id", "name"], "full")
-    compared = both.select(
-        "file_id",
-        "name",
-        "old_kinds",
-        "new_kinds",
-        F.when(F.col("old_kinds").isNull(), "added")
-        .when(F.col("new_kinds").isNull(), "removed")
-        .when((F.size("old_kinds") > 0) & (F.size("new_kinds") > 0) & (F.col("old_kinds") != F.col("new_kinds")), "retyped")
-        .alias("change"),
-    ).where("change is not null")
-
-    renames = _renames(members, order, compared)
+    order = checkpointed(with_previous(files).select("file_id", "previous_id").where("previous_id is not null"))
+    differing = checkpointed(compared(order, checkpointed(file_schemas(rows))))  # tables of files and names, not of rows
+    renames = checkpointed(_renames(rows, order, differing))
     gone = renames.select("file_id", F.col("old_name").alias("name"), F.lit("removed").alias("change"), F.lit(True).alias("gone"))
     came = renames.select("file_id", F.col("new_name").alias("name"), F.lit("added").alias("change"), "old_name")
     return (
-        compared.join(gone, ["file_id", "name", "change"], "left")
+        differing.join(gone, ["file_id", "name", "change"], "left")
         .where("gone is null")
         .join(came, ["file_id", "name", "change"], "left")
         .select(
@@ -99,38 +126,43 @@ def changes(files: DataFrame, rows: DataFrame) -> DataFrame:
     )
 
 
-def _renames(members: DataFrame, order: DataFrame, compared: DataFrame) -> DataFrame:
+def _renames(rows: DataFrame, order: DataFrame, differing: DataFrame) -> DataFrame:
     """Pairs file_id, old_name, new_name that hold the same values in the records of both files.
 
-    Only files that both lose and gain a name are read again, and of them only those names.
+    Only files that lose and gain a name, and their predecessors, are read again, and of their rows
+    only the record key and those names. Each name becomes a fingerprint of its values over the
+    shared records; names with equal fingerprints are paired, so no two names are compared by record.
     """
-    gone = compared.where("change = 'removed'").select("file_id", "name")
-    came = compared.where("change = 'added'").select("file_id", "name")
-    keys = members.where(F.col("name") == RECORD_KEY).select("row_id", F.col("value").alias("record_key"))
-    keyed = members.join(keys, "row_id").groupBy("file_id", "record_key", "name").agg(F.min("value").alias("value"))
-    before = (
-        order.join(keyed.withColumnRenamed("file_id", "previous_id"), "previous_id")
-        .join(gone, ["file_id", "name"], "left_semi")
-        .select("file_id", "record_key", F.col("name").alias("old_name"), F.col("value").alias("old_value"))
+    names = differing.where("change <> 'retyped'").groupBy("file_id").agg(
+        F.collect_list(F.when(F.col("change") == "removed", F.col("name"))).alias("gone"), F.collect_list(F.when(F.col("change") == "added", F.col("name"))).alias("came")
+    ).where("size(gone) > 0 and size(came) > 0").join(order, "file_id")
+    sides = F.explode(F.array(F.struct(F.col("previous_id").alias("file_id"), F.lit(0).alias("side"), F.col("gone").alias("names")), F.struct("file_id", F.lit(1).alias("side"), F.col("came").alias("names"))))
+    wanted = names.select(F.col("file_id").alias("pair"), sides.alias("s")).select("s.file_id", "pair", "s.side", "s.names")
+    # A file is compared at most twice: with the one before it and with the one after it.
+    tasks = wanted.groupBy("file_id").agg(F.collect_list(F.struct("pair", "side", "names")).alias("tasks"))
+    key = F.to_json(F.variant_get("doc", f"$['{RECORD_KEY}']", "variant"))
+    read = lookup_join(rows.select("file_id", "row_json"), tasks, ["file_id"], "inner")
+    parsed = documents(read).select(F.explode("tasks").alias("t"), key.alias("record_key"), "doc").where("record_key is not null")
+    # One row a record and name, and one without a name that says the record is there.
+    values = exploded(parsed).select("t.pair", "t.side", "record_key", "key", F.col("t.names").alias("names"), F.to_json("value").alias("value"))
+    held = values.where((F.col("key") == RECORD_KEY) | F.array_contains("names", F.col("key")))
+    own = F.when(F.array_contains("names", F.col("key")), F.col("key"))
+    named = held.select("pair", "side", "record_key", own.alias("name"), F.when(own.isNotNull() & (F.col("value") != "null"), F.col("value")).alias("value"))
+    once = named.groupBy("pair", "record_key", "side", "name").agg(F.min("value").alias("value"))
+    records = once.groupBy("pair", "record_key").agg(
+        F.count_distinct("side").alias("n_sides"), F.collect_list(F.when(F.col("value").isNotNull(), F.struct("side", "name", F.xxhash64("record_key", "value").alias("h1"), F.xxhash64(F.lit("second"), "value", "record_key").alias("h2")))).alias("values")
     )
-    after = keyed.join(came, ["file_id", "name"], "left_semi").select("file_id", "record_key", F.col("name").alias("new_name"), F.col("value").alias("new_value"))
-    fits = (
-        before.join(after, ["file_id", "record_key"])
-        .groupBy("file_id", "old_name", "new_name")
-        .agg(
-            F.sum(F.when(F.col("old_value") == F.col("new_value"), 1).otherwise(0)).alias("same"),
-            F.sum(F.when(F.col("old_value").eqNullSafe(F.col("new_value")), 0).otherwise(1)).alias("unlike"),
-        )
-        .where("same > 0 and unlike = 0")
-    )
-    by_old = Window.partitionBy("file_id", "old_name").orderBy(F.desc("same"), "new_name")
-    by_new = Window.partitionBy("file_id", "new_name").orderBy(F.desc("same"), "old_name")
-    return (
-        fits.withColumn("first_new", F.row_number().over(by_old))
-        .withColumn("first_old", F.row_number().over(by_new))
-        .where("first_new = 1 and first_old = 1")
-        .select("file_id", "old_name", "new_name")
+    prints = (
+        records.where("n_sides = 2")
+        .select("pair", F.explode("values").alias("v"))
+        .groupBy("pair", "v.side", "v.name")
+        .agg(F.bit_xor("v.h1").alias("p1"), F.bit_xor("v.h2").alias("p2"), F.count("*").alias("n"))
     )
+    place = Window.partitionBy("pair", "side", "p1", "p2", "n").orderBy("name")
+    ranked = prints.withColumn("place", F.row_number().over(place)).where("place = 1")
+    old = ranked.where("side = 0").select("pair", "p1", "p2", "n", F.col("name").alias("old_name"))
+    new = ranked.where("side = 1").select("pair", "p1", "p2", "n", F.col("name").alias("new_name"))
+    return old.join(new, ["pair", "p1", "p2", "n"]).select(F.col("pair").alias("file_id"), "old_name", "new_name")
 
 
 def canonical_name(name: Column) -> Column:
@@ -160,29 +192,88 @@ def frequency_value(value: Column, kind: Column) -> Column:
     )
 
 
-def unified(files: DataFrame, rows: DataFrame) -> DataFrame:
+def comment_value(value: Column) -> Column:
+    """One text for each branch of the comment union: the text, and what else it holds in brackets.
+
+    Text stays as it is; an array gives its first element as the text, an object its member
+    ``text`` (and its other members in order of their names). An array or object without a text, and
+    any other value, is its JSON. ``value`` is a variant.
+    """
+    kind = kind_of(value)
+
+    def bracketed(first: Column, rest: Column) -> Column:
+        return F.when(F.size(rest) == 0, first).otherwise(F.concat(first, F.lit(" ("), F.array_join(rest, ", "), F.lit(")")))
+
+    items = F.try_variant_get(value, "$", "array<string>")
+    held = F.try_variant_get(value, "$", "map<string,string>")
+    others = F.transform(F.array_sort(F.map_entries(F.map_filter(held, lambda k, _: k != "text"))), lambda e: e["value"])
+    return F.coalesce(
+        F.when(kind == "string", F.try_variant_get(value, "$", "string"))
+        .when(kind == "array", bracketed(F.get(items, F.lit(0)), F.slice(items, 2, 2**31 - 1)))
+        .when(kind == "object", bracketed(F.try_element_at(held, F.lit("text")), others)),
+        F.to_json(value),
+    )
+
+
+def linked_names(found: DataFrame, names: DataFrame, target: str) -> list[str]:
+    """Names that mean the field ``target``: those written like it, and all that renames lead to or from.
+
+    ``found`` are the changes of all feeds. Both tables are of names, not of rows.
+    """
+    pairs = found.where("change_kind = 'renamed'").select("old_name", F.col("column_name").alias("new_name")).distinct().limit(MAX_LINKS + 1).collect()
+    if len(pairs) > MAX_LINKS:
+        raise ValueError(f"more than {MAX_LINKS} different renames")
+    alike = names.where(canonical_name(F.col("name")) == target).select("name").distinct().collect()
+    known, near = {r[0] for r in alike}, {}
+    for a, b in pairs:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    open_ends = list(known)
+    while open_ends:
+        for other in near.get(open_ends.pop(), set()) - known:
+            known.add(other)
+            open_ends.append(other)
+    return sorted(known)
+
+
+def unified(files: DataFrame, rows: DataFrame, found: DataFrame | None = None) -> DataFrame:
     """All rows of all feeds as one table.
 
     The fixed fields keep their names; meta_subset_frequency is a number whatever its name and
-    form, next to the branch it came from; comment is text. Other members stay in ``others``, a map
-    from name to JSON text. Rows that are no JSON object come out with nulls.
+    form, next to the branch it came from; comment is text (``comment_value``). Which names mean these two is learned
+    from the renames between files (``found``, the changes), not listed. All other members stay in
+    ``others``, one JSON object with its names in order. Rows that are no JSON object come out with
+    nulls. A row stays one row in its task: nothing is shuffled but the small table of files.
     """
-    members = branches(rows)
-    canonical = canonical_name(F.col("name"))
-    text = F.when(F.col("kind") == "string", F.get_json_object(F.concat(F.lit('{"v":'), F.col("value"), F.lit("}")), "$.v")).otherwise(F.col("value"))
-    is_frequency, is_comment = canonical.isin(FREQUENCY_NAMES), canonical.isin(COMMENT_NAMES)
+    found = checkpointed(changes(files, rows)) if found is None else found
+    names = checkpointed(file_schemas(rows).select("name").distinct())
     fixed = {"record_key": RECORD_KEY, "cdr3_beta": "cdr3.beta", "species": "species", "antigen_epitope": "antigen.epitope", "antigen_species": "antigen.species", "reference_id": "reference.id"}
-    wide = members.groupBy("row_id").agg(
-        *[F.min(F.when(F.col("name") == n, text)).alias(c) for c, n in fixed.items()],
-        F.min(F.when(is_frequency, frequency_value(F.col("value"), F.col("kind")))).alias("meta_subset_frequency"),
-        F.min(F.when(is_frequency & (F.col("kind") != "null"), F.col("kind"))).alias("frequency_branch"),
-        F.min(F.when(is_comment, text)).alias("comment"),
-        F.map_from_entries(
-            F.array_sort(F.collect_list(F.when(~is_frequency & ~is_comment & ~F.col("name").isin(list(fixed.values())), F.struct("name", "value"))))
-        ).alias("others"),
-    )
-    return (
-        rows.select("row_id", "file_id", "line_no")
-        .join(files.select("file_id", "feed_name", "sent_at"), "file_id", "left")
-        .join(wide, "row_id", "left")
-    )
+    frequency, comment = linked_names(found, names, FREQUENCY), linked_names(found, names, COMMENT)
+    rows.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    parsed = rows.select("row_id", "file_id", "line_no", F.try_variant_get(F.try_parse_json("row_json"), "$", "map<string,variant>").alias("members"))
+
+    def first_of(names: Sequence[str]) -> Column:
+        """The alphabetically first of ``names`` that the row states with a value."""
+        stated = F.filter(F.map_entries("members"), lambda e: e["key"].isin(list(names)) & (F.schema_of_variant(e["value"]) != "VOID"))
+        return F.array_min(F.transform(stated, lambda e: e["key"]))
+
+    def text(name: Column) -> Column:
+        value = F.try_element_at("members", name)
+        return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string")).when(F.schema_of_variant(value) != "VOID", F.to_json(value))
+
+    def as_json(entry: Column) -> Column:
+        name = F.to_json(F.array(entry["key"]))
+        return F.struct(entry["key"], F.concat(F.substring(name, F.lit(2), F.length(name) - 2), F.lit(":"), F.to_json(entry["value"])).alias("text"))
+
+    other = F.filter(F.map_entries("members"), lambda e: ~e["key"].isin([*fixed.values(), *frequency, *comment]))
+    others = F.array_join(F.transform(F.array_sort(F.transform(other, as_json)), lambda x: x["text"]), ",")
+    chosen = parsed.select("*", first_of(frequency).alias("__f"), first_of(comment).alias("__c"))
+    branch = F.try_element_at("members", F.col("__f"))
+    table = chosen.select(
+        "row_id", "file_id", "line_no", *[text(F.lit(n)).alias(c) for c, n in fixed.items()],
+        F.when(F.col("__f").isNotNull(), frequency_value(F.to_json(branch), kind_of(branch))).alias("meta_subset_frequency"),
+        F.when(F.col("__f").isNotNull(), kind_of(branch)).alias("frequency_branch"),
+        F.when(F.col("__c").isNotNull(), comment_value(F.try_element_at("members", F.col("__c")))).alias("comment"),
+        F.when(F.col("members").isNotNull(), F.concat(F.lit("{"), others, F.lit("}"))).alias("others"),
+    )
+    return lookup_join(table, files.select("file_id", "feed_name", "sent_at"), ["file_id"])

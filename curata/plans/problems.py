@@ -61,7 +61,7 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p5_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = drift.unified(load(spark, sf_dir, "feed_files"), load(spark, sf_dir, "feed_rows"))
-    return table.withColumn("meta_subset_frequency", F.round("meta_subset_frequency", 9)).drop("others")
+    return table.withColumn("meta_subset_frequency", F.round("meta_subset_frequency", 9))
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,9 +115,10 @@ c AS (SELECT coalesce(n.file_id, p.file_id) AS file_id, coalesce(n.name, p.name)
       FROM n FULL JOIN p ON n.file_id = p.file_id AND n.name = p.name),
 k AS (SELECT file_id, rk, name, min(CASE WHEN kind IS NOT NULL THEN val END) AS val
       FROM (SELECT m.*, max(CASE WHEN name = 'record.key' THEN val END) OVER (PARTITION BY row_id) AS rk FROM m) GROUP BY 1, 2, 3),
+sh AS (SELECT DISTINCT o.file_id, o.prev, x.rk FROM o JOIN k x ON x.file_id = o.prev JOIN k y ON y.file_id = o.file_id AND y.rk = x.rk),
 q AS (SELECT g.file_id, g.name AS old_name, a.name AS new_name, count(*) FILTER (ka.val = kb.val) AS same, count(*) FILTER (ka.val IS DISTINCT FROM kb.val) AS unlike
-      FROM c g JOIN c a ON g.file_id = a.file_id AND g.change = 'removed' AND a.change = 'added'
-      JOIN o ON o.file_id = g.file_id JOIN k ka ON ka.file_id = o.prev AND ka.name = g.name JOIN k kb ON kb.file_id = g.file_id AND kb.name = a.name AND kb.rk = ka.rk
+      FROM c g JOIN c a ON g.file_id = a.file_id AND g.change = 'removed' AND a.change = 'added' JOIN sh ON sh.file_id = g.file_id
+      LEFT JOIN k ka ON ka.file_id = sh.prev AND ka.name = g.name AND ka.rk = sh.rk LEFT JOIN k kb ON kb.file_id = g.file_id AND kb.name = a.name AND kb.rk = sh.rk
       GROUP BY 1, 2, 3),
 t AS (SELECT *, row_number() OVER (PARTITION BY file_id, old_name ORDER BY same DESC, new_name) AS x, row_number() OVER (PARTITION BY file_id, new_name ORDER BY same DESC, old_name) AS y
       FROM q WHERE same > 0 AND unlike = 0),
@@ -129,6 +130,23 @@ z AS (SELECT c.file_id, c.name AS column_name, CASE WHEN w.old_name IS NOT NULL
       WHERE c.change IS NOT NULL AND v.old_name IS NULL)
 """
 
+_FIXED = {"record_key": "record.key", "cdr3_beta": "cdr3.beta", "species": "species", "antigen_epitope": "antigen.epitope", "antigen_species": "antigen.species", "reference_id": "reference.id"}
+_TEXT = "CASE kind WHEN 'string' THEN json_extract_string(val, '$') ELSE val END"
+_NAMES_OF = ", ".join(f"'{n}'" for n in _FIXED.values())
+_UNIFIED = f"""
+lk AS (SELECT DISTINCT 'f' AS target, name FROM m WHERE regexp_replace(lower(name), '[^a-z0-9]', '', 'g') = 'metasubsetfrequency' UNION SELECT 'c', name FROM m WHERE regexp_replace(lower(name), '[^a-z0-9]', '', 'g') = 'comment'
+  UNION SELECT lk.target, CASE WHEN z.old_name = lk.name THEN z.column_name ELSE z.old_name END FROM lk JOIN z ON z.change_kind = 'renamed' AND lk.name IN (z.old_name, z.column_name)),
+fq AS (SELECT row_id, arg_min(kind, m.name) AS kind, arg_min(val, m.name) AS val FROM m JOIN lk ON lk.name = m.name AND target = 'f' WHERE kind IS NOT NULL GROUP BY 1),
+ft AS (SELECT row_id, kind, val, trim(CASE WHEN kind = 'string' THEN json_extract_string(val, '$') END) AS t FROM fq),
+cm AS (SELECT row_id, arg_min(CASE kind WHEN 'object' THEN json_extract_string(val, '$.text') || ' (' || json_extract_string(val, '$.by') || ')' WHEN 'array' THEN json_extract_string(val, '$[0]') || ' (' || json_extract_string(val, '$[1]') || ')' ELSE {_TEXT} END, m.name) AS comment FROM m JOIN lk ON lk.name = m.name AND target = 'c' WHERE kind IS NOT NULL GROUP BY 1),
+ot AS (SELECT row_id, '{{' || coalesce(string_agg(to_json(name)::VARCHAR || ':' || val, ',' ORDER BY name) FILTER (name NOT IN ({_NAMES_OF}) AND name NOT IN (SELECT name FROM lk)), '') || '}}' AS others,
+    {', '.join(f"min({_TEXT}) FILTER (name = '{n}' AND kind IS NOT NULL) AS {c}" for c, n in _FIXED.items())} FROM m GROUP BY 1)
+SELECT r.row_id, r.file_id, line_no, {', '.join(_FIXED)}, round(CASE ft.kind WHEN 'number' THEN val::DOUBLE WHEN 'array' THEN try_cast(json_extract_string(val, '$[0]') AS DOUBLE) / nullif(try_cast(json_extract_string(val, '$[1]') AS DOUBLE), 0)
+    WHEN 'object' THEN try_cast(json_extract_string(val, '$.num') AS DOUBLE) / nullif(try_cast(json_extract_string(val, '$.den') AS DOUBLE), 0)
+    ELSE CASE WHEN contains(t, '/') THEN try_cast(regexp_extract(t, '^([^/]*)/', 1) AS DOUBLE) / nullif(try_cast(regexp_extract(t, '^[^/]*/+([^/]*)', 1) AS DOUBLE), 0) WHEN ends_with(t, '%') THEN try_cast(regexp_replace(t, '%$', '') AS DOUBLE) / 100 ELSE try_cast(t AS DOUBLE) END END, 9) AS meta_subset_frequency,
+  ft.kind AS frequency_branch, comment, others, feed_name, sent_at
+FROM feed_rows r LEFT JOIN feed_files USING (file_id) LEFT JOIN ot ON ot.row_id = r.row_id LEFT JOIN ft ON ft.row_id = r.row_id LEFT JOIN cm ON cm.row_id = r.row_id"""
+
 SQL: dict[str, str] = {
     "p1_found": f"WITH {_LINES} SELECT line_id FROM r WHERE hv IS NULL OR broken OR bad_beta OR bad_mhc OR bad_species OR bad_ref",
     "p1_rejected": f"""WITH {_LINES} SELECT line_id, chunk_file, line_no, concat_ws('; ',
@@ -143,6 +161,7 @@ SELECT field_name, key_value FROM c WHERE key_value IS NOT NULL AND n > 0.04 * (
     "p2_per_epitope": _per_key_sql("antigen_epitope"),
     "p2_per_species": _per_key_sql("antigen_species"),
     "p5_found": f"WITH {_CHANGES} SELECT file_id, column_name, change_kind FROM z",
+    "p5_unified": f"WITH RECURSIVE {_CHANGES}, {_UNIFIED}",
     "p5_changes": f"WITH {_CHANGES} SELECT * FROM z",
     "p6_found": r"""
 WITH w AS (SELECT field_name, '(' || string_agg(regexp_escape(canonical_name), '|' ORDER BY length(canonical_name) DESC, canonical_name) || ')(\*[0-9]{2,3}(:[0-9]{2,3})*)?' AS pattern

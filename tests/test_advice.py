@@ -34,7 +34,7 @@ def test_repeated_names_keep_their_row(spark):
     rows = spark.createDataFrame([(i, f, i, b) for i, (f, b) in enumerate(bodies)], "row_id bigint, file_id bigint, line_no int, row_json string")
     got = {(r.column_name, r.change_kind) for r in drift.changes(files, rows).collect()}
     assert got == {("a", "retyped"), ("b", "added"), ("n", "removed")}
-    assert {(r.record_key, r.others["a"]) for r in drift.unified(files, rows).collect()} == {("a", "1"), ("a", '"x"')}
+    assert {(r.record_key, r.others) for r in drift.unified(files, rows).collect()} == {("a", '{"a":1,"n":{"k":2}}'), ("a", '{"a":"x","b":2}')}
 
 
 @pytest.mark.parametrize("text", ["[A][B]", '"A""B"', "A\xa0B", "A\\nB", "<A>B", "A\u2003B", "A\x1fB", "(A)(B)", "‘A’“B”"])
