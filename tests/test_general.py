@@ -51,6 +51,40 @@ def test_segments(text, values):
     assert [v for v, _ in packed.Segmenter(NAMES).segment(text)] == values
 
 
+def slow_expected(segmenter, text):
+    """Expected counts by listing every path of the lattice."""
+    import math
+    from collections import defaultdict
+
+    paths, total, counts = [(0, 0.0, [])], 0.0, defaultdict(float)
+    while paths:
+        at, cost, names = paths.pop()
+        if at == len(text):
+            p = math.exp(-cost)
+            total += p
+            for n in names:
+                counts[n] += p
+            continue
+        for end, c, name, begin, _ in segmenter.edges_at(text, at):
+            paths.append((end, cost + c, [*names, name] if name is not None or begin < 0 else names))
+    return {n: c / total for n, c in counts.items()}
+
+
+@pytest.mark.parametrize("text", ["A/B", "A/B chimera, A", "A, xx; B", '"A" / B', "A B/A"])
+def test_expected_counts_equal_all_paths(text):
+    segmenter = packed.Segmenter(["A", "B", "A/B", "A/B chimera", "A B"], {"A": 5.0, "A/B": 1.0, None: 2.0})
+    got, want = segmenter.expected(text), slow_expected(segmenter, text)
+    assert got.keys() == want.keys() and all(abs(got[n] - want[n]) < 1e-9 for n in want)
+
+
+@pytest.mark.parametrize(("others", "values"), [(["A; B", "B; A"] * 60, ["A", "B"]), (["A B; C", "C; A B"] * 60, ["A B"])])
+def test_learned_frequencies_decide(spark, others, values):
+    rows = spark.createDataFrame([(0, "A B, C"), *[(k + 1, t) for k, t in enumerate(others)]], "record_id bigint, f string")
+    names = spark.createDataFrame([("f", n) for n in ("A", "B", "C", "A B")], "field_name string, canonical_name string")
+    got = sorted((r.value_pos, r.value_text) for r in packed.split_values(rows, names, ["f"]).where("record_id = 0").collect())
+    assert [v for _, v in got] == [*values, "C"]
+
+
 def test_split_values(spark):
     rows = spark.createDataFrame([(1, "A;B", 9), (1, "A;B", 9), (2, None, 9), (3, "A", 9), (4, "", 9), (5, "A," * 3000, 9)], "record_id bigint, f string, field_name int")
     names = spark.createDataFrame([("f", "A"), ("f", "B"), ("g", "C")], "field_name string, canonical_name string")
@@ -86,11 +120,15 @@ def test_changes(spark):
 
 def test_unified(spark):
     files, rows = feeds(spark)
-    more = spark.createDataFrame([(90, 4, 1, '{"record.key":"k","meta.subset.freq":{"num":1,"den":4},"Remarks":"r","z":1}')], rows.schema)
-    table = drift.unified(files, rows.union(more))
-    assert table.count() == 8
-    r = table.where("row_id = 90").first()
-    assert (r.meta_subset_frequency, r.frequency_branch, r.comment, r.others) == (0.25, "object", "r", {"z": "1"})
+    bodies = ['{"record.key":"k","meta.subset.frequency":"1/4","comment":"r"}', '{"record.key":"k","share":"1/4","Remarks":"r"}', '{"record.key":"k","share":{"num":1,"den":4},"Remarks":["r",7],"z":1}']
+    more = spark.createDataFrame([(90 + k, 90 + k, 1, b) for k, b in enumerate(bodies)], rows.schema)
+    sent = spark.createDataFrame([(90 + k, "h", f"2024-01-0{k + 1}") for k in range(3)], "file_id bigint, feed_name string, sent_at string")
+    own = files.select("file_id", "feed_name", F.col("sent_at").cast("string").alias("sent_at")).union(sent)
+    table = drift.unified(own, rows.union(more))
+    assert table.count() == 10
+    got = {r.row_id: (r.meta_subset_frequency, r.frequency_branch, r.comment, r.others) for r in table.where("row_id >= 90").collect()}
+    assert got == {90: (0.25, "string", "r", "{}"), 91: (0.25, "string", "r", "{}"), 92: (0.25, "object", "r (7)", '{"z":1}')}
+    assert table.where("others is null").count() == 2
 
 
 @pytest.mark.parametrize(("value", "kind", "want"), [('"1//4"', "string", 0.25), ('"25%"', "string", 0.25), ("0.25", "number", 0.25), ("[1,4]", "array", 0.25), ('"x"', "string", None), ("[1,0]", "array", None)])
