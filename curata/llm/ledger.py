@@ -7,14 +7,19 @@ buckets it touches by a full outer join that adds counts and keeps the earlier r
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curata.session import hot_split_join
+from curata.session import checkpointed, hot_split_join, shared_path
 
-BUCKETS = 64
+#: Buckets of a new ledger, and rows a bucket holds on average before their number doubles.
+BUCKETS = 8
+BUCKET_ROWS = 4_000_000
 
 _QUOTED = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 
@@ -54,14 +59,36 @@ def _field(name: Column, value: Column) -> Column:
     return F.concat(letters_and_digits(name), F.lit("="), letters_and_digits(value))
 
 
+def composed(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows with their text ``columns`` in composed form (NFC), so that a letter and its accent are one."""
+
+    def compose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for c in columns:
+                k = batch.schema.get_field_index(c)
+                batch = batch.set_column(k, c, pc.utf8_normalize(batch.column(k), form="NFC"))
+            yield batch
+
+    return rows.mapInArrow(compose, rows.schema)
+
+
 def keyed(rows: DataFrame, plain: Sequence[str], named: Sequence[str], id_column: str, batch_column: str | None = None) -> DataFrame:
-    """id, k1, k2, batch: the canonical key of each row over plain columns and columns of named fields."""
-    parts = [letters_and_digits(F.col(c)) for c in plain] + [canonical_fields(F.col(c)) for c in named]
+    """id, k1, k2, batch: the canonical key of each row over plain columns and columns of named fields.
+
+    Texts are compared in composed form; only rows with other than ASCII characters need that step.
+    """
+    texts = [*plain, *named]
     batch = F.col(batch_column) if batch_column else F.lit(None).cast("string")
-    key = F.concat_ws("\u0001", *parts)
-    return rows.select(F.col(id_column).alias("id"), batch.alias("batch"), key.alias("key")).select(
-        "id", F.xxhash64("key").alias("k1"), F.xxhash64(F.lit("second"), F.reverse("key")).alias("k2"), "batch"
-    )
+    given = rows.select(F.col(id_column).alias("__id"), batch.alias("__batch"), *[F.col(c).cast("string").alias(c) for c in texts])
+    foreign = F.concat_ws("", *texts).rlike("[^\\x00-\\x7f]")
+    key = F.concat_ws("\u0001", *[letters_and_digits(F.col(c)) for c in plain], *[canonical_fields(F.col(c)) for c in named])
+
+    def hashed(part: DataFrame) -> DataFrame:
+        return part.select(F.col("__id").alias("id"), F.col("__batch").alias("batch"), key.alias("key")).select(
+            "id", F.xxhash64("key").alias("k1"), F.xxhash64(F.lit("second"), F.reverse("key")).alias("k2"), "batch"
+        )
+
+    return hashed(given.where(~foreign)).unionByName(hashed(composed(given.where(foreign), texts)))
 
 
 def counted(keys: DataFrame) -> DataFrame:
@@ -81,72 +108,94 @@ def merged(ledger: DataFrame, batch: DataFrame) -> DataFrame:
     )
 
 
+LEDGER = "k1 bigint, k2 bigint, n_copies bigint, first_id bigint"
+
+
 class Ledger:
-    """A ledger kept as Parquet at ``path``, one folder per bucket, rewritten bucket by bucket.
+    """A ledger kept as Parquet at ``path`` in buckets of the key, rewritten bucket by bucket.
 
-    A version file names each bucket's current folder, so readers never see half an update, and an
-    update that fails leaves the last version in force.
+    Each update writes the buckets it touches to a new folder and then one small version file that
+    names every bucket's current folder, so readers never see half an update, and an update that
+    fails leaves the last version in force. Folders that no bucket uses any more are deleted one
+    update later. Buckets are a power of two and double as soon as one holds more than
+    ``bucket_rows`` rows on average, so a bucket stays one task's work however long the ledger.
     """
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS) -> None:
-        self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets
-
-    def _current(self) -> dict[int, str]:
-        fs_path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/versions")
-        fs = fs_path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(fs_path):
-            return {}
-        rows = self.spark.read.parquet(f"{self.path}/versions").groupBy("bucket").agg(F.max_by("folder", "version"))
-        return {r[0]: r[1] for r in rows.collect()}  # one row per bucket
+    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS, bucket_rows: int = BUCKET_ROWS) -> None:
+        self.spark, self.path, self.bucket_rows = spark, path.rstrip("/"), bucket_rows
+        self.state: dict = self._stored() or {"version": 0, "buckets": buckets, "rows": 0, "folders": {}, "unused": []}
+
+    def _fs(self, name: str):  # noqa: ANN202
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return place.getFileSystem(self.spark._jsc.hadoopConfiguration()), place
+
+    def _stored(self) -> dict | None:
+        fs, place = self._fs("versions")
+        if not fs.exists(place):
+            return None
+        names = [s.getPath().getName() for s in fs.listStatus(place) if s.getPath().getName().endswith(".json")]
+        if not names:
+            return None
+        text = self.spark.read.text(f"{self.path}/versions/{max(names)}", wholetext=True).first()[0]
+        return json.loads(text)
+
+    def _commit(self, state: dict) -> None:
+        """Write the version file under another name and rename it, which is one step; then drop old folders."""
+        fs, place = self._fs(f"versions/v{state['version']:012d}.json.new")
+        out = fs.create(place, True)
+        out.write(bytearray(json.dumps(state).encode()))
+        out.close()
+        fs.rename(place, self._fs(f"versions/v{state['version']:012d}.json")[1])
+        for folder in self.state["unused"]:
+            fs.delete(self._fs(folder)[1], True)
+        fs.delete(self._fs(f"versions/v{state['version'] - 2:012d}.json")[1], True)
+        self.state = state
+
+    def bucket(self, buckets: int) -> Column:
+        return F.pmod("k1", F.lit(buckets)).cast("int")
 
     def read(self, buckets: Sequence[int] | None = None) -> DataFrame:
         """Rows of the ledger, of all buckets or of some."""
-        current = self._current()
-        folders = sorted({f for b, f in current.items() if buckets is None or b in set(buckets)})
-        if not folders:
-            return self.spark.createDataFrame([], "k1 bigint, k2 bigint, n_copies bigint, first_id bigint")
-        rows = self.spark.read.parquet(*folders)
-        if buckets is not None:
-            rows = rows.where(self._bucket().isin(list(buckets)))
-        return rows.select("k1", "k2", "n_copies", "first_id")
-
-    def _bucket(self) -> Column:
-        return F.pmod("k1", F.lit(self.buckets)).cast("int")
+        wanted = [b for b in self.state["folders"] if buckets is None or int(b) in set(buckets)]
+        folders = sorted({f"{self.path}/{self.state['folders'][b]}/bucket={b}" for b in wanted})
+        return self.spark.read.schema(LEDGER).parquet(*folders) if folders else self.spark.createDataFrame([], LEDGER)
 
     def add(self, keys: DataFrame) -> None:
         """Count a batch of keyed rows and merge it into the buckets that it touches."""
-        batch = counted(keys).withColumn("bucket", self._bucket())
-        current = self._current()
-        version = 1 + max((int(f.rsplit("v", 1)[1].split("/")[0]) for f in current.values()), default=0)
-        batch.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/batch-v{version}")
-        stored = self.spark.read.parquet(f"{self.path}/batch-v{version}")
-        touched = [r[0] for r in stored.select("bucket").distinct().collect()]
-        new = merged(self.read(touched), stored).withColumn("bucket", self._bucket())
-        new.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/v{version}")
-        marks = [(b, version, f"{self.path}/v{version}/bucket={b}") for b in touched]
-        self.spark.createDataFrame(marks or [], "bucket int, version int, folder string").coalesce(1).write.mode("append").parquet(f"{self.path}/versions")
-
-
-def batches_of(keys: DataFrame, most: int = 100) -> list[str | None] | None:
-    """Batches of the keyed rows; none if there are more than ``most``."""
-    found = [r[0] for r in keys.select("batch").distinct().limit(most + 1).collect()]
-    return sorted(found, key=lambda b: (b is None, str(b))) if len(found) <= most else None
-
-
-def ledger_of(keys: DataFrame, most: int = 100, groups: int = 8) -> DataFrame:
-    """Ledger of all keyed rows, built batch by batch.
-
-    More than ``most`` batches are added in groups by a hash of the batch: counts and minima are the
-    same in any grouping.
+        state, version = self.state, self.state["version"] + 1
+        counts = checkpointed(counted(keys).withColumn("bucket", self.bucket(state["buckets"])))
+        touched = [r[0] for r in counts.select("bucket").distinct().collect()]  # at most one row per bucket
+        self._write(merged(self.read(touched), counts), version, state["buckets"], set(touched))
+        if self.state["rows"] > self.bucket_rows * self.state["buckets"]:
+            self._write(self.read(), self.state["version"] + 1, self.state["buckets"] * 2, None)
+
+    def _write(self, rows: DataFrame, version: int, buckets: int, touched: set[int] | None) -> None:
+        """Write new folders of the touched buckets (None: of all) and make them current."""
+        folder = f"v{version}"
+        rows.withColumn("bucket", self.bucket(buckets)).repartition(F.col("bucket")).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{folder}")
+        written = self.spark.read.schema(f"{LEDGER}, bucket int").parquet(f"{self.path}/{folder}").groupBy("bucket").agg(F.count("*")).collect()  # from Parquet footers
+        kept = {} if touched is None else {b: f for b, f in self.state["folders"].items() if int(b) not in touched}
+        sizes = dict(self.state.get("sizes", {})) if touched is not None else {}
+        sizes |= {str(b): n for b, n in written}
+        folders = kept | {str(b): folder for b, _ in written}
+        before = {f"{f}/bucket={b}" for b, f in self.state["folders"].items()} - {f"{f}/bucket={b}" for b, f in folders.items()}
+        self._commit({"version": version, "buckets": buckets, "rows": sum(sizes.values()), "sizes": sizes, "folders": folders, "unused": sorted(before)})
+
+
+def ledger_of(keys: DataFrame, most: int = 4, buckets: int = BUCKETS) -> DataFrame:
+    """Ledger of all keyed rows, kept in the shared folder and built batch by batch.
+
+    Each batch is read once. More than ``most`` batches are added in groups by a hash of the batch:
+    counts and minima are the same in any grouping, and so any number of batches costs ``most``
+    updates here, where all are at hand at once.
     """
-    batches: list | None = batches_of(keys, most)
-    if batches is None:
-        keys, batches = keys.withColumn("batch", F.pmod(F.xxhash64("batch"), F.lit(groups))), list(range(groups))
-    ledger: DataFrame | None = None
-    for b in batches:
-        part = counted(keys.where(F.col("batch").eqNullSafe(F.lit(b))))
-        ledger = part if ledger is None else merged(ledger, part)
-    return ledger if ledger is not None else counted(keys)
+    ledger = Ledger(keys.sparkSession, shared_path(keys.sparkSession, "ledger"), buckets)
+    found = [r[0] for r in keys.select("batch").distinct().limit(most + 1).collect()]
+    if len(found) > most:
+        keys, found = keys.withColumn("batch", F.pmod(F.xxhash64("batch"), F.lit(most))), list(range(most))
+    for b in sorted(found, key=lambda b: (b is None, str(b))):
+        ledger.add(keys.where(F.col("batch").eqNullSafe(F.lit(b))))
+    return ledger.read()
 
 
 def copies(keys: DataFrame, ledger: DataFrame) -> DataFrame:

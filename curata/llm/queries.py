@@ -32,11 +32,12 @@ def p4_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return p4_values(spark, sf_dir).where("is_best").select("complex_key", "field_name", "version_id")
+    return survivor.representatives(load(spark, sf_dir, "record_versions"), CONTESTED, survivor.trusted_order())
 
 
 def p4_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return survivor.survivors(p4_values(spark, sf_dir), CONTESTED)
+    records = survivor.survivors(p4_values(spark, sf_dir), CONTESTED)
+    return records.select("complex_key", *CONTESTED, *[F.to_json(f"{f}_true").alias(f"{f}_true") for f in CONTESTED])
 
 
 def _keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,7 +108,31 @@ k AS (SELECT r.line_id, concat_ws('|', regexp_replace(lower(coalesce(cdr3_alpha,
 g AS (SELECT line_id, min(line_id) OVER (PARTITION BY key) AS first_id, count(*) OVER (PARTITION BY key) AS n_copies FROM k)
 """
 
+
+
+def _model(rounds: int = 10) -> str:
+    """The two-sided model, round by round: CTE judged holds the truth of every stated value."""
+    steps = [
+        "cl AS MATERIALIZED (SELECT DISTINCT complex_key AS k, field_name AS f, trim(v) AS val, entered_by AS src FROM s2)",
+        "pv AS MATERIALIZED (SELECT complex_key AS k, field_name AS f, trim(v) AS val, count(*) AS n_versions, any_value(n) AS n, arg_min(version_id, r) AS version_id, min(r) = 1 AS is_best FROM s2 GROUP BY 1, 2, 3)",
+        "e AS MATERIALIZED (SELECT pv.k, pv.f, pv.val, sp.src, cl.src IS NOT NULL AS said FROM pv JOIN (SELECT DISTINCT k, f, src FROM cl) sp ON sp.k = pv.k AND sp.f = pv.f LEFT JOIN cl ON cl.k = pv.k AND cl.f = pv.f AND cl.val = pv.val AND cl.src = sp.src)",
+        "q0 AS MATERIALIZED (SELECT DISTINCT src, 0.7::DOUBLE AS sens, 0.9::DOUBLE AS spec FROM cl)",
+    ]
+    for i in range(rounds + 1):
+        steps.append(f"t{i} AS MATERIALIZED (SELECT k, f, val, 1 / (1 + exp(-sum(CASE WHEN said THEN ln(sens / (1 - spec)) ELSE ln((1 - sens) / spec) END))) AS p FROM e JOIN q{i} USING (src) GROUP BY 1, 2, 3)")
+        if i < rounds:
+            steps.append(f"q{i + 1} AS MATERIALIZED (SELECT src, least(greatest((sum(p) FILTER (said) + 3.5) / (sum(p) + 5), 0.001), 0.999) AS sens, least(greatest((coalesce(sum(1 - p) FILTER (NOT said), 0) + 4.5) / (sum(1 - p) + 5), 0.001), 0.999) AS spec FROM e JOIN t{i} USING (k, f, val) GROUP BY 1)")
+    steps.append(f"judged AS (SELECT k AS complex_key, f AS field_name, val AS value_text, n_versions, round(p, 6) AS truth, p >= 0.5 AS is_true, version_id, is_best FROM pv JOIN t{rounds} USING (k, f, val) WHERE n > 1)")
+    return ", ".join(steps)
+
+
+# All stated values, those of keys with one version too, since the model learns from them.
+_ALL_STATED = _STATED.replace("s AS (SELECT", "s2 AS (SELECT").replace("WHERE n > 1 AND regexp_matches", "WHERE regexp_matches").replace("version_id, complex_key, trust_rank", "entered_by, version_id, complex_key, trust_rank")
+_TRUE = ", ".join(f"min(value_text) FILTER (field_name = '{f}' AND is_best) AS {f}, to_json(coalesce(list(value_text ORDER BY truth DESC, value_text) FILTER (field_name = '{f}' AND is_true), []))::VARCHAR AS {f}_true" for f in CONTESTED)
+
 SQL: dict[str, str] = {
+    "p4_values": f"WITH {_ALL_STATED}, {_model()} SELECT * FROM judged",
+    "p4_survivors": f"WITH {_ALL_STATED}, {_model()} SELECT complex_key, {_TRUE} FROM judged GROUP BY 1",
     "p4_found": f"WITH {_STATED} SELECT complex_key, field_name, version_id FROM s WHERE r = 1",
     "p7_found": f"WITH {_REGISTRY} SELECT first_id, line_id AS copy_id FROM g WHERE line_id <> first_id",
     "p7_collapsed": f"WITH {_REGISTRY} SELECT line_id, cdr3_alpha, v_beta, species, antigen_epitope, attribute_text, n_copies FROM g JOIN registry_lines USING (line_id) WHERE line_id = first_id",

@@ -1,9 +1,13 @@
 """Cases that a review found left out."""
 
+from pathlib import Path
+
 import pytest
+from compare import difference, views
 from pyspark.sql import functions as F
 
-from curata.llm import canonical, ledger, mixture
+from curata.llm import canonical, ledger, mixture, queries, survivor
+GENES = [(1, "TRAV1"), (2, "TRAV10-1"), (3, "TRAV10-2"), (4, "TRAV5-2"), (5, "TRAV35/DV2")]
 
 
 def test_no_text_of_a_field_is_lost(spark):
@@ -56,3 +60,58 @@ def test_long_texts_have_the_tokens_of_the_whole(text):
     encoding = mixture._encoding(mixture.TOKENIZER)
     assert "".join(mixture.pieces(text)) == text
     assert sum(len(encoding.encode_ordinary(p)) for p in mixture.pieces(text)) == len(encoding.encode_ordinary(text))
+
+
+def test_composed_and_decomposed_letters_are_one(spark):
+    rows = spark.createDataFrame([(1, "café", "x=café"), (2, "café", '{"x":"caf\\u00e9"}'), (3, "cafe", "x=cafe"), (4, "CAFÉ", "X: Café")], "line_id bigint, a string, t string")
+    keys = ledger.keyed(rows, ["a"], ["t"], "line_id")
+    assert {tuple(r) for r in ledger.copies(keys, ledger.ledger_of(keys)).collect()} == {(1, 2), (1, 4)}
+
+
+def test_buckets_double_and_old_folders_go(spark, tmp_path):
+    rows = spark.range(3000).selectExpr("id AS line_id", "concat('k', id % 900) AS a")
+    keys = ledger.keyed(rows, ["a"], [], "line_id")
+    store = ledger.Ledger(spark, str(tmp_path / "ledger"), buckets=2, bucket_rows=150)
+    for k in range(4):
+        store.add(keys.where(f"id % 4 = {k}"))
+    again = ledger.Ledger(spark, str(tmp_path / "ledger"))
+    assert again.state["buckets"] == 8 and again.state["rows"] == 900
+    want = {(r.k1, r.k2): (r.n_copies, r.first_id) for r in ledger.counted(keys).collect()}
+    assert {(r.k1, r.k2): (r.n_copies, r.first_id) for r in again.read().collect()} == want
+    assert again.read([0, 5]).count() == sum(n for b, n in again.state["sizes"].items() if b in ("0", "5"))
+    used = {f.split("/")[0] for f in again.state["folders"].values()} | {f.split("/")[0] for f in again.state["unused"]}
+    kept = {p.parent.name for p in (tmp_path / "ledger").glob("v*/bucket=*")}
+    assert kept <= used and len(list((tmp_path / "ledger" / "versions").glob("*.json"))) == 2
+
+
+def test_a_thousand_batches(spark):
+    rows = spark.range(5000).selectExpr("id AS line_id", "concat('r', id % 1000) AS registry", "concat('k', id % 700) AS a")
+    keys = ledger.keyed(rows, ["a"], [], "line_id", "registry")
+    want = {(r.k1, r.k2): (r.n_copies, r.first_id) for r in ledger.counted(keys).collect()}
+    assert {(r.k1, r.k2): (r.n_copies, r.first_id) for r in ledger.ledger_of(keys).collect()} == want
+
+
+def test_rare_sources_share_a_quality(spark, monkeypatch):
+    monkeypatch.setattr(survivor, "SOURCES", 2)
+    schema = "complex_key string, version_id bigint, entered_by string, trust_rank int, updated_at string, reference_id string"
+    rows = [(f"k{k}", 10 * k + j, s, 1, "2024-01-01 00:00:00", f"t{k}" if s != f"rare{k % 5}" else "wrong") for k in range(40) for j, s in enumerate(("a", "b", f"rare{k % 5}"))]
+    judged = survivor.fused(spark.createDataFrame(rows, schema), ["reference_id"], survivor.trusted_order()).collect()
+    assert all(r.is_true == r.value_text.startswith("t") for r in judged) and len(judged) == 80
+
+
+def test_survivors_keep_all_true_values(spark):
+    schema = "complex_key string, version_id bigint, entered_by string, trust_rank int, updated_at string, reference_id string"
+    rows = [("k", 1, "a", 2, "2024-01-01 00:00:00", "x"), ("k", 2, "b", 2, "2024-01-01 00:00:00", "x"), ("k", 3, "c", 1, "2024-01-01 00:00:00", "z"), ("j", 4, None, 1, "2024-01-01 00:00:00", "x"), ("j", 5, "a", 1, "2024-01-01 00:00:00", "n/a")]
+    judged = survivor.fused(spark.createDataFrame(rows, schema), ["reference_id"], survivor.trusted_order())
+    got = {r.complex_key: (r.reference_id, r.reference_id_true) for r in survivor.survivors(judged, ["reference_id"]).collect()}
+    assert got["k"][0] == "z" and got["k"][1][0] == "x" and got["j"][0] == "x"
+
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not Path(SF).exists(), reason="no test tables")
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_query_equals_sql(spark, name):
+    rows, unlike = difference(spark, views(SF), queries.QUERIES[name], queries.SQL[name], SF)
+    assert unlike == "" and rows > 0
