@@ -47,9 +47,6 @@ def test_any_delimiter_reaches_the_lattice(spark, text):
     assert len(want) == 2 or text == "‘A’“B”"
 
 
-GENES = [(1, "TRAV1"), (2, "TRAV10-1"), (3, "TRAV10-2"), (4, "TRAV5-2"), (5, "TRAV35/DV2")]
-
-
 @pytest.mark.skipif(not Path(SF).exists(), reason="no test tables")
 def test_every_reference_with_a_place_is_counted(spark):
     whole = report.totals_by_reference(records._slim(spark, SF), "SARS-CoV-2").agg(F.sum("n")).first()[0]
