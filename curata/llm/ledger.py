@@ -75,20 +75,18 @@ def composed(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
 def keyed(rows: DataFrame, plain: Sequence[str], named: Sequence[str], id_column: str, batch_column: str | None = None) -> DataFrame:
     """id, k1, k2, batch: the canonical key of each row over plain columns and columns of named fields.
 
-    Texts are compared in composed form; only rows with other than ASCII characters need that step.
+    Keys are compared in composed form; only rows with other than ASCII characters need that step.
     """
     texts = [*plain, *named]
     batch = F.col(batch_column) if batch_column else F.lit(None).cast("string")
-    given = rows.select(F.col(id_column).alias("__id"), batch.alias("__batch"), *[F.col(c).cast("string").alias(c) for c in texts])
-    foreign = F.concat_ws("", *texts).rlike("[^\\x00-\\x7f]")
     key = F.concat_ws("\u0001", *[letters_and_digits(F.col(c)) for c in plain], *[canonical_fields(F.col(c)) for c in named])
+    foreign = F.concat_ws("", *texts).rlike(r"[^\x00-\x7f]|\\u")  # or written as a JSON escape
 
-    def hashed(part: DataFrame) -> DataFrame:
-        return part.select(F.col("__id").alias("id"), F.col("__batch").alias("batch"), key.alias("key")).select(
-            "id", F.xxhash64("key").alias("k1"), F.xxhash64(F.lit("second"), F.reverse("key")).alias("k2"), "batch"
-        )
+    def keys(chosen: Column) -> DataFrame:
+        return rows.where(chosen).select(F.col(id_column).alias("id"), batch.alias("batch"), key.alias("key"))
 
-    return hashed(given.where(~foreign)).unionByName(hashed(composed(given.where(foreign), texts)))
+    whole = keys(~foreign).unionByName(composed(keys(foreign), ["key"]))
+    return whole.select("id", F.xxhash64("key").alias("k1"), F.xxhash64(F.lit("second"), F.reverse("key")).alias("k2"), "batch")
 
 
 def counted(keys: DataFrame) -> DataFrame:
