@@ -3,28 +3,32 @@
 Low-discrepancy source schedule: van der Corput points mapped through the cumulative shares give a
 sequence of slots in which every source appears evenly; each slot takes one block of equally many
 tokens from its source. A source's texts, in a random but fixed order, form one stream of tokens,
-run through again up to its cap of repeats; the blocks are consecutive stretches of that stream.
+run through again up to its cap of repeats; the blocks are consecutive stretches of that stream,
+and a text that runs over the end of a block is divided between the two slots.
+
+The first 2**k points are the multiples of 2**-k in bit-reversed order. So the slots of a source,
+an interval of those multiples, are known by arithmetic: its n-th block goes to the slot whose
+number is the reversed bits of the interval's start plus n. No schedule is drawn up or joined.
 """
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from curata.session import checkpointed
-
-#: Least slots of a schedule; shares are met to within one slot in so many.
-SLOTS = 4096
+from curata.session import checkpointed, fits
 
-#: Parts into which each source's stream is cut to sum its tokens; each part is summed by one task.
-PARTS = 256
+#: Bits of the least and the most slots of a schedule, and the tokens of a block in a large mix.
+LEAST_BITS, MOST_BITS = 12, 40
+BLOCK_TOKENS = 1 << 20
 
-TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+#: Texts in a part of a source's stream; each part is summed by one task.
+PART_TEXTS = 250_000
 
 # Fixed value: the split pattern that belongs to the byte-level vocabulary.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -35,9 +39,6 @@ PIECE = 50_000
 # Before a white space between two other characters.
 CUT = re.compile(r"\S(?=\s\S)")
 
-#: Most slots of a schedule.
-MOST_SLOTS = 1 << 16
-
 
 def _encoding(path: str):  # noqa: ANN202
     import base64
@@ -47,6 +48,8 @@ def _encoding(path: str):  # noqa: ANN202
 
     kept = sys.modules["tiktoken"].__dict__.setdefault("_curata_encodings", {})
     if path not in kept:
+        if not os.path.isfile(path):
+            raise FileNotFoundError(f"no vocabulary at {path}: name the file of a byte-level vocabulary that every executor can read")
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         kept[path] = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -69,7 +72,7 @@ def pieces(text: str, size: int = PIECE) -> Iterator[str]:
     yield text[at:]
 
 
-def token_counts(documents: DataFrame, tokenizer: str = TOKENIZER, keep: tuple[str, ...] = ("doc_id", "source")) -> DataFrame:
+def token_counts(documents: DataFrame, tokenizer: str, keep: tuple[str, ...] = ("doc_id", "source")) -> DataFrame:
     """``keep`` columns, a 128-bit hash of each text, and its tokens of a public tokenizer.
 
     Null texts are left out; empty ones have no tokens.
@@ -94,15 +97,18 @@ def distinct_texts(counted: DataFrame) -> DataFrame:
     return counted.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "source", "n_tokens")).alias("d")).select("d.doc_id", "d.source", "d.n_tokens")
 
 
-def streamed(texts: DataFrame, seed: int = 7, parts: int = PARTS) -> DataFrame:
+def streamed(texts: DataFrame, seed: int = 7, part_texts: int = PART_TEXTS) -> DataFrame:
     """Texts with their place in their source's stream of tokens (``at``) and the stream's length.
 
     The order is that of a hash of doc_id. Running sums are taken within parts of each source, and
     the parts' offsets from one row per part, so a source of a third of all texts is no single task.
+    There are as many parts as the largest source needs at about ``part_texts`` each.
     """
-    spread = texts.withColumn("rank", F.xxhash64(F.lit(seed), "doc_id"))
-    placed = spread.withColumn("part", F.pmod(F.shiftright("rank", 40), F.lit(parts)))
+    largest = texts.groupBy("source").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    bits = min(max((largest // part_texts).bit_length(), 3), 24)
+    placed = texts.withColumn("rank", F.xxhash64(F.lit(seed), "doc_id")).withColumn("part", F.shiftrightunsigned("rank", 64 - bits))
     offsets = placed.groupBy("source", "part").agg(F.sum("n_tokens").alias("tokens"))
+    # Parts follow the order of the rank as an unsigned number.
     before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("source")
     offsets = offsets.select("source", "part", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("offset"), F.sum("tokens").over(whole).alias("length"))
@@ -111,42 +117,37 @@ def streamed(texts: DataFrame, seed: int = 7, parts: int = PARTS) -> DataFrame:
     return running.join(offsets, ["source", "part"]).select("doc_id", "source", "n_tokens", (F.col("offset") + F.col("inner")).alias("at"), "length")
 
 
-def van_der_corput(n: int) -> np.ndarray:
-    """The first n points of the van der Corput sequence in base 2."""
-    points, scale, k = np.zeros(n), 0.5, np.arange(n)
-    while k.any():
-        points += scale * (k & 1)
-        scale /= 2
-        k >>= 1
-    return points
+def intervals(shares: list[float], bits: int) -> list[tuple[int, int]]:
+    """Start and number of the points of each source among 2**bits: its share to within one point, one at least."""
+    points, total = 1 << bits, sum(shares)
+    if points < len(shares):
+        raise ValueError("fewer slots than sources")
+    exact = [s / total * points for s in shares]
+    counts = [max(int(e), 1) for e in exact]
+    byneed = sorted(range(len(shares)), key=lambda k: (counts[k] - exact[k], k))
+    for k in range(points - sum(counts)):
+        counts[byneed[k % len(byneed)]] += 1
+    while sum(counts) > points:
+        counts[max(range(len(shares)), key=lambda k: counts[k])] -= 1
+    starts = [sum(counts[:k]) for k in range(len(counts))]
+    return list(zip(starts, counts))
 
 
-def enough_slots(shares: list[float], slots: int = SLOTS) -> int:
-    """``slots``, doubled up to ``MOST_SLOTS`` until the smallest share amounts to one."""
-    while slots < MOST_SLOTS and slots * min(shares) < sum(shares):
-        slots *= 2
-    return slots
+def bits_for(shares: list[float], tokens: float) -> int:
+    """Bits of the number of slots: the smallest share gets several, and a block is about BLOCK_TOKENS in a large mix."""
+    bits = LEAST_BITS
+    while bits < MOST_BITS and ((1 << bits) * min(shares) < 8 * sum(shares) or (tokens / BLOCK_TOKENS) > (1 << bits)):
+        bits += 1
+    return bits
 
 
-def schedule(shares: list[float], slots: int = SLOTS) -> np.ndarray:
-    """Source of each slot: the points of the sequence mapped through the cumulative shares.
-
-    A share too small for any point gets one slot of the largest.
-    """
-    bounds = np.cumsum(np.array(shares) / sum(shares))
-    drawn = np.minimum(np.searchsorted(bounds, van_der_corput(slots), side="right"), len(shares) - 1)
-    counts = np.bincount(drawn, minlength=len(shares))
-    for k in np.flatnonzero(counts == 0):
-        largest = int(counts.argmax())
-        if counts[largest] < 2:
-            break  # more sources than slots
-        drawn[np.flatnonzero(drawn == largest)[-1]] = k
-        counts[[largest, k]] += [-1, 1]
-    return drawn
+def slot_number(point: Column, bits: Column) -> Column:
+    """The slot of a point: its number with the bits reversed."""
+    return F.conv(F.reverse(F.lpad(F.bin(point), bits, F.lit("0"))), 2, 10).cast("bigint")
 
 
-def mixtures(lengths: dict[str, int], targets: list[tuple[str, str, float, int]], slots: int = SLOTS) -> list[tuple]:
-    """For each mix and source: share among the sources that have tokens, slots, tokens per slot.
+def mixtures(lengths: dict[str, int], targets: list[tuple[str, str, float, int]]) -> list[tuple]:
+    """For each mix and source: share among the sources that have tokens, slots, their first point, tokens per slot, bits.
 
     A mix is as large as its scarcest source allows within its cap of repeats. Sources without
     tokens (or with no share or repeats) get no slots; the others keep their shares relative to
@@ -156,74 +157,74 @@ def mixtures(lengths: dict[str, int], targets: list[tuple[str, str, float, int]]
     for mix in sorted({t[0] for t in targets}):
         own = sorted(t[1:] for t in targets if t[0] == mix)
         usable = [(s, share, cap) for s, share, cap in own if lengths.get(s, 0) > 0 and share > 0 and cap > 0]
-        weights = [u[1] for u in usable]
-        counts = np.bincount(schedule(weights, max(enough_slots(weights, slots), len(usable))), minlength=len(usable)) if usable else []
-        block = min((lengths[s] * cap / n for (s, _, cap), n in zip(usable, counts) if n), default=0.0)
         total = sum(u[1] for u in usable)
-        of = {s: (share / total, int(n)) for (s, share, _), n in zip(usable, counts)}
-        rows += [(mix, s, float(share), float(of.get(s, (0.0, 0))[0]), int(cap), of.get(s, (0.0, 0))[1], float(block)) for s, share, cap in own]
+        of, block, bits = {}, 0.0, LEAST_BITS
+        if usable:
+            weights = [u[1] for u in usable]
+            bits = bits_for(weights, min(lengths[s] * cap / share for s, share, cap in usable) * total)
+            spans = intervals(weights, max(bits, (len(usable) - 1).bit_length()))
+            block = min(lengths[s] * cap / n for (s, _, cap), (_, n) in zip(usable, spans))
+            of = {s: (share / total, n, start) for (s, share, _), (start, n) in zip(usable, spans)}
+        rows += [(mix, s, float(share), float(of.get(s, (0.0,))[0]), int(cap), of[s][1] if s in of else 0, of[s][2] if s in of else 0, float(block), bits) for s, share, cap in own]
     return rows
 
 
-PLAN = "mix_name string, source string, target_share double, share_among_present double, max_repeats int, n_slots int, block_tokens double"
+PLAN = "mix_name string, source string, target_share double, share_among_present double, max_repeats int, n_slots bigint, first_point bigint, block_tokens double, bits int"
 
 
 def _streams(documents: DataFrame, tokenizer: str, seed: int) -> DataFrame:
-    return checkpointed(streamed(distinct_texts(token_counts(documents, tokenizer)), seed))
+    return checkpointed(streamed(checkpointed(distinct_texts(token_counts(documents, tokenizer))), seed))
 
 
-def _plan(streams: DataFrame, targets: DataFrame, slots: int) -> DataFrame:
-    wanted = [(r[0], r[1], r[2], r[3]) for r in targets.select("mix_name", "source_name", "target_share", "max_repeats").dropna().limit(100_001).collect()]
-    if len(wanted) > 100_000:
-        raise ValueError("more than 100000 targets")
-    lengths = dict(streams.where(F.col("source").isin([w[1] for w in wanted])).groupBy("source").agg(F.first("length")).collect())  # one row per wanted source
-    return streams.sparkSession.createDataFrame(mixtures(lengths, wanted, slots), PLAN)
+def _plan(streams: DataFrame, targets: DataFrame) -> DataFrame:
+    """One row per mix and source; ``targets`` is a table of settings and must fit a broadcast."""
+    wanted = targets.select("mix_name", "source_name", "target_share", "max_repeats").dropna()
+    if not fits(wanted):
+        raise ValueError("the table of targets is larger than a broadcast")
+    rows = [tuple(r) for r in wanted.collect()]
+    named = F.broadcast(wanted.select(F.col("source_name").alias("source")).distinct())
+    lengths = dict(streams.join(named, "source", "left_semi").groupBy("source").agg(F.first("length")).collect())  # one row per wanted source
+    return streams.sparkSession.createDataFrame(mixtures(lengths, rows), PLAN)
 
 
 def _chosen(streams: DataFrame, plan: DataFrame) -> DataFrame:
-    """Every use of every text: it is in if it starts within the stretch its source's slots cover."""
-    uses = streams.join(F.broadcast(plan.where("n_slots > 0")), "source").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("max_repeats") - 1)))
-    place = F.col("copy") * F.col("length") + F.col("at")
-    return uses.where((F.col("n_tokens") > 0) & (place + F.col("n_tokens") / 2 < F.col("n_slots") * F.col("block_tokens"))).withColumn(
-        "nth", F.least(F.floor(place / F.col("block_tokens")), F.col("n_slots") - 1).cast("int")
-    )
-
-
-def mixed(documents: DataFrame, targets: DataFrame, tokenizer: str = TOKENIZER, slots: int = SLOTS, seed: int = 7) -> DataFrame:
-    """The selection of each mix, in the order of its schedule.
-
-    Result: mix_name, slot, doc_id, source, copy (from 1), n_tokens. Equal texts count as one text,
+    """The part of each text in each block: ``nth`` block of its source, ``first_token`` (from 1) and ``n_tokens``."""
+    uses = streams.where("n_tokens > 0").join(F.broadcast(plan.where("n_slots > 0")), "source").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("max_repeats"))))
+    start, block = (F.col("copy") - 1) * F.col("length") + F.col("at"), F.col("block_tokens")
+    placed = uses.withColumns({"start": start, "end": F.least(start + F.col("n_tokens"), F.floor(F.col("n_slots") * block))}).where("start < end")
+    # Block n runs from token floor(n * block) on; rounding may put a text's ends one block off, which gives an empty part.
+    last = F.least(F.floor(F.col("end") / block), F.col("n_slots") - 1)
+    parts = placed.withColumn("nth", F.explode(F.sequence(F.greatest(F.floor(F.col("start") / block) - 1, F.lit(0)).cast("bigint"), last.cast("bigint"))))
+    low = F.greatest(F.col("start"), F.floor(F.col("nth") * block))
+    high = F.least(F.col("end"), F.floor((F.col("nth") + 1) * block))
+    return parts.withColumns({"first_token": (low - F.col("start") + 1).cast("bigint"), "n_tokens": (high - low).cast("bigint")}).where("n_tokens > 0")
+
+
+def mixed(documents: DataFrame, targets: DataFrame, tokenizer: str, seed: int = 7) -> DataFrame:
+    """The selection of each mix, with its place in the schedule.
+
+    Result: mix_name, slot, doc_id, source, copy (from 1), first_token (from 1), n_tokens. Sorted by
+    slot it is the mix; every slot holds the same number of tokens (to within one). A text that
+    runs over the end of a block has one row in each of the two slots. Equal texts count as one text,
     whatever their source, so none is used more often than its cap. Texts of sources that a mix
     does not name, and null or empty texts, are left out. Results depend only on the rows and
     ``seed``.
     """
     streams = _streams(documents, tokenizer, seed)
-    plan = _plan(streams, targets, slots)
-    slot_of: list[tuple] = []
-    for mix in {r["mix_name"] for r in plan.select("mix_name").collect()}:
-        rows = [r for r in plan.where(F.col("mix_name") == mix).orderBy("source").collect() if r["n_slots"]]
-        usable = [(r["source"], r["share_among_present"]) for r in rows]
-        nth = dict.fromkeys([s for s, _ in usable], 0)
-        for slot, k in enumerate(schedule([w for _, w in usable], sum(r["n_slots"] for r in rows)) if usable else []):
-            slot_of.append((mix, usable[k][0], nth[usable[k][0]], slot))
-            nth[usable[k][0]] += 1
-    table = streams.sparkSession.createDataFrame(slot_of, "mix_name string, source string, nth int, slot int")  # slots rows a mix
-    return (
-        _chosen(streams, plan)
-        .join(F.broadcast(table), ["mix_name", "source", "nth"])
-        .select("mix_name", "slot", "doc_id", "source", (F.col("copy") + 1).alias("copy"), "n_tokens")
-    )
+    slot = slot_number(F.col("first_point") + F.col("nth"), F.col("bits"))
+    return _chosen(streams, _plan(streams, targets)).select("mix_name", slot.alias("slot"), "doc_id", "source", "copy", "first_token", "n_tokens")
 
 
-def shares(documents: DataFrame, targets: DataFrame, tokenizer: str = TOKENIZER, slots: int = SLOTS, seed: int = 7) -> DataFrame:
+def shares(documents: DataFrame, targets: DataFrame, tokenizer: str, seed: int = 7) -> DataFrame:
     """What each mix reaches: one row per mix and source it names.
 
     Result: mix_name, source, target_share, share_among_present (the target among the sources that
     have documents), reached_share, n_tokens, n_texts, most_repeats.
     """
     streams = _streams(documents, tokenizer, seed)
-    plan = _plan(streams, targets, slots)
-    sums = _chosen(streams, plan).groupBy("mix_name", "source").agg(F.sum("n_tokens").alias("n_tokens"), F.count_distinct("doc_id").alias("n_texts"), (F.max("copy") + 1).alias("most_repeats"))
+    plan = _plan(streams, targets)
+    texts = _chosen(streams, plan).groupBy("mix_name", "source", "doc_id").agg(F.sum("n_tokens").alias("n_tokens"), F.max("copy").alias("copies"))
+    sums = texts.groupBy("mix_name", "source").agg(F.sum("n_tokens").alias("n_tokens"), F.count("*").alias("n_texts"), F.max("copies").alias("most_repeats"))
     total = Window.partitionBy("mix_name")
     return (
         plan.join(sums, ["mix_name", "source"], "left")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from curata.session import checkpointed, load
 
 TYPED = ["v_alpha", "j_beta", "mhc_b"]
 CONTESTED = ["reference_id", "method_identification", "meta_study_id"]
+TOKENIZER = os.environ.get("CURATA_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.tiktoken")
 PLAIN, NAMED = ["cdr3_alpha", "v_beta", "species", "antigen_epitope"], ["attribute_text"]
 
 
@@ -63,11 +65,11 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p9_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixture.mixed(load(spark, sf_dir, "documents"), load(spark, sf_dir, "mix_targets"))
+    return mixture.mixed(load(spark, sf_dir, "documents"), load(spark, sf_dir, "mix_targets"), TOKENIZER)
 
 
 def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixture.shares(load(spark, sf_dir, "documents"), load(spark, sf_dir, "mix_targets"))
+    return mixture.shares(load(spark, sf_dir, "documents"), load(spark, sf_dir, "mix_targets"), TOKENIZER)
 
 
 def p10_spans(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,8 +4,10 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from curata.llm import canonical, leakage, ledger, mixture, pii, survivor
+from curata.llm.queries import TOKENIZER
 
 # Names -------------------------------------------------------------------------------------------
 
@@ -176,21 +178,39 @@ def test_mixture(spark):
     docs += [(1000 + i, docs[i][1], "small") for i in range(20)] + [(2000, None, "big"), (2001, "", "big")]
     frame = spark.createDataFrame(docs, "doc_id bigint, text string, source string")
     targets = spark.createDataFrame([("m", "big", 0.4, 1), ("m", "small", 0.5, 3), ("m", "gone", 0.1, 2), ("e", "gone", 1.0, 1)], "mix_name string, source_name string, target_share double, max_repeats int")
-    used = mixture.mixed(frame, targets).collect()
-    assert max(Counter((r.mix_name, r.doc_id) for r in used).values()) <= 3 and max(Counter(r.doc_id for r in used if r.source == "big").values()) == 1
+    used = mixture.mixed(frame, targets, TOKENIZER).collect()
+    copies = {(r.doc_id, r.copy) for r in used}
     text_of = {i: t for i, t, _ in docs}
-    assert max(Counter(text_of[r.doc_id] for r in used).values()) <= 3
-    table = {(r.mix_name, r.source): r for r in mixture.shares(frame, targets).collect()}
-    assert abs(table["m", "big"].reached_share - 4 / 9) < 0.01 and abs(table["m", "small"].reached_share - 5 / 9) < 0.01
+    assert max(Counter(text_of[i] for i, _ in copies).values()) == 3 and {c for i, c in copies if i in {r.doc_id for r in used if r.source == "big"}} == {1}
+    size = {i: len(mixture._encoding(TOKENIZER).encode_ordinary(t)) for i, t, _ in docs if t}
+    taken = {}
+    for r in used:
+        taken.setdefault((r.doc_id, r.copy), []).extend(range(r.first_token, r.first_token + r.n_tokens))
+    assert all(len(set(v)) == len(v) and max(v) <= size[i] for (i, _), v in taken.items())
+    assert sum(len(v) == size[i] for (i, _), v in taken.items()) >= len(taken) - 2  # only the last text of a source may be cut off
+    slots = Counter()
+    for r in used:
+        slots[r.slot] += r.n_tokens
+    assert set(slots) == set(range(4096)) and max(slots.values()) - min(slots.values()) <= 1
+    table = {(r.mix_name, r.source): r for r in mixture.shares(frame, targets, TOKENIZER).collect()}
+    assert abs(table["m", "big"].reached_share - 4 / 9) < 0.0005 and abs(table["m", "small"].reached_share - 5 / 9) < 0.0005
     assert table["m", "gone"].n_tokens == 0 and table["e", "gone"].reached_share == 0
     assert sum(r.n_tokens for r in used) == sum(r.n_tokens for r in table.values())
-    assert mixture.mixed(frame.where("false"), targets).count() == 0
-
-
-def test_schedule_is_even():
-    slots = mixture.schedule([0.5, 0.3, 0.2], 1000)
-    assert list(np.bincount(slots)) == [500, 300, 200] or np.abs(np.bincount(slots) - [500, 300, 200]).max() <= 2
-    assert all(abs((slots[:n] == 0).mean() - 0.5) < 0.05 for n in range(50, 1000, 50))
+    assert mixture.mixed(frame.where("false"), targets, TOKENIZER).count() == 0
+    with pytest.raises(Exception, match="no vocabulary at /nowhere"):
+        mixture.shares(frame, targets, "/nowhere").collect()
+
+
+def test_schedule_is_even(spark):
+    """Slots by bit reversal are those of the van der Corput sequence, and every stretch has the shares."""
+    spans = mixture.intervals([0.5, 0.3, 0.2], 10)
+    assert [n for _, n in spans] == [512, 307, 205]
+    rows = spark.range(1024).select("id", mixture.slot_number(F.col("id"), F.lit(10)).alias("slot")).collect()
+    point = {r.slot: r.id for r in rows}
+    assert sorted(point) == list(range(1024)) and all(point[s] == sum(((s >> k) & 1) << (9 - k) for k in range(10)) for s in point)
+    source = np.array([next(k for k, (a, n) in enumerate(spans) if a <= point[s] < a + n) for s in range(1024)])
+    assert all(abs((source[:n] == 0).mean() - 0.5) < 0.05 for n in range(50, 1024, 50))
+    assert mixture.bits_for([0.5, 0.5], 2**40) == 20 and mixture.bits_for([1.0, 1e-9], 10) > 30
 
 
 # Personal information ----------------------------------------------------------------------------

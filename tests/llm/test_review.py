@@ -46,18 +46,19 @@ def test_all_entries_within_distance_are_listed(spark):
 
 def test_every_usable_source_gets_a_slot(spark):
     given = [0.5, 0.49998, 0.00002]
-    slots = mixture.schedule(given, mixture.enough_slots(given))
-    assert (slots == 2).any() and abs((slots == 2).mean() - 0.00002) < 0.00002
-    assert set(mixture.schedule([1.0, 1e-9, 1e-9])) == {0, 1, 2}
+    bits = mixture.bits_for(given, 10)
+    counts = [n for _, n in mixture.intervals(given, bits)]
+    assert sum(counts) == 1 << bits and abs(counts[2] / (1 << bits) - 0.00002) < 0.000003
+    assert [n for _, n in mixture.intervals([1.0, 1e-9, 1e-9], 4)] == [14, 1, 1]
     docs = spark.createDataFrame([(i, f"cell beta {i}", "big") for i in range(3000)] + [(9000 + i, f"gamma {i}", "tiny") for i in range(40)], "doc_id bigint, text string, source string")
     targets = spark.createDataFrame([("m", "big", 0.9999, 5), ("m", "tiny", 0.0001, 5)], "mix_name string, source_name string, target_share double, max_repeats int")
-    reached = {r.source: r.n_texts for r in mixture.shares(docs, targets).collect()}
-    assert reached["tiny"] > 0 and {r.source for r in mixture.mixed(docs, targets).collect()} == {"big", "tiny"}
+    reached = {r.source: r.n_texts for r in mixture.shares(docs, targets, queries.TOKENIZER).collect()}
+    assert reached["tiny"] > 0 and {r.source for r in mixture.mixed(docs, targets, queries.TOKENIZER).collect()} == {"big", "tiny"}
 
 
 @pytest.mark.parametrize("text", ["ab" * 60_000, "a" * 70_000 + " b", "ab\n" * 30_000, "ab   \n  c" * 9000, "x" * 49_999 + "    y" + " z" * 5])
 def test_long_texts_have_the_tokens_of_the_whole(text):
-    encoding = mixture._encoding(mixture.TOKENIZER)
+    encoding = mixture._encoding(queries.TOKENIZER)
     assert "".join(mixture.pieces(text)) == text
     assert sum(len(encoding.encode_ordinary(p)) for p in mixture.pieces(text)) == len(encoding.encode_ordinary(text))
 
