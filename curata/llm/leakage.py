@@ -16,10 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from curata.session import checkpointed, fits, lookup_join
+
 WORD = re.compile(r"[^\W_]+")
 
-#: Items per block; each block is one pass over the documents, so items are not bounded.
-BLOCK_ITEMS = 20_000
+#: Items, and bytes of their texts, that are sent to the tasks. More are joined by the hashes of their seeds.
+SENT_ITEMS = 20_000
+SENT_BYTES = 32 << 20
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -110,40 +113,98 @@ def leaked(documents: DataFrame, items: DataFrame, least: int = 12, least_covera
     Null, empty and short texts and items match nothing; of items that share their id each is
     matched by itself and the best covered one is kept.
     """
-    count = items.count()
-    blocks = max(1, -(-count // BLOCK_ITEMS))
-    numbered = items.where("item_text is not null").select(F.col("item_id").cast("bigint").alias("item_id"), F.col("item_text").alias("text"))
-    result: DataFrame | None = None
-    for b in range(blocks):
-        mine = numbered if blocks == 1 else numbered.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b)
-        block = sorted((r[0], r[1]) for r in mine.collect())  # about BLOCK_ITEMS rows
-        part = _leaked_block(documents, block, least)
-        result = part if result is None else result.unionByName(part)
+    given = items.where("item_text is not null").select(F.col("item_id").cast("bigint").alias("item_id"), F.col("item_text").alias("text"))
+    texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("text is not null")
+    if fits(given, SENT_ITEMS, SENT_BYTES):
+        result = _leaked_block(texts, sorted((r[0], r[1]) for r in given.collect()), least)
+    else:
+        result = _leaked_join(texts, given, least)
     best = F.max(F.struct("covered", "longest", "n_tiles", "coverage")).alias("m")
     return result.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "m.n_tiles", "m.longest", "m.covered", "m.coverage").where(F.col("coverage") >= least_coverage)
 
 
-def _leaked_block(documents: DataFrame, block: list[tuple[int, str]], least: int) -> DataFrame:
-    handle = documents.sparkSession.sparkContext.broadcast(block)
+TILED = "n_tiles int, longest int, covered int, coverage double"
+
+
+def winnowed(words: np.ndarray, least: int) -> np.ndarray:
+    """Hashes of some windows of half of ``least`` words, chosen so that texts with ``least`` equal
+    consecutive words share one: the smallest of every run of windows that such a passage holds."""
+    half = (least + 1) // 2
+    hashes, run = rolling(words, half), least - half + 1
+    if len(hashes) < run:
+        return np.empty(0, np.uint64)
+    return np.unique(np.lib.stride_tricks.sliding_window_view(hashes, run).min(axis=1))
+
+
+def _seeds(texts: DataFrame, key: str, least: int) -> DataFrame:
+    """Chosen hashes of each text: ``key``, seed. Words are hashed alike in all tasks."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        known: dict[str, int] = {}
+        for batch in batches:
+            owners, seeds = [], []
+            for k, text in enumerate(batch.column("text").to_pylist()):
+                words = words_of(text)
+                if len(known) > 1_000_000:
+                    known.clear()
+                ids = np.array([known.get(w) or known.setdefault(w, xxhash.xxh3_64_intdigest(w)) for w in words], np.uint64)
+                found = winnowed(ids, least)
+                seeds.append(found)
+                owners.append(np.full(len(found), k))
+            own = pa.array(np.concatenate(owners) if owners else [], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(key).take(own), pa.array((np.concatenate(seeds) if seeds else np.empty(0, np.uint64)).view(np.int64))], [key, "seed"])
+
+    return texts.mapInArrow(hashed, f"{key} bigint, seed bigint")
+
+
+def _leaked_join(texts: DataFrame, items: DataFrame, least: int) -> DataFrame:
+    """Leaks of any number of items: documents and items meet by their seeds, and only pairs that
+    share one are tiled. The documents are read twice; shuffled are their seeds, about one for four
+    words, and then the texts of the documents that are in a pair."""
+    own = checkpointed(_seeds(items, "item_id", least).groupBy("seed").agg(F.collect_set("item_id").alias("items")))
+    pairs = checkpointed(lookup_join(_seeds(texts, "doc_id", least), own, ["seed"], "inner").select("doc_id", F.explode("items").alias("item_id")).distinct())
+    concerned = lookup_join(texts, pairs.groupBy("doc_id").agg(F.collect_set("item_id").alias("items")), ["doc_id"], "inner")
+    each = concerned.select("doc_id", "text", F.explode("items").alias("item_id"))
+    both = each.join(items.withColumnRenamed("text", "item_text"), "item_id")
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for doc_id, item_id, text, item_text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "item_id", "text", "item_text"))):
+                item = Items([(item_id, item_text)], least)
+                words = np.array([item.vocabulary.get(w, 0) for w in words_of(text)], np.int64)
+                rows += _row(doc_id, item, 0, words, least)
+            yield _batch(rows)
+
+    return both.mapInArrow(match, f"doc_id bigint, item_id bigint, {TILED}")
+
+
+def _row(doc_id: int, items: Items, k: int, words: np.ndarray, least: int) -> list[tuple]:
+    found = tiles(words, items.words[k], least)
+    covered = sum(n for _, _, n in found)
+    return [(doc_id, items.ids[k], len(found), max(n for _, _, n in found), covered, covered / len(items.words[k]))] if found else []
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [()] * 6
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.float64()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["doc_id", "item_id", "n_tiles", "longest", "covered", "coverage"])
+
+
+def _leaked_block(texts: DataFrame, block: list[tuple[int, str]], least: int) -> DataFrame:
+    handle = texts.sparkSession.sparkContext.broadcast(block)
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = Items(handle.value, least)
         known = items.vocabulary.get
         for batch in batches:
-            rows: list[tuple[int, int, int, int, int, float]] = []
+            rows: list[tuple] = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 words = np.array([known(w, 0) for w in words_of(text)], np.int64)
                 for k in sorted(items.candidates(words)):
-                    found = tiles(words, items.words[k], least)
-                    if found:
-                        covered = sum(n for _, _, n in found)
-                        rows.append((doc_id, items.ids[k], len(found), max(n for _, _, n in found), covered, covered / len(items.words[k])))
-            columns = list(zip(*rows)) if rows else [()] * 6
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.float64()])],
-                ["doc_id", "item_id", "n_tiles", "longest", "covered", "coverage"],
-            )
-
-    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        match, "doc_id bigint, item_id bigint, n_tiles int, longest int, covered int, coverage double"
-    )
+                    rows += _row(doc_id, items, k, words, least)
+            yield _batch(rows)
+
+    return texts.mapInArrow(match, f"doc_id bigint, item_id bigint, {TILED}")

@@ -112,6 +112,15 @@ g AS (SELECT line_id, min(line_id) OVER (PARTITION BY key) AS first_id, count(*)
 
 
 
+_GRAMS = r"""
+i AS (SELECT item_id, regexp_extract_all(lower(item_text), '[\p{L}\p{N}]+') AS w FROM eval_items),
+d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents),
+gi AS (SELECT item_id, p, array_to_string(w[p:p + 11], ' ') AS gram FROM (SELECT item_id, w, unnest(range(1, len(w) - 10)) AS p FROM i WHERE len(w) >= 12)),
+gd AS (SELECT doc_id, p, array_to_string(w[p:p + 11], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(1, len(w) - 10)) AS p FROM d WHERE len(w) >= 12))
+"""
+
+
+
 def _model(rounds: int = 10) -> str:
     """The two-sided model, round by round: CTE judged holds the truth of every stated value."""
     steps = [
@@ -138,10 +147,10 @@ SQL: dict[str, str] = {
     "p4_found": f"WITH {_STATED} SELECT complex_key, field_name, version_id FROM s WHERE r = 1",
     "p7_found": f"WITH {_REGISTRY} SELECT first_id, line_id AS copy_id FROM g WHERE line_id <> first_id",
     "p7_collapsed": f"WITH {_REGISTRY} SELECT line_id, cdr3_alpha, v_beta, species, antigen_epitope, attribute_text, n_copies FROM g JOIN registry_lines USING (line_id) WHERE line_id = first_id",
-    "p8_found": r"""
-WITH i AS (SELECT item_id, regexp_extract_all(lower(item_text), '[\p{L}\p{N}]+') AS w FROM eval_items),
-d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents),
-gi AS (SELECT DISTINCT item_id, array_to_string(w[p:p + 11], ' ') AS gram FROM (SELECT item_id, w, unnest(range(1, len(w) - 10)) AS p FROM i WHERE len(w) >= 12)),
-gd AS (SELECT doc_id, array_to_string(w[p:p + 11], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(1, len(w) - 10)) AS p FROM d WHERE len(w) >= 12))
-SELECT DISTINCT doc_id, item_id FROM gd JOIN gi USING (gram)""",
+    "p8_found": f"WITH {_GRAMS} SELECT DISTINCT doc_id, item_id FROM gd JOIN gi USING (gram)",
+    # Runs of matching windows along a diagonal; where these do not overlap they are the tiles.
+    "p8_leaks": f"""WITH {_GRAMS},
+m AS (SELECT doc_id, item_id, d, i - row_number() OVER (PARTITION BY doc_id, item_id, d ORDER BY i) AS g FROM (SELECT doc_id, item_id, gd.p AS i, gd.p - gi.p AS d FROM gd JOIN gi USING (gram))),
+r AS (SELECT doc_id, item_id, count(*) + 11 AS n FROM m GROUP BY doc_id, item_id, d, g)
+SELECT doc_id, item_id, count(*)::INT AS n_tiles, max(n)::INT AS longest, sum(n)::INT AS covered, sum(n) / any_value(len(w))::DOUBLE AS coverage FROM r JOIN i USING (item_id) GROUP BY 1, 2""",
 }

@@ -138,7 +138,9 @@ def test_hot_group_and_store(spark, tmp_path):
 # Leakage -----------------------------------------------------------------------------------------
 
 
-def test_leaks_equal_brute_force(spark):
+@pytest.mark.parametrize("sent", [20_000, 3])
+def test_leaks_equal_brute_force(spark, monkeypatch, sent):
+    monkeypatch.setattr(leakage, "SENT_ITEMS", sent)
     rng = random.Random(2)
     words = [f"w{k}" for k in range(30)]
     items = [(i, " ".join(rng.choices(words, k=rng.randint(3, 40)))) for i in range(12)]
