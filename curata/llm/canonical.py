@@ -22,25 +22,10 @@ from curata.session import checkpointed, lookup_join
 #: Largest reference list that is sent to the tasks.
 MAX_ENTRIES = 100_000
 
-# Words that say nothing about which entry is meant.
-DECORATIONS = ["human", "mouse", "gene", "allele", "segment", "chain", "light", "imgt", "homo sapiens", "mus musculus", "mhc-ii", "mhc-i", "mhc class ii", "mhc class i", "(f)", "(beta)", "(alpha)", "(orf)", "(p)"]
-SPECIES_PREFIXES = ["h", "hu", "hs", "m", "mo", "mm"]
-
-# Other spellings of gene families and of beta-2 microglobulin.
-GREEK = {"a": "alpha", "b": "beta", "g": "gamma", "d": "delta"}
-MICROGLOBULIN = ["B2M", "beta 2 microglobulin", "microglobulin beta 2", "b2 microglobulin", "b2 microglob", "beta 2 m"]
-
-# Gene families that a typed name may mean instead, with the digit groups they take.
-OTHER_LOCI = {"TRA": "V D J".split(), "TRB": "V D J".split(), "IGH": "V D J".split(), "IGK": "V J".split(), "IGL": "V J".split()}
-SINGLE_NUMBER_LOCI = {"TRG": "V J".split(), "TRD": "V D J".split()}
-OTHER_MHC = ["HLA-A", "HLA-B", "HLA-C", "HLA-E", "HLA-F", "HLA-G", "HLA-DRA", "HLA-DQA1", "HLA-DPA1", "HLA-DRB1", "HLA-DRB2", "HLA-DRB3", "HLA-DRB4", "HLA-DRB5", "HLA-DQB1", "HLA-DPB1", "H2-M"]
-
+#: Look-alikes of digits, and letters that stand for others.
 LOOKALIKES = {"l": "1", "i": "1", "|": "1", "o": "0", "z": "2"}
 GREEK_LETTERS = str.maketrans({"α": "a", "β": "b", "γ": "g", "δ": "d", "ß": "b"})
 
-RECEPTOR = re.compile(r"(TR[ABGD])([VDJ])(.*)", re.DOTALL)
-RECEPTOR_TAIL = re.compile(r"\W*(?:\*\s*[\dilo]{2,3}(?::[\dilo]{2,3})*)?[\W_]*")
-MHC_TAIL = re.compile(r"(?:[\W_]+[\dilo]{3}|[\W_]*[\dilo]{2})*[a-z]?[\W_]*")
 PLAIN_TAIL = re.compile(r"[\W_]*")
 
 INF = 99
@@ -61,8 +46,8 @@ class Symbol(NamedTuple):
     last: bool = True  # last digit of its group
 
 
-def path_of(spelling: str, strict_breaks: bool) -> list[Symbol]:
-    """Symbols of a spelling; ``#`` stands for any number. Small letters after capitals are exact."""
+def path_of(spelling: str, strict_breaks: bool, exact_small: bool = True) -> list[Symbol]:
+    """Symbols of a spelling; ``#`` stands for any number. Small letters after capitals are exact if asked."""
     path: list[Symbol] = []
     for part in re.findall(r"\d+|[^\W\d_]|#|(?:[^\w#]|_)+", spelling):
         if part.isdigit():
@@ -76,58 +61,116 @@ def path_of(spelling: str, strict_breaks: bool) -> list[Symbol]:
     capitals = False
     for k, s in enumerate(path):
         if s.kind == "letter":
-            exact = capitals and s.char.islower() and all(x.kind != "digit" for x in path[k:])
+            exact = exact_small and capitals and s.char.islower() and all(x.kind != "digit" for x in path[k:])
             path[k] = Symbol("exact" if exact else "letter", s.char.lower())
             capitals = s.char.isupper()
     return path
 
 
-def spellings(name: str) -> list[str]:
-    """Alias spellings of a listed name, itself first."""
-    if name == "B2M":
-        return MICROGLOBULIN
-    if m := RECEPTOR.fullmatch(name):
-        locus, segment, rest = m.groups()
-        chain = locus[-1]
-        families = [f"TR{chain}{segment}", f"TCR{chain}{segment}", f"{chain}{segment}", f"{segment} {GREEK[chain.lower()].upper()}", f"{segment}{chain}"]
-        return [f + rest for f in families]
-    if name.startswith("HLA-"):
-        return [name, name[4:]]
-    if name.startswith("H2-"):
-        return [name, name[3:]]
-    return [name]
-
-
-def other_families(names: Sequence[str]) -> list[str]:
-    """Spellings, with ``#`` for numbers, of families that none of ``names`` belongs to."""
-    own = {m.group(1) + m.group(2) for n in names if (m := RECEPTOR.fullmatch(n))}
-    found = []
-    for loci, shapes in ((OTHER_LOCI, ("#", "#-#")), (SINGLE_NUMBER_LOCI, ("#",))):
-        for locus, segments in loci.items():
-            for segment in segments:
-                if own and locus + segment not in own:
-                    found += [x for s in shapes for x in (spellings(f"{locus}{segment}{s}") if locus[:2] == "TR" else [f"{locus}{segment}{s}"])]
-    if any(n.startswith("HLA-") for n in names):
-        found += [x + tail for f in OTHER_MHC for x in (f, f[4:]) if len(x) > 2 for tail in ("*#", "*#:#")]
-    return found
+class Vocabulary:
+    """What is known about a kind of names beside the list itself. This one knows nothing.
+
+    ``decorations`` are words that say nothing about which entry is meant, ``prefixes`` short ones
+    that may be written onto a name.
+    """
+
+    decorations: Sequence[str] = ()
+    prefixes: Sequence[str] = ()
+    exact_small = False  # whether small letters right behind capitals, as of an allele, must agree
+
+    def spellings(self, name: str) -> list[str]:
+        """Alias spellings of a listed name, itself first."""
+        return [name]
+
+    def tail(self, name: str) -> re.Pattern[str]:
+        """What may follow a name without changing which entry it means."""
+        return PLAIN_TAIL
+
+    def strict_breaks(self, name: str) -> bool:
+        """Whether numbers of the name must stay apart."""
+        return True
+
+    def others(self, names: Sequence[str]) -> list[tuple[str, re.Pattern[str]]]:
+        """Spellings (``#`` for any number) of names that none of ``names`` belongs to, with their tails."""
+        return []
+
+    def lead(self, names: Sequence[str]) -> int:
+        """By how many edits another family must be closer to claim a name."""
+        return 0
+
+
+class ReceptorVocabulary(Vocabulary):
+    """Receptor genes and MHC alleles. Nothing here depends on which of them are listed."""
+
+    # Words around names, species prefixes, spellings of gene families and of beta-2 microglobulin.
+    decorations = ["human", "mouse", "gene", "allele", "segment", "chain", "light", "imgt", "homo sapiens", "mus musculus", "mhc-ii", "mhc-i", "mhc class ii", "mhc class i", "(f)", "(beta)", "(alpha)", "(orf)", "(p)"]
+    prefixes = ["h", "hu", "hs", "m", "mo", "mm"]
+    exact_small = True
+    GREEK = {"a": "alpha", "b": "beta", "g": "gamma", "d": "delta"}
+    ALIASES = {"B2M": ["B2M", "beta 2 microglobulin", "microglobulin beta 2", "b2 microglobulin", "b2 microglob", "beta 2 m"]}
+
+    # Gene families that a typed name may mean instead, with the digit groups they take.
+    OTHER_LOCI = {"TRA": "V D J".split(), "TRB": "V D J".split(), "IGH": "V D J".split(), "IGK": "V J".split(), "IGL": "V J".split()}
+    SINGLE_NUMBER_LOCI = {"TRG": "V J".split(), "TRD": "V D J".split()}
+    OTHER_MHC = ["HLA-A", "HLA-B", "HLA-C", "HLA-E", "HLA-F", "HLA-G", "HLA-DRA", "HLA-DQA1", "HLA-DPA1", "HLA-DRB1", "HLA-DRB2", "HLA-DRB3", "HLA-DRB4", "HLA-DRB5", "HLA-DQB1", "HLA-DPB1", "H2-M"]
+
+    RECEPTOR = re.compile(r"(TR[ABGD])([VDJ])(.*)", re.DOTALL)
+    RECEPTOR_TAIL = re.compile(r"\W*(?:\*\s*[\dilo]{2,3}(?::[\dilo]{2,3})*)?[\W_]*")
+    MHC_TAIL = re.compile(r"(?:[\W_]+[\dilo]{3}|[\W_]*[\dilo]{2})*[a-z]?[\W_]*")
+
+    def spellings(self, name: str) -> list[str]:
+        if name in self.ALIASES:
+            return self.ALIASES[name]
+        if m := self.RECEPTOR.fullmatch(name):
+            locus, segment, rest = m.groups()
+            chain = locus[-1]
+            families = [f"TR{chain}{segment}", f"TCR{chain}{segment}", f"{chain}{segment}", f"{segment} {self.GREEK[chain.lower()].upper()}", f"{segment}{chain}"]
+            return [f + rest for f in families]
+        if name.startswith("HLA-"):
+            return [name, name[4:]]
+        if name.startswith("H2-"):
+            return [name, name[3:]]
+        return [name]
+
+    def tail(self, name: str) -> re.Pattern[str]:
+        return self.RECEPTOR_TAIL if self.RECEPTOR.fullmatch(name) else self.MHC_TAIL if name.startswith("HLA-") else PLAIN_TAIL
+
+    def strict_breaks(self, name: str) -> bool:
+        return self.tail(name) is self.RECEPTOR_TAIL
+
+    def others(self, names: Sequence[str]) -> list[tuple[str, re.Pattern[str]]]:
+        own = {m.group(1) + m.group(2) for n in names if (m := self.RECEPTOR.fullmatch(n))}
+        found = []
+        for loci, shapes in ((self.OTHER_LOCI, ("#", "#-#")), (self.SINGLE_NUMBER_LOCI, ("#",))):
+            for locus, segments in loci.items():
+                for segment in segments:
+                    if own and locus + segment not in own:
+                        found += [x for s in shapes for x in (self.spellings(f"{locus}{segment}{s}") if locus[:2] == "TR" else [f"{locus}{segment}{s}"])]
+        if any(n.startswith("HLA-") for n in names):
+            found += [x + tail for f in self.OTHER_MHC for x in (f, f[4:]) if len(x) > 2 for tail in ("*#", "*#:#")]
+        return [(x, self.MHC_TAIL if "*" in x else self.RECEPTOR_TAIL) for x in found]
+
+    def lead(self, names: Sequence[str]) -> int:
+        # A field of one receptor chain speaks for that chain: another family must lead by more.
+        return 1 if any(self.RECEPTOR.fullmatch(n) for n in names) else 0
 
 
 class NameTrie:
     """Trie of listed names and aliases, searched by edit distance."""
 
-    def __init__(self, entries: Sequence[tuple[int, str]]) -> None:
+    def __init__(self, entries: Sequence[tuple[int, str]], vocabulary: Vocabulary | None = None, aliases: Sequence[tuple[int, str]] = ()) -> None:
+        """``entries`` are the listed names, ``aliases`` further spellings of them, by name_id."""
         self.root: dict = {}
+        v = vocabulary or ReceptorVocabulary()
         names = [n for _, n in entries]
-        # A field of one receptor chain speaks for that chain: another family must lead by more.
-        self.lead = 1 if any(RECEPTOR.fullmatch(n) for n in names) else 0
-        for name_id, name in entries:
-            tail = RECEPTOR_TAIL if RECEPTOR.fullmatch(name) else MHC_TAIL if name.startswith("HLA-") else PLAIN_TAIL
-            for spelling in spellings(name):
-                self._add(path_of(spelling, strict_breaks=tail is RECEPTOR_TAIL), name_id, tail)
-        for spelling in other_families(names):
-            self._add(path_of(spelling, strict_breaks=True), 0, MHC_TAIL if "*" in spelling else RECEPTOR_TAIL)
-        decorations = sorted(map(re.escape, DECORATIONS), key=len, reverse=True)
-        self.decoration = re.compile(r"(?<![a-z])(?:" + "|".join(decorations) + r")(?![a-z])")
+        self.prefixes, self.lead = v.prefixes, v.lead(names)
+        for name_id, name in [*entries, *aliases]:
+            for spelling in v.spellings(name):
+                self._add(path_of(spelling, v.strict_breaks(name), v.exact_small), name_id, v.tail(name))
+        for spelling, tail in v.others(names):
+            self._add(path_of(spelling, strict_breaks=True), 0, tail)
+        words = sorted(map(re.escape, v.decorations), key=len, reverse=True)
+        self.decoration = re.compile(r"(?<![a-z])(?:" + "|".join(words) + r")(?![a-z])" if words else r"(?!)")
 
     def _add(self, path: list[Symbol], name_id: int, tail: re.Pattern[str]) -> None:
         node = self.root
@@ -142,7 +185,7 @@ class NameTrie:
         text = self.decoration.sub(" ", typed.lower().translate(GREEK_LETTERS).replace("–", "-").replace("\xa0", " "))
         text = RUNS.sub(r"\1\1\1", text.strip().lstrip("'\"([{<").strip())
         found: dict[int, int] = {}
-        for prefix in ["", *SPECIES_PREFIXES]:
+        for prefix in ["", *self.prefixes]:
             if text.startswith(prefix):
                 self._search(text[len(prefix) :].lstrip(" -_'\"\t"), found)
         return found
@@ -272,6 +315,7 @@ def canonical_names(
     names: DataFrame,
     fields: Sequence[str],
     id_column: str = "record_id",
+    vocabulary: Vocabulary | None = None,
 ) -> DataFrame:
     """The listed entry of every typed value that is not itself, character for character, listed.
 
@@ -280,15 +324,19 @@ def canonical_names(
     finer detail means its entry; a gene or allele that is not listed means none. Null values give
     no row; empty ones are unmatched. ``within`` lists all entries within their distance, the
     closest first. Each distinct value is resolved once and joined back, so repeated rows cost
-    nothing.
+    nothing. ``names`` may have a column ``aliases`` (an array of further spellings); ``vocabulary``
+    is what is known of this kind of names, by default that of receptor genes and MHC alleles.
     """
-    found = names.where(F.col("field_name").isin(list(fields)) & F.col("canonical_name").isNotNull()).select("field_name", "name_id", "canonical_name")
-    rows = found.limit(MAX_ENTRIES + 1).collect()
+    found = names.where(F.col("field_name").isin(list(fields)) & F.col("canonical_name").isNotNull())
+    further = F.col("aliases") if "aliases" in names.columns else F.array().cast("array<string>")
+    rows = found.select("field_name", "name_id", "canonical_name", further.alias("aliases")).limit(MAX_ENTRIES + 1).collect()
     if len(rows) > MAX_ENTRIES:
         raise ValueError(f"the reference list has more than {MAX_ENTRIES} rows")
     entries: dict[str, list[tuple[int, str]]] = {f: [] for f in fields}
-    for field, name_id, name in sorted(rows):
+    aliases: dict[str, list[tuple[int, str]]] = {f: [] for f in fields}
+    for field, name_id, name, more in sorted(rows, key=lambda r: r[:3]):
         entries[field].append((name_id, name))
+        aliases[field] += [(name_id, a) for a in more or ()]
 
     each = F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).alias("typed")) for f in fields]))
     listed = found.select("field_name", F.col("canonical_name").alias("typed")).distinct()
@@ -302,7 +350,7 @@ def canonical_names(
     within = pa.list_(pa.struct([("name_id", pa.int64()), ("distance", pa.int32())]))
 
     def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tries = {f: NameTrie(e) for f, e in entries.items()}
+        tries = {f: NameTrie(e, vocabulary, aliases[f]) for f, e in entries.items()}
         for batch in batches:
             field, text = batch.column("field_name").to_pylist(), batch.column("typed").to_pylist()
             found = [tries[f].matches(t) for f, t in zip(field, text)]

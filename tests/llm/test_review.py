@@ -1,5 +1,6 @@
 """Cases that a review found left out."""
 
+import random
 from pathlib import Path
 
 import pytest
@@ -116,3 +117,46 @@ SF = "/root/testdata/sf0.001"
 def test_query_equals_sql(spark, name):
     rows, unlike = difference(spark, views(SF), queries.QUERIES[name], queries.SQL[name], SF)
     assert unlike == "" and rows > 0
+
+
+CITIES = [(1, "New York"), (2, "San Francisco"), (3, "Newark"), (4, "São Paulo"), (5, "Saint Petersburg")]
+
+
+@pytest.mark.parametrize(("typed", "want"), [("new york", 1), ("NewYork", 1), ("New Yrok", 1), ("san fransisco", 2), ("SF", 2), ("newark", 3), ("sao paulo", 0), ("Sankt Petersburg", 5), ("St. Petersburg", 5), ("Boston", 0), ("", 0)])
+def test_names_of_another_kind(typed, want):
+    """Without a vocabulary only the list and its aliases count."""
+    trie = canonical.NameTrie(CITIES, canonical.Vocabulary(), [(2, "SF"), (5, "St Petersburg")])
+    assert trie.resolve(typed)[0] == want
+
+
+def noisy(name, rng, edits=0.35):
+    """A spelling of a listed name by a noise of its own: case, separators, blanks, marks, one edit, an allele."""
+    text = list(name)
+    if rng.random() < edits:
+        letters = [k for k, c in enumerate(text) if c.isalpha() and (k + 1 == len(text) or not text[k + 1].islower())]
+        k = rng.choice(letters)
+        text[k : k + 1] = rng.choice([[text[k], text[k]], [rng.choice("QXWZ")]]) if rng.random() < 0.7 else []
+    out = "".join(text)
+    if rng.random() < 0.4:
+        out = rng.choice([str.lower, str.upper, str.title])(out) if name[-1] not in "abcdefghijklmnopqrstuvwxyz" else out
+    if rng.random() < 0.3:
+        out = out.replace("-", rng.choice([" ", "_", "."]))
+    if rng.random() < 0.2 and name.startswith("TR"):
+        out += rng.choice(["*01", "*02", "*01:02"])
+    return rng.choice(["", " ", "(", '"']) + out + rng.choice(["", " ", ".", " ?", ";"])
+
+
+def test_recall_and_precision_on_generated_spellings():
+    """Spellings of all listed names, and of genes that are not listed (without edits of letters, since
+    TRAX1, say, may mean TRAV1 as well as TRAJ1, and the field's own family holds)."""
+    rng = random.Random(11)
+    listed = [f"TRAV{k}" for k in range(1, 42)] + [f"TRAV{k}-{m}" for k in (8, 12, 13) for m in (1, 2, 3)]
+    entries = [(k + 1, n) for k, n in enumerate(listed)]
+    trie = canonical.NameTrie(entries)
+    right = wrong = missed = 0
+    for name_id, name in entries * 20:
+        got = trie.resolve(noisy(name, rng))[0]
+        right, wrong, missed = right + (got == name_id), wrong + (got not in (0, name_id)), missed + (got == 0)
+    others = [f"TRAV{k}" for k in range(50, 99)] + [f"TRBV{k}" for k in range(1, 30)] + [f"TRAJ{k}" for k in range(1, 60)] + ["CD8", "mixed", "unknown", "n/a"]
+    false = sum(trie.resolve(noisy(n, rng, 0))[0] != 0 for n in others * 6)
+    assert right / (right + wrong + missed) >= 0.9 and right / (right + wrong + false) >= 0.98, (right, wrong, missed, false)
