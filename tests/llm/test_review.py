@@ -122,7 +122,7 @@ def test_query_equals_sql(spark, name):
 CITIES = [(1, "New York"), (2, "San Francisco"), (3, "Newark"), (4, "São Paulo"), (5, "Saint Petersburg")]
 
 
-@pytest.mark.parametrize(("typed", "want"), [("new york", 1), ("NewYork", 1), ("New Yrok", 1), ("san fransisco", 2), ("SF", 2), ("newark", 3), ("sao paulo", 0), ("Sankt Petersburg", 5), ("St. Petersburg", 5), ("Boston", 0), ("", 0)])
+@pytest.mark.parametrize(("typed", "want"), [("new york", 1), ("NewYork", 1), ("New Yrok", 1), ("san fransisco", 2), ("SF", 2), ("newark", 3), ("sao paulo", 4), ("Sankt Petersburg", 5), ("St. Petersburg", 5), ("Boston", 0), ("", 0)])
 def test_names_of_another_kind(typed, want):
     """Without a vocabulary only the list and its aliases count."""
     trie = canonical.NameTrie(CITIES, canonical.Vocabulary(), [(2, "SF"), (5, "St Petersburg")])
