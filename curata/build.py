@@ -54,7 +54,7 @@ def build(
     if second_fix:
         repaired = realign.realigned(repaired, segments)
         each = F.explode(F.array(*[F.struct(F.col(f"cdr3fix_{c}.v_fix_type").alias("v_fix_type"), F.col(f"cdr3fix_{c}.j_fix_type").alias("j_fix_type")) for c in ("alpha", "beta")])).alias("k")
-    full = checkpointed(tables.full_table(repaired))
+    full = checkpointed(tables.full_table(checkpointed(repaired)))
     if second_fix:
         found["realign_counts"] = realign.change_counts(full.select(each).select("k.*"))
     default = checkpointed(tables.default_table(full, place, pgen=pgen))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from curata.functions import seq
 from curata.operators.patch import converted_names
-from curata.session import checkpointed, hot_split_join, lookup_join, row_key
+from curata.session import checkpointed, hot_split_join, lookup_join, row_key, work_partitions
 
 
 def germline(segments: DataFrame) -> DataFrame:
@@ -77,10 +77,12 @@ def fixed_both(inputs: DataFrame, segments: DataFrame, conversions: DataFrame |
     j_id, j_fix_type, j_canonical. v and j may be comma lists; a null one is a bad segment.
     """
     keys = ["species", "cdr3", "v", "j"]
-    distinct = checkpointed(inputs.where("cdr3 is not null").select(*keys).distinct()).withColumn("text", F.col("cdr3"))
+    distinct = checkpointed(inputs.where("cdr3 is not null").select(*keys).distinct())
     names = distinct.select("species", F.explode(F.split(F.concat_ws(",", "v", "j"), ",")).alias("segment_id")).where("segment_id <> ''")
     closest = checkpointed(closest_segments(names, segments, conversions))
-    v = _one_side(distinct, "v", segments, closest, five_prime=True).select(*keys, F.col("best").alias("v_best"), F.col("best.fix.cdr3").alias("text"))
+    # Few bytes but much work a row: spread by number, not by size. Both ends then work in place.
+    spread = distinct.repartition(work_partitions(distinct), *keys).withColumn("text", F.col("cdr3"))
+    v = _one_side(spread, "v", segments, closest, five_prime=True).select(*keys, F.col("best").alias("v_best"), F.col("best.fix.cdr3").alias("text"))
     both = _one_side(v, "j", segments, closest, five_prime=False).withColumnRenamed("best", "j_best")
     cdr3, vx, jx = F.reverse("j_best.fix.cdr3"), F.col("v_best.fix.x"), F.col("j_best.fix.x")
     j_start = F.when(jx < 0, jx).otherwise(F.length(cdr3) - jx)

@@ -50,8 +50,10 @@ def per_key(
     """
     keyed = rows.where(F.col(key).isNotNull())
     result = keyed.groupBy(key).agg(*[c.alias(n) for n, c in measures.items()])
-    for name, column in (distinct or {}).items():
-        pairs = keyed.where(F.col(column).isNotNull()).groupBy(key, F.col(column).alias("__v")).agg(F.lit(1).alias("__one"))
-        counts = pairs.groupBy(key).agg(F.count("*").alias(name))
-        result = result.join(counts, key, "left").withColumn(name, F.coalesce(name, F.lit(0)))
-    return result
+    if not distinct:
+        return result
+    # All distinct counts in one pass: first every (key, column, value) once, then their numbers by key.
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.col(c).cast("string").alias("value")) for n, c in distinct.items()]))
+    once = keyed.select(key, each.alias("__d")).where("__d.value is not null").groupBy(key, "__d.name", "__d.value").agg(F.lit(1).alias("__one"))
+    counts = once.groupBy(key).agg(*[F.count(F.when(F.col("name") == n, 1)).alias(n) for n in distinct])
+    return result.join(counts, key, "left").withColumns({n: F.coalesce(n, F.lit(0)) for n in distinct})

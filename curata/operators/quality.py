@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curata.functions.validate import VALIDATORS
+from curata.operators.fixer import in_order
 from curata.schema import ALL, ROW_SIGNATURE, dotted
-from curata.session import lookup_join
+from curata.session import hot_split_join, lookup_join, row_key
 
 
 def check_header(columns: Sequence[str], required: Sequence[str] = ALL) -> None:
@@ -49,9 +50,27 @@ def checked(rows: DataFrame, policy: str = "warn") -> DataFrame:
     return result
 
 
-def numbered_duplicates(rows: DataFrame, order: Sequence[Column | str], signature: Sequence[str] = ROW_SIGNATURE, scope: Sequence[str] = ()) -> DataFrame:
-    """Rows with ``copy_no``: 1 for the first of each signature, in a total ``order``, within ``scope``."""
-    return rows.withColumn("copy_no", F.row_number().over(Window.partitionBy(*scope, *signature).orderBy(*order)))
+def numbered_duplicates(rows: DataFrame, order: Sequence[str], signature: Sequence[str] = ROW_SIGNATURE, scope: Sequence[str] = ()) -> DataFrame:
+    """Rows with ``copy_no``: 1 for the first of each signature, in a total ``order``, within ``scope``.
+
+    All rows are sorted by signature and order over ranges and numbered through; a copy's number is
+    its distance from the first of its signature. So a signature that holds a third of all rows is
+    spread over many parts, and only its first number is joined back, split.
+    """
+    numbered = in_order(rows.select("*", *row_key([*scope, *signature])), ["__k1", "__k2", *order], "__n")
+    first = numbered.groupBy("__k1", "__k2").agg(F.min("__n").alias("__first"), F.count("*").alias("__rows"))
+    return hot_split_join(numbered, first, ["__k1", "__k2"], "__rows").withColumn("copy_no", F.col("__n") - F.col("__first") + 1).select(*rows.columns, "copy_no")
+
+
+def with_copy_flag(rows: DataFrame, key: Sequence[str], signature: Sequence[str] = ROW_SIGNATURE, scope: Sequence[str] = ()) -> DataFrame:
+    """Rows with ``is_copy``: whether a row of the same signature comes before it by ``key`` (a total order).
+
+    The first row of each signature is an algebraic aggregate; it is joined back with hot signatures split.
+    """
+    keyed = rows.select("*", *row_key([*scope, *signature]))
+    place = F.struct(*[F.col(c) for c in key])
+    first = keyed.groupBy("__k1", "__k2").agg(F.min(place).alias("__first"), F.count("*").alias("__rows"))
+    return hot_split_join(keyed, first, ["__k1", "__k2"], "__rows").withColumn("is_copy", place != F.col("__first")).select(*rows.columns, "is_copy")
 
 
 def deduplicated(rows: DataFrame, key: Sequence[str], signature: Sequence[str] = ROW_SIGNATURE, scope: Sequence[str] = ()) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curata.functions import seq
-from curata.session import checkpointed, hot_split_join, lookup_join, row_key
+from curata.session import checkpointed, hot_split_join, lookup_join, row_key, work_partitions
 
 # Least agreeing nucleotides, and residues a changed segment must gain.
 LEAST_NUCLEOTIDES = 5
@@ -26,7 +26,7 @@ def best_segments(sequences: DataFrame, segments: DataFrame) -> DataFrame:
     each = segments.where(F.lower("segment").rlike("^[vj]")).groupBy(F.lower("species").alias("__species"), "gene").agg(
         F.sort_array(F.collect_list(F.struct("ord", kind.alias("kind"), "id", "ref", "seq"))).alias("all")
     )  # the germline list of one species and gene
-    own = distinct.withColumn("__species", F.lower("species"))
+    own = distinct.repartition(work_partitions(distinct), "species", "gene", "cdr3").withColumn("__species", F.lower("species"))
     pairs = lookup_join(own, each, ["__species", "gene"]).withColumn("s", F.explode_outer("all")).drop("all", "__species")
     score = F.when(
         F.col("s.kind") == "V", seq.codon_score(F.col("cdr3"), seq.germline_v(F.col("s.seq"), F.col("s.ref")))

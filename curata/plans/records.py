@@ -116,7 +116,12 @@ def dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {SRC} SELECT {K}, row_number() OVER (PARTITION BY {_SIG} ORDER BY {K}) > 1 AS is_copy FROM src")
 def dup_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.numbered_duplicates(submissions(spark, sf_dir), KEY).select(*KEY, (F.col("copy_no") > 1).alias("is_copy"))
+    return quality.with_copy_flag(submissions(spark, sf_dir), KEY).select(*KEY, "is_copy")
+
+
+@query(f"WITH {SRC} SELECT {K}, row_number() OVER (PARTITION BY {_SIG} ORDER BY {K}) AS copy_no FROM src")
+def dup_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.numbered_duplicates(submissions(spark, sf_dir), KEY).select(*KEY, "copy_no")
 
 
 # Patches and gene checks ---------------------------------------------------------------------------
@@ -507,7 +512,7 @@ bt AS (SELECT {K}, complex_id, gene, cdr3, v_segm, j_segm, {_CHAIN_COLS}, {_DOCU
 
 
 def _built(spark: SparkSession, sf_dir: str, documents: bool = True) -> DataFrame:
-    return tables.default_table(tables.full_table(_repaired(spark, sf_dir)), KEY, keep=KEY, documents=documents, pgen=F.expr(_PGEN))
+    return tables.default_table(tables.full_table(checkpointed(_repaired(spark, sf_dir))), KEY, keep=KEY, documents=documents, pgen=F.expr(_PGEN))
 
 
 @query(f"WITH {SRC}, {_BUILT} SELECT *, CASE WHEN v_end > -1 AND j_start > -1 THEN 'no' ELSE 'yes' END AS web_cdr3fix_unmp FROM bt")

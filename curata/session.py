@@ -32,6 +32,12 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def work_partitions(df: DataFrame) -> int:
+    """Partitions for rows that are few bytes but much work: no fewer than cores or shuffle partitions."""
+    spark = df.sparkSession
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written as a table to the shared checkpoint folder and read back.
 
