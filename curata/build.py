@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curata.operators import fixer, patch, quality, realign, tables
+from curata.operators import fixer, patch, quality, realign, report, tables
 from curata.schema import ALL
 from curata.session import checkpointed
 from curata.sources import chunks, dictionaries, sinks
@@ -69,6 +69,28 @@ def build(
     return found
 
 
+def report_tables(slim: DataFrame, full: DataFrame) -> dict[str, DataFrame]:
+    """The statistics of the report over a built collapsed table and the full one."""
+    named = slim.withColumn("id", F.concat(*[F.coalesce(c, F.lit("")) for c in ("gene", "cdr3", "antigen_epitope", "antigen_gene", "antigen_species")]))
+    usage = checkpointed(report.usage(named, "id"))
+    ranks = checkpointed(report.epitope_ranks(slim))
+    lengths = checkpointed(report.spectratype(slim))
+    return {
+        "records": report.counts_by(slim, ["species", "gene"]),
+        "antigens": report.counts_by(slim.where("species = 'HomoSapiens'"), ["antigen_species"]),
+        "antigen_chains": report.by_chain(report.antigen_chains(slim, "")),
+        "scores": report.score_distribution(slim),
+        "lengths": lengths,
+        "length_density": report.density(lengths),
+        "usage": usage,
+        "usage_ratio": report.observed_to_expected(usage.where("gene = 'TRB' and mhc_class = 'MHCI'"), "mhc_a", "v_gene", "records"),
+        "mhc": report.mhc_detail(named, "id"),
+        "epitopes": ranks,
+        "epitope_fit": report.loglog_fit(ranks),
+        "naming": report.ambiguous_names(full),
+    }
+
+
 #: Tables written without quotes, so that their JSON columns stay as they are.
 UNQUOTED = ["default", "default_scored", "full_scored", "slim_scored"]
 
@@ -85,6 +107,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--legacy-slim", action="store_true")
     parser.add_argument("--clusters", help="table of cluster members")
     parser.add_argument("--alleles", help="table of gene names and allele numbers")
+    parser.add_argument("--report", action="store_true", help="also write the statistics, as tables and as HTML rows")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("curata").getOrCreate()
     if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
@@ -92,6 +115,10 @@ def main(argv: Sequence[str] | None = None) -> None:
     found = build(spark, args.folder, args.resources, args.chunks_to_build, args.policy, args.substring, args.fix2, args.legacy_slim, None, args.clusters, args.alleles)
     for name, table in found.items():
         sinks.write_table(table, f"{args.out}/{name}", first="cdr3_alpha" if name.startswith("full") else None, quoted=name not in UNQUOTED)
+    if args.report:
+        for name, table in report_tables(found["slim"], found["full"]).items():
+            sinks.write_summary(table, f"{args.out}/report/{name}")
+            sinks.html_lines(table).write.mode("overwrite").text(f"{args.out}/report_html/{name}")
 
 
 if __name__ == "__main__":

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curata.operators.fixer import in_parts
-from curata.session import checkpointed, fits, lookup_join
+from curata.session import checkpointed, lookup_join
 
 
 def first_of(c: str, mark: str = ",") -> Column:
@@ -129,17 +129,17 @@ def cumulative_by_year(rows: DataFrame, dates: DataFrame, measures: Sequence[str
     Instead of a join of all years with all earlier ones, each value counts in the year it is first
     seen, and the counts are summed up over the years. ``dates`` has reference_id and pub_date.
     """
-    years = dates.where("pub_date is not null").groupBy("reference_id").agg(F.min("pub_date").alias("pub_date"))
-    dated = lookup_join(rows.select(*[c for c in rows.columns if c != "pub_date"]), years, ["reference_id"], "inner")
-    # Every year with each kind of chains that is there at all: at most three.
-    kinds = dated.agg(F.array_sort(F.collect_set("chains")).alias("kinds"))
-    result = years.select("pub_date").distinct().select("pub_date", F.explode(F.lit(kinds.scalar())).alias("chains"))
+    years = checkpointed(dates.where("pub_date is not null").groupBy("reference_id").agg(F.min("pub_date").alias("pub_date")))
+    dated = lookup_join(rows.select("reference_id", "chains", *[m for m in measures if m != "reference_id"]), years, ["reference_id"], "inner")
+    # One pass for all measures: each value in the year it is first seen, then new values by year.
+    each = F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).cast("string").alias("value")) for m in measures]))
+    first = dated.select("chains", "pub_date", each.alias("m")).where("m.value is not null").groupBy("chains", "m.measure", "m.value").agg(F.min("pub_date").alias("pub_date"))
+    new = checkpointed(first.groupBy("chains", "pub_date").agg(*[F.count(F.when(F.col("measure") == m, 1)).alias(f"{m}_count") for m in measures]))
+    kinds = new.select(F.array_sort(F.collect_set("chains")).alias("kinds")).first()[0]  # three at most
+    grid = years.select("pub_date").distinct().select("pub_date", F.explode(F.lit(kinds) if kinds else F.array().cast("array<string>")).alias("chains"))
     up_to = Window.partitionBy("chains").orderBy("pub_date").rowsBetween(Window.unboundedPreceding, 0)
-    for m in measures:
-        first = dated.groupBy("chains", m).agg(F.min("pub_date").alias("pub_date"))
-        new = first.groupBy("chains", "pub_date").agg(F.count("*").alias("__new"))
-        result = result.join(new, ["chains", "pub_date"], "left").withColumn(f"{m}_count", F.coalesce(F.sum("__new").over(up_to), F.lit(0))).drop("__new")
-    return result
+    result = grid.join(new, ["chains", "pub_date"], "left")
+    return result.select("pub_date", "chains", *[F.coalesce(F.sum(f"{m}_count").over(up_to), F.lit(0)).alias(f"{m}_count") for m in measures])
 
 
 def totals_by_reference(slim: DataFrame, antigen_species: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curata.operators import drift, hotkeys, packed, reject
+from curata.schema import ALL, EXTRA, dotted
 from curata.session import load
 
 SKEWED = ["antigen_epitope", "antigen_species"]
@@ -149,6 +150,8 @@ FROM feed_rows r LEFT JOIN feed_files USING (file_id) LEFT JOIN ot ON ot.row_id
 
 SQL: dict[str, str] = {
     "p1_found": f"WITH {_LINES} SELECT line_id FROM r WHERE hv IS NULL OR broken OR bad_beta OR bad_mhc OR bad_species OR bad_ref",
+    "p1_records": f"""WITH {_LINES} SELECT line_id, chunk_file, line_no, {', '.join(f"nullif(v[list_position(hv, '{dotted(c)}')], '') AS {c}" for c in EXTRA[:1] + ALL + EXTRA[1:])}
+      FROM r WHERE hv IS NOT NULL AND NOT (broken OR bad_beta OR bad_mhc OR bad_species OR bad_ref)""",
     "p1_rejected": f"""WITH {_LINES} SELECT line_id, chunk_file, line_no, concat_ws('; ',
         CASE WHEN hv IS NULL THEN 'no header' END, CASE WHEN quotes_ok AND len(v) <> len(hv) THEN 'field count' END, CASE WHEN NOT quotes_ok THEN 'broken quoting' END,
         CASE WHEN NOT broken AND bad_beta THEN 'bad cdr3.beta' END, CASE WHEN NOT broken AND bad_mhc THEN 'bad mhc.a' END,

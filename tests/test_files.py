@@ -135,8 +135,11 @@ def test_every_table_of_the_build(spark, tmp_path):
     folder, resources = written(tmp_path)
     (tmp_path / "alleles.tsv").write_text("IMGT/GENE-DB\tNumber of alleles\nTRBV1\t1\nTRBJ1\t1\n")
     (tmp_path / "members.tsv").write_text("gene\tantigen.epitope\tspecies\tcdr3aa\nTRB\tNLVPMVATV\tHomoSapiens\tCASSYEQYF\n")
-    main([folder, resources, str(tmp_path / "out"), "--fix2", "--alleles", str(tmp_path / "alleles.tsv"), "--clusters", str(tmp_path / "members.tsv")])
-    tables = {p.name: sinks.read_table(spark, str(p)) for p in (tmp_path / "out").iterdir() if not p.name.startswith("_")}
+    main([folder, resources, str(tmp_path / "out"), "--fix2", "--alleles", str(tmp_path / "alleles.tsv"), "--clusters", str(tmp_path / "members.tsv"), "--report"])
+    records = sinks.read_table(spark, str(tmp_path / "out" / "report" / "records")).collect()
+    assert {(r.species, r.gene, r.records, r.paired_records) for r in records} == {("HomoSapiens", "TRA", "1", "1"), ("HomoSapiens", "TRB", "1", "1"), ("x", "TRB", "1", "0")}
+    assert (tmp_path / "out" / "report_html" / "naming").exists()
+    tables = {p.name: sinks.read_table(spark, str(p)) for p in (tmp_path / "out").iterdir() if not p.name.startswith(("_", "report"))}
     counts = {n: t.count() for n, t in tables.items()}
     assert counts == {
         "full": 4, "default": 5, "slim": 3, "meta": 21, "slim_meta": 18, "rejects": 0, "qc": 2, "realign_counts": 1, "full_filtered": 2, "full_gene_broken": 1, "full_allele_broken": 0, "full_cdr3aa_broken": 1,
