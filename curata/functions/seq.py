@@ -54,9 +54,15 @@ def kmer_hit(segment: Column, cdr3: Column, least: int = 2) -> Column:
         back = F.call_function("locate", run, F.reverse(segment))
         return F.struct(F.when(back > 0, F.length(segment) - k - back + 1).otherwise(-1).alias("seg_pos"), j.alias("cdr_pos"), k.alias("size"))
 
-    sizes = F.reverse(F.sequence(F.lit(least), n - 1))
-    runs = F.flatten(F.transform(sizes, lambda k: F.transform(F.sequence(F.lit(0), n - k - 1), lambda j: at(k, j))))
-    return F.when((n > least) & segment.isNotNull(), F.get(F.filter(runs, lambda h: h["seg_pos"] >= 0), F.lit(0)))
+    # From the longest run that both can hold downwards; once one stands in the segment no other is tried.
+    longest = F.least(n - 1, F.length(segment))
+    none = F.lit(None).cast("struct<seg_pos: int, cdr_pos: int, size: int>")
+
+    def step(found: Column, k: Column) -> Column:
+        runs = F.filter(F.transform(F.sequence(F.lit(0), n - k - 1), lambda j: at(k, j)), lambda h: h["seg_pos"] >= 0)
+        return F.coalesce(found, F.get(runs, F.lit(0)))
+
+    return F.when(longest >= least, F.aggregate(F.reverse(F.sequence(F.lit(least), longest)), none, step))
 
 
 def one_sided_fix(segment: Column, cdr3: Column, hit: Column) -> Column:
