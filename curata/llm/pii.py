@@ -399,7 +399,7 @@ def _plausible(name: str) -> bool:
 
 def _personal(name: str) -> bool:
     words = [w.lower() for w in re.findall(r"[^\W\d_]+", name)]
-    return not any(w in IMPERSONAL or w in TITLES or IMPERSONAL_ENDS.search(w) for w in words)
+    return not any(len(w) > 1 and (w in IMPERSONAL or w in TITLES or IMPERSONAL_ENDS.search(w)) for w in words)
 
 
 def names_by_structure(text: str, at: int, size: int, use: str) -> list[Span]:
