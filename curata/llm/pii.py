@@ -372,8 +372,11 @@ LINE = r"(?:[^\S\n]+|[^\S\n]*\n(?:>[^\S\n]?)*[^\S\n]*)"  # white space within a
 FIRST = rf"(?:{PROPER}(?:{LINE}(?:[^\W\d_a-z]\.{LINE}?)+|{LINE}{PROPER})?|(?:[^\W\d_a-z]\.{LINE}?)+)"
 PROPER_NAME = rf"(?P<name>{FIRST}{LINE}?(?<=[\s.>])(?:(?:{'|'.join(PARTICLES)}){LINE}){{0,2}}{PROPER})(?![\w’'-])"
 
+#: Words that join a person to a sentence as often as a thing; behind "in", "at" or an article stands a place or a thing.
+JOINED_TO = ["to", "of", "from", "with", "for", "was", "is", "that", "when", "if", "because", "between", "than", "mit", "für", "dass", "avec", "pour", "que", "con", "para", "yesterday", "today", "tomorrow"]
+
 # Words before a name (one acts, is spoken to or is named) and verbs behind it.
-PERSON_BEFORE = ["run by", "written by", "prepared by", "reviewed by", "signed by", "approved by", "performed by", "done by", "measured by", "reported by", "requested by", "led by", "sent by", "entered by", "curated by", "annotated by", "spoke with", "spoke to", "talked to", "talked with", "met with", "meeting with", "met", "discussed with", "agreed with", "emailed", "e-mailed", "phoned", "called", "asked", "told", "ask", "tell", "contact", "reach", "dear", "hi", "hello", "hallo", "liebe", "lieber", "cher", "chère", "bonjour", "estimado", "estimada", "hola", "attn", "c/o", "on behalf of", "thanks to", "supervised by", "principal investigator", "my name is", "i am", "this is", "durchgeführt von", "erstellt von", "unterschrieben von", "gesprochen mit", "rédigé par", "réalisé par", "signé par", "parlé avec", "escrito por", "realizado por", "firmado por", "hablé con", "author", "authors", "author:", "operator:", "curator:", "submitter:", "contact:", "name:", "signed:", "name is", "named", "by", "von", "par", "por", "statistician", "technician", "nurse", "postdoc", "student", "colleague", "supervisor", "donor", "patient", "manager", "coordinator", "director", "investigator", "physician", "doctor", "leiter", "leiterin", "kollege", "kollegin", "collègue", "responsable", "directora", "coordinador", "coordinadora"]
+PERSON_BEFORE = ["run by", "written by", "prepared by", "reviewed by", "signed by", "approved by", "performed by", "done by", "measured by", "reported by", "requested by", "led by", "sent by", "entered by", "curated by", "annotated by", "spoke with", "spoke to", "talked to", "talked with", "met with", "meeting with", "met", "discussed with", "agreed with", "emailed", "e-mailed", "phoned", "called", "asked", "told", "ask", "tell", "contact", "reach", "dear", "hi", "hello", "hallo", "liebe", "lieber", "cher", "chère", "bonjour", "estimado", "estimada", "hola", "attn", "c/o", "on behalf of", "thanks to", "supervised by", "principal investigator", "my name is", "i am", "this is", "durchgeführt von", "erstellt von", "unterschrieben von", "gesprochen mit", "rédigé par", "réalisé par", "signé par", "parlé avec", "escrito por", "realizado por", "firmado por", "hablé con", "author", "authors", "author:", "operator:", "curator:", "submitter:", "contact:", "name:", "signed:", "name is", "named", "by", "von", "par", "por", "statistician", "technician", "nurse", "postdoc", "student", "colleague", "supervisor", "donor", "patient", "manager", "coordinator", "director", "investigator", "physician", "doctor", "leiter", "leiterin", "kollege", "kollegin", "collègue", "responsable", "directora", "coordinador", "coordinadora", "cc:", "cc", "page", *JOINED_TO]
 PERSON_VERBS = ["prepared", "wrote", "said", "says", "reported", "reviewed", "confirmed", "called", "asked", "noted", "suggested", "signed", "replied", "agreed", "explained", "mentioned", "emailed", "e-mailed", "phoned", "thinks", "thought", "lives", "works", "joined", "collected", "measured", "performed", "ran", "schrieb", "sagte", "bestätigte", "a écrit", "a confirmé", "escribió", "confirmó", "dijo"]
 SIGN_OFFS = ["regards", "best regards", "kind regards", "warm regards", "best wishes", "best", "sincerely", "yours sincerely", "yours faithfully", "many thanks", "thanks", "thank you", "cheers", "grüße", "mit freundlichen grüßen", "viele grüße", "cordialement", "bien à vous", "saludos", "atentamente", "un saludo"]
 BEFORE_NAME = re.compile(rf"(?:,[^\S\n]+|[^\S\n]*:?{LINE}){TITLED}{PROPER_NAME}")
@@ -383,10 +386,10 @@ BEFORE_VERB = re.compile(rf"(?<![\w’'.-]){PROPER_NAME}{GAP}\Z")
 OFF_LINE = re.compile(rf"[,!.]?[^\S\n]*\n(?:[>\s]*){TITLED}{PROPER_NAME}[^\S\n]*(?=\n|\Z|,)")
 
 # Words that no person's name holds: of firms, places, methods and documents; days and months.
-IMPERSONAL = set("gmbh inc ltd llc corp ag sa plc co company group labs lab laboratory laboratories reagents biotech biosciences bioscience biologics pharma pharmaceuticals diagnostics therapeutics systems solutions technologies instruments university universität université universidad institute institut instituto hospital clinic klinik department center centre zentrum school college faculty foundation society association agency ministry council committee board team assay protocol method scheme score test kit buffer medium panel table figure trial study cohort version record records sample plate lane rack bench room street road avenue lane park city county state hotel station airport monday tuesday wednesday thursday friday saturday sunday january february march july september october november december the this that these those a an and or for with from our your their we you they it he she if when please note see all no yes not das die ein eine western southern northern eastern blot human resources san santa los las saint new north south east west medical national international general royal central cell gene flow sales support customer service data quality control science sciences research clinical safety review".split())
+IMPERSONAL = set("gmbh inc ltd llc corp ag sa plc co company group labs lab laboratory laboratories reagents biotech biosciences bioscience biologics pharma pharmaceuticals diagnostics therapeutics systems solutions technologies instruments university universität université universidad institute institut instituto hospital clinic klinik department center centre zentrum school college faculty foundation society association agency ministry council committee board team assay protocol method scheme score test kit buffer medium panel table figure trial study cohort version record records sample plate lane rack bench room street road avenue lane park city county state hotel station airport monday tuesday wednesday thursday friday saturday sunday january february march july september october november december the this that these those a an and or for with from our your their we you they it he she if when please note see all no yes not how what why where which deep single multiple cells scientific homo mus das die ein eine patient patients donor donors doctor author authors nurse western southern northern eastern blot human resources san santa los las saint new north south east west medical national international general royal central cell gene flow sales support customer service data quality control science sciences research clinical safety review".split())
 JOINING = {"and", "or", "for", "with", "from", "the", "this", "if", "when", "please", "see", "a", "an", "all", "not", "no", "our", "your", "we", "you", "they", "it", "he", "she", "note", "yes"}
 NEXT_WORD = re.compile(r"[^\S\n]+([^\W\d_]+)")
-IMPERSONAL_ENDS = re.compile(r"(?:tec|tech|metry|graphy|ology|scopy|omics|ation|ysis)$")
+IMPERSONAL_ENDS = re.compile(r"(?:tec|tech|metry|graphy|ology|scopy|omics|ation|ysis|virus|plasma|bacter|bacteria|coccus|myces)$")
 
 # Words that follow the same phrases but are no names.
 NO_NAMES = {"the", "a", "an", "this", "that", "all", "our", "us", "you", "them", "it", "we", "for", "curators", "everyone", "team", "colleagues", "data", "no", "one", "his", "her", "see", "please"}
@@ -399,7 +402,7 @@ def _plausible(name: str) -> bool:
 
 def _personal(name: str) -> bool:
     words = [w.lower() for w in re.findall(r"[^\W\d_]+", name)]
-    return not any(len(w) > 1 and (w in IMPERSONAL or w in TITLES or IMPERSONAL_ENDS.search(w)) for w in words)
+    return words[0] not in ("der", "den", "dem") and not any(len(w) > 1 and (w in IMPERSONAL or w in TITLES or IMPERSONAL_ENDS.search(w)) for w in words)
 
 
 def names_by_structure(text: str, at: int, size: int, use: str) -> list[Span]:

@@ -5,6 +5,8 @@ A value stands as [kind:value]; the rest of each text, and the whole of some, ho
 
 import re
 
+import pytest
+
 from curata.llm import pii
 
 KINDS = {"n": "person_name", "e": "email", "p": "phone", "i": "id_number", "a": "street_address"}
@@ -66,9 +68,9 @@ HLA-A*02:01 restricted clones with CASSIRSSYEQYF were rare.
 Samples 1-24, 25-48 and 49-72 were pooled.
 """
 
-# Written after the parsers were done. 17 of 27 values were found and none wrong; one error that they showed
-# (an initial A taken for a word) was mended, nothing else was changed for them.
-UNSEEN = r"""
+# Written after the first version of the parsers, which found 17 of their 27 values; names behind joining words
+# were added for them.
+MORE_TEXTS = r"""
 Yesterday [n:Helena Costa] dropped off two boxes of tubes at the cold room.
 If it fails again, page [n:Viktor Petrov] at [p:+44 7700 900461].
 The isolates belong to [n:Omar Farouk], who wants them back by spring.
@@ -101,6 +103,30 @@ Build 20210304.1552 passed after 1 234 567 reads.
 Jurkat and Raji cells were thawed on Tuesday in Santa Barbara.
 """
 
+# Written after that; the parsers were not changed for them.
+UNSEEN = r"""
+The box with the yellow lid came from [n:Marta Olsen] and is still sealed.
+[n:Dinesh Patel] has the only key; [n:Claire Fontaine] had the other one.
+Give the second aliquot to [n:Samuel Adeyemi], please.
+We owe this idea to [n:Katarina Novotna].
+After lunch [n:Jakob Lund] repeated the stain.
+If [n:Mei Ling Tan] agrees, the set is closed.
+The email of [n:Stefan Horvat] is [e:s.horvat@clinic.example], his pager [p:+385 1 4567 890].
+Post it to [a:19 Castle Terrace, Edinburgh EH1 2DP] by Friday.
+Our second site is at [a:350 Fifth Avenue, New York, NY 10118].
+Er wohnt in der [a:Hauptstraße 5, 1040 Wien] im dritten Stock.
+Tax number [i:912-75-3344] appears twice in the sheet.
+He gave his number as [p:(415) 555-0132] and his card as [i:5500 0000 0000 0004].
+Patient [n:Lena Vogel] was moved to the second cohort.
+Regards,\n[n:Miguel Santos]\nData team
+Hi [n:Beatriz], the plates are ready.
+The third reviewer was [n:Arjun Mehta].
+Treatment followed the Helsinki Declaration.
+Data were uploaded to Gene Expression Omnibus and to Zenodo.
+The Black Forest cohort and the Lake Victoria cohort differ.
+Version 3.11.2, build 4410-22, runs on node 17.
+"""
+
 
 def labelled(line):
     text, want = "", set()
@@ -136,7 +162,8 @@ def test_held_out_texts():
     assert both / wanted >= 0.85 and both / found >= 0.9, (counts, misses)
 
 
-def test_unseen_texts():
-    counts, misses = scores(UNSEEN)
+@pytest.mark.parametrize("texts", [MORE_TEXTS, UNSEEN])
+def test_more_texts(texts):
+    counts, misses = scores(texts)
     wanted, found, both = (sum(c[k] for c in counts.values()) for k in range(3))
-    assert both / wanted >= 0.6 and both / found >= 0.85, (counts, misses)
+    assert both / wanted >= 0.75 and both / found >= 0.85, (counts, misses)
