@@ -120,6 +120,7 @@ def repaired(rows: DataFrame, segments: DataFrame, parts: DataFrame, conversions
     are made once per distinct (species, CDR3, V, J) and joined back once per chain, with inputs
     that many records share split.
     """
+    rows = checkpointed(rows)  # read for the inputs of either chain and once more for the records
     tables = {}
     for chain, gene in (("alpha", "TRA"), ("beta", "TRB")):
         columns = {"species": "species", "cdr3": f"cdr3_{chain}", "v": f"v_{chain}", "j": f"j_{chain}"}
