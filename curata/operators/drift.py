@@ -95,7 +95,7 @@ def compared(order: DataFrame, schemas: DataFrame) -> DataFrame:
     return new.join(old, ["file_id", "name"], "full").select("file_id", "name", "old_kinds", "new_kinds", change.alias("change")).where("change is not null")
 
 
-def changes(files: DataFrame, rows: DataFrame) -> DataFrame:
+def changes(files: DataFrame, rows: DataFrame, schemas: DataFrame | None = None) -> DataFrame:
     """Changes of top-level names between each file and the one its feed sent just before.
 
     Result: file_id, column_name, change_kind (added, removed, renamed, retyped), old_name, old
@@ -104,10 +104,11 @@ def changes(files: DataFrame, rows: DataFrame) -> DataFrame:
     if the records sent in both files have the same values under them (a name that a record lacks
     is null there) and at least one of these is not null; if several fit, the alphabetically first
     hold. A name may take part in one rename only. A file without rows has no names. Repeated
-    rows count once. The first file of a feed has no changes.
+    rows count once. The first file of a feed has no changes. ``schemas`` are the files' fused
+    schemas, if they are at hand.
     """
     order = checkpointed(with_previous(files).select("file_id", "previous_id").where("previous_id is not null"))
-    differing = checkpointed(compared(order, checkpointed(file_schemas(rows))))  # tables of files and names, not of rows
+    differing = checkpointed(compared(order, checkpointed(file_schemas(rows)) if schemas is None else schemas))  # tables of files and names, not of rows
     renames = checkpointed(_renames(rows, order, differing))
     gone = renames.select("file_id", F.col("old_name").alias("name"), F.lit("removed").alias("change"), F.lit(True).alias("gone"))
     came = renames.select("file_id", F.col("new_name").alias("name"), F.lit("added").alias("change"), "old_name")
@@ -245,8 +246,9 @@ def unified(files: DataFrame, rows: DataFrame, found: DataFrame | None = None) -
     ``others``, one JSON object with its names in order. Rows that are no JSON object come out with
     nulls. A row stays one row in its task: nothing is shuffled but the small table of files.
     """
-    found = checkpointed(changes(files, rows)) if found is None else found
-    names = checkpointed(file_schemas(rows).select("name").distinct())
+    schemas = checkpointed(file_schemas(rows))
+    found = checkpointed(changes(files, rows, schemas)) if found is None else found
+    names = schemas.select("name").distinct()
     fixed = {"record_key": RECORD_KEY, "cdr3_beta": "cdr3.beta", "species": "species", "antigen_epitope": "antigen.epitope", "antigen_species": "antigen.species", "reference_id": "reference.id"}
     frequency, comment = linked_names(found, names, FREQUENCY), linked_names(found, names, COMMENT)
     rows.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
