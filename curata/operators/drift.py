@@ -256,12 +256,12 @@ def unified(files: DataFrame, rows: DataFrame, found: DataFrame | None = None) -
 
     def first_of(names: Sequence[str]) -> Column:
         """The alphabetically first of ``names`` that the row states with a value."""
-        stated = F.filter(F.map_entries("members"), lambda e: e["key"].isin(list(names)) & (F.schema_of_variant(e["value"]) != "VOID"))
+        stated = F.filter(F.map_entries("members"), lambda e: e["key"].isin(list(names)) & ~F.is_variant_null(e["value"]))
         return F.array_min(F.transform(stated, lambda e: e["key"]))
 
     def text(name: Column) -> Column:
         value = F.try_element_at("members", name)
-        return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string")).when(F.schema_of_variant(value) != "VOID", F.to_json(value))
+        return F.coalesce(F.try_variant_get(value, "$", "string"), F.when(~F.is_variant_null(value), F.to_json(value)))  # scalars as text
 
     def as_json(entry: Column) -> Column:
         name = F.to_json(F.array(entry["key"]))
@@ -269,13 +269,15 @@ def unified(files: DataFrame, rows: DataFrame, found: DataFrame | None = None) -
 
     other = F.filter(F.map_entries("members"), lambda e: ~e["key"].isin([*fixed.values(), *frequency, *comment]))
     others = F.array_join(F.transform(F.array_sort(F.transform(other, as_json)), lambda x: x["text"]), ",")
-    chosen = parsed.select("*", first_of(frequency).alias("__f"), first_of(comment).alias("__c"))
-    branch = F.try_element_at("members", F.col("__f"))
+    named = parsed.select("*", first_of(frequency).alias("__f"), first_of(comment).alias("__c"))
+    branches = named.select("*", F.try_element_at("members", F.col("__f")).alias("__branch"), F.try_element_at("members", F.col("__c")).alias("__text"))
+    chosen = branches.select("*", kind_of(F.col("__branch")).alias("__kind"), F.to_json("__branch").alias("__value"))
+    known = F.col("__f").isNotNull()
     table = chosen.select(
         "row_id", "file_id", "line_no", *[text(F.lit(n)).alias(c) for c, n in fixed.items()],
-        F.when(F.col("__f").isNotNull(), frequency_value(F.to_json(branch), kind_of(branch))).alias("meta_subset_frequency"),
-        F.when(F.col("__f").isNotNull(), kind_of(branch)).alias("frequency_branch"),
-        F.when(F.col("__c").isNotNull(), comment_value(F.try_element_at("members", F.col("__c")))).alias("comment"),
+        F.when(known, frequency_value(F.col("__value"), F.col("__kind"))).alias("meta_subset_frequency"),
+        F.when(known, F.col("__kind")).alias("frequency_branch"),
+        F.when(F.col("__c").isNotNull(), comment_value(F.col("__text"))).alias("comment"),
         F.when(F.col("members").isNotNull(), F.concat(F.lit("{"), others, F.lit("}"))).alias("others"),
     )
     return lookup_join(table, files.select("file_id", "feed_name", "sent_at"), ["file_id"])
