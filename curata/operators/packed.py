@@ -12,13 +12,14 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from curata.session import checkpointed, work_partitions
+
 #: Largest list of values that is sent to the tasks.
 MAX_VALUES = 100_000
 
@@ -145,25 +146,30 @@ def _listed(names: DataFrame, fields: Sequence[str]) -> dict[str, list[str]]:
     return {f: sorted(v) for f, v in listed.items()}
 
 
-def _candidates(records: DataFrame, id_column: str, fields: Sequence[str]) -> DataFrame:
-    """Fields that could hold several values: id, field_name, text.
+def _texts(records: DataFrame, id_column: str, fields: Sequence[str]) -> DataFrame:
+    """All texts of the fields: id, field_name, text."""
+    each = F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).alias("text")) for f in fields]))
+    return records.select(F.col(id_column).alias("id"), each.alias("v")).select("id", "v.field_name", "v.text").where(F.col("text").isNotNull())
+
+
+def _candidates(texts: DataFrame) -> DataFrame:
+    """Texts that could hold several values.
 
     Before another value, a value ends at a character that ``value_at`` takes as a boundary; a text
     without any such character holds one value at most.
     """
-    each = F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).alias("text")) for f in fields]))
-    return records.select(F.col(id_column).alias("id"), each.alias("v")).select("id", "v.field_name", "v.text").where(
-        F.col("text").rlike(r"[^\p{L}\p{N}*:\-]")
-    )
+    return texts.where(F.col("text").rlike(r"[^\p{L}\p{N}*:\-]"))
 
 
-def learned(candidates: DataFrame, listed: dict[str, list[str]], rounds: int = 2) -> dict[str, dict[str | None, float]]:
-    """Value frequencies of each field by expectation-maximisation over all candidate texts.
+def learned(texts: DataFrame, listed: dict[str, list[str]], rounds: int = 2) -> dict[str, dict[str | None, float]]:
+    """Value frequencies of each field by expectation-maximisation over all its texts, those of one value too.
 
     Each round weighs every segmentation of every text by the frequencies so far (uniform at first)
-    and sums the expected counts of listed values and of unlisted pieces. Equal texts of a task are
-    weighed once. One number per task and listed value leaves the tasks.
+    and sums the expected counts of listed values and of unlisted pieces. Equal texts are counted
+    first and weighed once. One number per task and listed value leaves the tasks.
     """
+    counted = texts.groupBy("field_name", "text").agg(F.count("*").alias("n"))
+    distinct = checkpointed(counted.repartition(work_partitions(counted)))  # read every round
     weights: dict[str, dict[str | None, float]] = {f: {} for f in listed}
     for _ in range(rounds):
         given = weights
@@ -172,7 +178,7 @@ def learned(candidates: DataFrame, listed: dict[str, list[str]], rounds: int = 2
             segmenters = {f: Segmenter(listed[f], given[f]) for f in listed}
             tally: dict[tuple[str, str | None], float] = {}
             for batch in batches:
-                for (field, text), n in Counter(zip(batch.column("field_name").to_pylist(), batch.column("text").to_pylist())).items():
+                for field, text, n in zip(*[batch.column(c).to_pylist() for c in ("field_name", "text", "n")]):
                     for name, share in segmenters[field].expected(text).items():
                         tally[field, name] = tally.get((field, name), 0.0) + n * share
             yield pa.RecordBatch.from_pydict(
@@ -180,7 +186,7 @@ def learned(candidates: DataFrame, listed: dict[str, list[str]], rounds: int = 2
                 pa.schema([("field_name", pa.string()), ("name", pa.string()), ("n", pa.float64())]),
             )
 
-        totals = candidates.select("field_name", "text").mapInArrow(count, "field_name string, name string, n double").groupBy("field_name", "name").agg(F.sum("n"))
+        totals = distinct.mapInArrow(count, "field_name string, name string, n double").groupBy("field_name", "name").agg(F.sum("n"))
         weights = {f: {} for f in listed}
         for field, name, n in totals.collect():  # at most one row per listed value
             weights[field][name] = n
@@ -203,8 +209,8 @@ def split_values(
     without a list. ``rounds`` of expectation-maximisation come before the final split.
     """
     listed = _listed(names, fields)
-    candidates = _candidates(records, id_column, fields)
-    weights = learned(candidates, listed, rounds)
+    texts = _texts(records, id_column, fields)
+    weights = learned(texts, listed, rounds)
     id_type = records.schema[id_column].dataType.simpleString()
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,4 +231,4 @@ def split_values(
                 ["id", "field_name", "value_pos", "value_text"],
             )
 
-    return candidates.mapInArrow(split, f"id {id_type}, field_name string, value_pos int, value_text string").withColumnRenamed("id", id_column)
+    return _candidates(texts).mapInArrow(split, f"id {id_type}, field_name string, value_pos int, value_text string").withColumnRenamed("id", id_column)

@@ -93,6 +93,14 @@ def test_learned_frequencies_decide(spark, others, values):
     assert [v for _, v in got] == [*values, "C"]
 
 
+@pytest.mark.parametrize(("singles", "values"), [(["A", "B"] * 60, ["A", "B"]), (["C"] * 60, ["A B"]), ([None, ""] * 60, ["A B"])])
+def test_fields_of_one_value_are_learned_from(spark, singles, values):
+    rows = spark.createDataFrame([(0, "A B, C"), *[(k + 1, t) for k, t in enumerate(singles)]], "record_id bigint, f string")
+    names = spark.createDataFrame([("f", n) for n in ("A", "B", "C", "A B")], "field_name string, canonical_name string")
+    got = sorted((r.value_pos, r.value_text) for r in packed.split_values(rows, names, ["f"]).collect())
+    assert [v for _, v in got] == [*values, "C"]
+
+
 def test_split_values(spark):
     rows = spark.createDataFrame([(1, "A;B", 9), (1, "A;B", 9), (2, None, 9), (3, "A", 9), (4, "", 9), (5, "A," * 3000, 9)], "record_id bigint, f string, field_name int")
     names = spark.createDataFrame([("f", "A"), ("f", "B"), ("g", "C")], "field_name string, canonical_name string")
