@@ -130,7 +130,11 @@ def cumulative_by_year(rows: DataFrame, dates: DataFrame, measures: Sequence[str
     seen, and the counts are summed up over the years. ``dates`` has reference_id and pub_date.
     """
     years = checkpointed(dates.where("pub_date is not null").groupBy("reference_id").agg(F.min("pub_date").alias("pub_date")))
-    dated = lookup_join(rows.select("reference_id", "chains", *[m for m in measures if m != "reference_id"]), years, ["reference_id"], "inner")
+    return cumulative(lookup_join(rows.select("reference_id", "chains", *[m for m in measures if m != "reference_id"]), years, ["reference_id"], "inner"), years, measures)
+
+
+def cumulative(dated: DataFrame, years: DataFrame, measures: Sequence[str] = ("tcr_key", "antigen_epitope", "reference_id", "mhc_key")) -> DataFrame:
+    """As ``cumulative_by_year``, of rows that have their pub_date already; ``years`` has every pub_date."""
     # One pass for all measures: each value in the year it is first seen, then new values by year.
     each = F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).cast("string").alias("value")) for m in measures]))
     first = dated.select("chains", "pub_date", each.alias("m")).where("m.value is not null").groupBy("chains", "m.measure", "m.value").agg(F.min("pub_date").alias("pub_date"))

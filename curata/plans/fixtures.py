@@ -6,6 +6,8 @@ their SQL read the same rows.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,15 +60,15 @@ SRC = f"""src AS (SELECT {', '.join(KEY)}, o_orderdate, l_discount,
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey JOIN customer ON o_custkey = c_custkey)"""
 
 
-def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The submissions view: 31 record columns, the row key and o_orderdate."""
+def submissions(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None, extra: Sequence[str] = ()) -> DataFrame:
+    """The submissions view: 31 record columns, the row key and o_orderdate; of ``orders``, if given, with its columns ``extra``."""
     joined = (
         spread(load(spark, sf_dir, "lineitem").select(*KEY, "l_quantity", "l_discount", "l_returnflag", "l_linestatus"))
-        .join(load(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(load(spark, sf_dir, "orders") if orders is None else orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(load(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(load(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     )
-    return joined.selectExpr(*KEY, "o_orderdate", "l_discount", *[f"{e} AS {c}" for c, e in SUBMISSION.items()])
+    return joined.selectExpr(*KEY, "o_orderdate", "l_discount", *extra, *[f"{e} AS {c}" for c, e in SUBMISSION.items()])
 
 
 # Made-up germline tables. Each amino acid has one codon here.
